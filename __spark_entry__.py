@@ -80,7 +80,8 @@ def _running_stock_complete(tables: Tables) -> DataFrame:
 
 
 def _event_ids(tables: Tables) -> DataFrame:
-    positioned = stock.with_position(_running(tables), stock.event_offsets(events.all_events(tables)))
+    counts = stock.event_counts(events.all_events(tables))
+    positioned = stock.with_position(_running(tables), stock.event_offsets(counts))
     return events.describe(positioned).select(
         "activity",
         "material",

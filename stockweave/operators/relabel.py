@@ -20,13 +20,8 @@ PARAMETERS = [
 
 
 def with_parameters(events: DataFrame, parameters: DataFrame) -> DataFrame:
-    """Every event with the parameters of its pair and the overstock level.
-
-    Events come partitioned by material. Partitioning the far smaller parameters the
-    same way lets a sort-merge join on (material, plant) use that partitioning, so the
-    events are not shuffled again; a broadcast, where the parameters fit, ignores it.
-    """
-    keyed = parameters.withColumnRenamed("material_number", "material").repartition("material")
+    """Every event with the parameters of its pair and the overstock level."""
+    keyed = parameters.withColumnRenamed("material_number", "material")
     return events.join(keyed, ["material", "plant"], "left").withColumn(
         "overstock_level", F.col("safety_stock") + F.col("eoq")
     )

@@ -42,13 +42,17 @@ def find_hot_keys(keys: DataFrame, policy: SkewPolicy = SkewPolicy()) -> list:
     fraction = policy.sample_fraction
     if fraction * policy.max_group_rows < 1_000:
         fraction = 1.0
-    counted = keys.sample(fraction, seed=7) if fraction < 1.0 else keys
+    sampled = keys.sample(fraction, seed=7) if fraction < 1.0 else keys
+    counts = sampled.where(F.col(name).isNotNull()).groupBy(name).agg(F.count("*").alias("n"))
+    return hot_keys(counts, policy, fraction)
+
+
+def hot_keys(counts: DataFrame, policy: SkewPolicy, fraction: float = 1.0) -> list:
+    """Same from (key, n) counts taken over ``fraction`` of the rows."""
+    key, n = counts.columns
     hot = (
-        counted.where(F.col(name).isNotNull())
-        .groupBy(name)
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > F.lit(fraction * policy.max_group_rows))
-        .orderBy(F.desc("n"), F.asc(name))
+        counts.where(F.col(n) > F.lit(fraction * policy.max_group_rows))
+        .orderBy(F.desc(n), F.asc(key))
         .limit(policy.max_hot_keys)
     )
     return [row[0] for row in hot.collect()]
@@ -139,21 +143,25 @@ def scan(
 
 
 _DIGIT = 22  # bits of the key resolved per level
+_ONE_TASK = 1_000_000  # keys that one task may order
 
 
-def key_offsets(counts: DataFrame, key: str, count: str) -> DataFrame:
-    """(key, offset): rows held by all smaller keys, for a frame with one row per bigint key.
+def _rows_before(parent: str | None, child: str, n: str) -> Column:
+    siblings = Window.partitionBy(parent if parent else F.lit(0))
+    frame = siblings.orderBy(child).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(n).over(frame), F.lit(0))
 
-    A single ordered window over all keys would run in one task. Instead the key is
-    read as three digits of 22 bits: totals are taken per prefix, and each level adds
-    up its siblings only, so no window partition exceeds 2**22 rows whatever the keys are.
-    """
 
-    def before(parent: str | None, child: str, n: str) -> Column:
-        siblings = Window.partitionBy(parent) if parent else Window.partitionBy(F.lit(0))
-        frame = siblings.orderBy(child).rowsBetween(Window.unboundedPreceding, -1)
-        return F.coalesce(F.sum(n).over(frame), F.lit(0))
+def key_offsets(counts: DataFrame, key: str, count: str, one_task: int = _ONE_TASK) -> DataFrame:
+    """(key, offset): rows held by all smaller keys, for a frame with one row per bigint key.
 
+    ``counts`` should be materialised, as it is read more than once. Up to ``one_task``
+    keys are ordered in one window. Beyond that the key is read as three digits of 22
+    bits: totals are taken per prefix and each level adds up its siblings only, so no
+    window partition exceeds 2**22 rows whatever the keys are.
+    """
+    if counts.limit(one_task + 1).count() <= one_task:
+        return counts.select(key, _rows_before(None, key, count).alias("offset"))
     low = counts.select(
         F.col(key),
         F.shiftright(F.col(key), _DIGIT).alias("_mid"),
@@ -166,14 +174,14 @@ def key_offsets(counts: DataFrame, key: str, count: str) -> DataFrame:
     )
     top = middle.groupBy("_top").agg(F.sum("_n").alias("_n"))
 
-    top = top.select("_top", before(None, "_top", "_n").alias("_top_offset"))
+    top = top.select("_top", _rows_before(None, "_top", "_n").alias("_top_offset"))
     middle = (
-        middle.select("_mid", "_top", before("_top", "_mid", "_n").alias("_in_top"))
+        middle.select("_mid", "_top", _rows_before("_top", "_mid", "_n").alias("_in_top"))
         .join(top, "_top")
         .select("_mid", (F.col("_in_top") + F.col("_top_offset")).alias("_mid_offset"))
     )
     return (
-        low.select(key, "_mid", before("_mid", key, "_n").alias("_in_mid"))
+        low.select(key, "_mid", _rows_before("_mid", key, "_n").alias("_in_mid"))
         .join(middle, "_mid")
         .select(key, (F.col("_in_mid") + F.col("_mid_offset")).alias("offset"))
     )

@@ -1,7 +1,8 @@
 """Running stock, event ids, stock floor and adjustment.
 
-Everything below needs one shuffle of the events, by material: the running sums, the
-event position and the floor per (material, plant) all work inside that partitioning.
+The events are shuffled once, by material: the running sums, the event position and the
+floor per (material, plant) all work inside that partitioning. A narrow pass before it
+counts the events per material.
 """
 
 from __future__ import annotations
@@ -13,7 +14,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockweave.operators.events import EVENT_ORDER
-from stockweave.operators.running import key_offsets, scan_chunks, scan_groups, split_hot
+from stockweave.operators.running import (
+    SkewPolicy,
+    hot_keys,
+    key_offsets,
+    scan_chunks,
+    scan_groups,
+    split_hot,
+)
+from stockweave.session import materialise
 
 StockAfter = Literal["reference", "running"]
 PAIR = ["material", "plant"]
@@ -40,9 +49,13 @@ def complete(running: DataFrame) -> DataFrame:
     return running.dropna(subset=["stock_before", "stock_after"])
 
 
-def event_offsets(events: DataFrame) -> DataFrame:
+def event_counts(events: DataFrame) -> DataFrame:
+    """(material, n), materialised: a narrow pass over the events whose result is read repeatedly."""
+    return materialise(events.groupBy("material").agg(F.count("*").alias("n")))
+
+
+def event_offsets(counts: DataFrame) -> DataFrame:
     """(material, offset): events of all smaller material numbers."""
-    counts = events.groupBy("material").agg(F.count("*").alias("n"))
     return key_offsets(counts, "material", "n")
 
 
@@ -95,24 +108,18 @@ def _adjust(floored: DataFrame, stock_after: StockAfter) -> DataFrame:
 
 
 def adjusted_events(
-    events: DataFrame,
-    hot: Sequence[int] = (),
-    stock_after: StockAfter = "reference",
-    positions: bool = True,
+    events: DataFrame, skew: SkewPolicy = SkewPolicy(), stock_after: StockAfter = "reference"
 ) -> DataFrame:
     """Narrow events with position and stock lifted so that no (material, plant) falls below zero."""
+    counts = event_counts(events)
+    hot, offsets = hot_keys(counts, skew), event_offsets(counts)
     ordinary, large = split_hot(events, "material", hot)
-    offsets = event_offsets(events) if positions else None
 
     scanned = _as_stock(scan_groups(ordinary, ["material"], EVENT_ORDER, "quantity_change"))
-    if positions:
-        scanned = with_position(scanned, offsets)
-    floored = _with_adding_by_window(complete(scanned))
+    floored = _with_adding_by_window(complete(with_position(scanned, offsets)))
     if large is not None:
         chunked = _as_stock(scan_chunks(large, "material", EVENT_ORDER, "quantity_change"))
-        if positions:
-            # One row per hot key, and the list of hot keys is bounded.
-            of_hot = offsets.where(F.col("material").isin(list(hot)))
-            chunked = with_position(chunked, F.broadcast(of_hot))
-        floored = floored.unionByName(_with_adding_by_join(complete(chunked)))
+        # One row per hot key, and the list of hot keys is bounded.
+        of_hot = F.broadcast(offsets.where(F.col("material").isin(hot)))
+        floored = floored.unionByName(_with_adding_by_join(complete(with_position(chunked, of_hot))))
     return _adjust(floored, stock_after).drop("seq")

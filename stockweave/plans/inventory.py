@@ -57,7 +57,7 @@ def hot_materials(tables: Tables, skew: SkewPolicy = SkewPolicy()) -> list[int]:
 
 def adjusted(tables: Tables, settings: JobSettings = JobSettings()) -> DataFrame:
     """Narrow events with position and adjusted stock."""
-    return adjusted_events(all_events(tables), hot_materials(tables, settings.skew), settings.stock_after)
+    return adjusted_events(all_events(tables), settings.skew, settings.stock_after)
 
 
 def event_id(position) -> F.Column:

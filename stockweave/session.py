@@ -14,6 +14,7 @@ def build_session(app: str, cpus: int | str = "*", shuffle_partitions: int = 8,
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -6,7 +6,9 @@ test data, so lines are numbered within their order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import cached_property, partial
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,8 +62,194 @@ LINE_ORDER = [
     "l_returnflag",
 ]
 
-SUGGESTED_DAYS_BEFORE_ORDER = 7
-SUGGESTED_DELIVERY_DAYS = 14
+# SQL over the raw columns, shared by several tables below.
+PLANT = "concat('Plant', l_suppkey % 5 + 1)"
+CLIENT = "concat('Client', l_suppkey % 5 + 1)"
+BOUGHT, SOLD = "l_orderkey % 2 = 0", "l_orderkey % 2 = 1"
+MOVED = f"({BOUGHT} AND l_returnflag <> 'R') OR {SOLD}"
+MOVEMENT = (
+    f"CASE WHEN {BOUGHT} THEN 'Goods Receipt' WHEN l_returnflag = 'N' THEN 'Goods Issue' ELSE 'Transfer' END"
+)
+ORDERED, SHIPPED = "CAST(o_orderdate AS DATE)", "CAST(l_shipdate AS DATE)"
+SUGGESTED = f"date_sub({ORDERED}, 7)"
+PLANNED_DAYS = "o_custkey % 30 + 1"
+
+# Per ERP table: the raw frame, its filter, and one SQL expression per contract column.
+MAPPINGS: dict[str, tuple[str, str | None, dict[str, str]]] = {
+    "Materials": (
+        "part",
+        None,
+        {
+            "material_number": "p_partkey",
+            "material_type": "p_type",
+            "industry_sector": "p_name",
+            "material_group": "p_brand",
+            "valuation_class": "concat('ValClass', p_partkey % 3 + 1)",
+            "gross_weight": "p_size",
+            "net_weight": "p_size",
+            "weight_unit": "'kg'",
+            "volume": "p_retailprice",
+            "volume_unit": "'m3'",
+            "transport_group": "concat('TG', p_partkey % 3 + 1)",
+        },
+    ),
+    "SalesOrderDocuments": (
+        "orders",
+        "o_orderkey % 2 = 1",
+        {
+            "sales_document_number": "o_orderkey",
+            "document_creation_date": ORDERED,
+            "customer_number": "o_custkey",
+            "document_date_in_document": ORDERED,
+            "sales_document_type": "o_orderstatus",
+            "order_type": "o_orderpriority",
+            "order_reason": "o_orderpriority",
+        },
+    ),
+    "SalesOrderItems": (
+        "lines",
+        SOLD,
+        {
+            "sales_document_number": "l_orderkey",
+            "item_number": "item",
+            "material_number": "l_partkey",
+            "plant": PLANT,
+            "order_quantity": "l_quantity",
+            "net_price": "l_extendedprice",
+        },
+    ),
+    "PurchaseOrderDocuments": (
+        "orders",
+        "o_orderkey % 2 = 0",
+        {
+            "purchase_document_number": "o_orderkey",
+            "record_creation_date": ORDERED,
+            "account_number_of_vendor": "o_custkey % 10",
+            "purchase_order_date": ORDERED,
+            "purchasing_document_category": "o_orderstatus",
+            "purchasing_document_type": "o_orderpriority",
+            "blocking_indicator": "o_orderstatus = 'P'",
+        },
+    ),
+    "PurchaseOrderItems": (
+        "lines",
+        BOUGHT,
+        {
+            "purchase_order_number": "l_orderkey",
+            "purchase_order_item_number": "item",
+            "material_number": "l_partkey",
+            "plant": PLANT,
+            "quantity": "l_quantity",
+            "change_date": SHIPPED,
+            "net_price": "l_extendedprice",
+        },
+    ),
+    "GoodsReceiptsAndIssues": (
+        "lines",
+        MOVED,
+        {
+            "client": CLIENT,
+            "purchase_document_number": "l_orderkey",
+            "line_item_in_purchase_document": "item",
+            "sequential_number_of_account_assignment": "l_linenumber",
+            "movement_type": MOVEMENT,
+            "fiscal_year": f"year({SHIPPED})",
+            "document_number": "l_orderkey",
+            "accounting_document_line": "item",
+            "material_number": "l_partkey",
+            "plant": PLANT,
+            "reference_document_number": "l_orderkey",
+            "document_date_in_document": SHIPPED,
+            "posting_date_in_the_document": SHIPPED,
+            "date_of_the_posting_in_the_document": SHIPPED,
+            "time_of_the_posting_in_the_document": "'00:00:00'",
+            "quantity": "l_quantity",
+        },
+    ),
+    "OrderSuggestions": (
+        "dated_lines",
+        f"{BOUGHT} AND l_returnflag = 'R'",
+        {
+            "order_number": "l_orderkey",
+            "order_position": "item",
+            "article_number": "l_partkey",
+            "order_quantity": "l_quantity",
+            "date": SUGGESTED,
+            "order_date": SUGGESTED,
+            "delivery_date": f"date_add({SUGGESTED}, 14)",
+            "plant": PLANT,
+        },
+    ),
+    "PurchaseRequisitions": (
+        "orders",
+        "o_orderkey % 2 = 0",
+        {
+            "client": "concat('Client', o_custkey % 5 + 1)",
+            "purchase_document_number": "o_orderkey",
+            "item_number_of_purchasing_document": "1",
+            "purchase_requisition_number": "o_orderkey",
+            "purchase_requisition_item": "1",
+            "purchase_requisition_date": ORDERED,
+            "document_type": "o_orderpriority",
+            "purchasing_document_category": "o_orderstatus",
+            "planned_delivery_time": PLANNED_DAYS,
+            "latest_possible_goods_receipt": f"date_add({ORDERED}, CAST({PLANNED_DAYS} AS INT))",
+            "quantity": "o_custkey % 100 + 1",
+            "unit_of_measure": "'PCS'",
+        },
+    ),
+    "MaterialStocks": (
+        "part",
+        None,
+        {
+            "client": "concat('Client', p_partkey % 5 + 1)",
+            "material_number": "p_partkey",
+            "plant": "concat('Plant', p_partkey % 5 + 1)",
+            "storage_location": "concat('Storage', p_partkey % 10 + 1)",
+            "stock_in_quality_inspection": "p_size",
+            "stock_in_transfer": "p_size",
+            "stock_in_posting": "p_size",
+            "stock_of_material_provided_to_vendor": "p_size",
+            "blocked_stock": "p_size",
+            "returns_stock": "p_size",
+        },
+    ),
+    "SalesDocumentFlows": (
+        "lines",
+        SOLD,
+        {
+            "client": CLIENT,
+            "sales_document": "l_orderkey",
+            "sales_document_item": "item",
+            "subsequent_sales_document": "l_orderkey",
+            "subsequent_sales_document_item": "item",
+            "document_category_of_subsequent_document": (
+                "CASE l_returnflag WHEN 'N' THEN 'Delivery' WHEN 'R' THEN 'Credit Memo' ELSE 'Invoice' END"
+            ),
+            "document_category_of_preceding_document": "'Order'",
+            "document_date": SHIPPED,
+        },
+    ),
+    "MaterialDocuments": (
+        "lines",
+        MOVED,
+        {
+            "client": CLIENT,
+            "material_document_number": "l_orderkey",
+            "material_document_year": f"year({SHIPPED})",
+            "line_item": "item",
+            "material_number": "l_partkey",
+            "plant": PLANT,
+            "storage_location": "concat('Storage', l_partkey % 10 + 1)",
+            "vendors_account_number": "l_suppkey",
+            "customer_number": "l_orderkey % 50 + 1",
+            "movement_type": MOVEMENT,
+            "receiving_plant": PLANT,
+            "quantity": "l_quantity",
+            "posting_date_in_the_document": SHIPPED,
+        },
+    ),
+}
 
 
 def read_raw(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -76,203 +264,44 @@ def numbered_lines(lineitem: DataFrame, policy: SkewPolicy = SkewPolicy()) -> Da
     return lines.withColumn("item", F.col("seq") + 1).drop("seq")
 
 
-def _day(column: str) -> Column:
-    return F.col(column).cast("date")
+class RawFrames:
+    """The frames the mappings select from, built when first asked for."""
 
+    def __init__(self, spark: SparkSession, folder: str, policy: SkewPolicy):
+        self._read = partial(read_raw, spark, folder)
+        self._policy = policy
 
-def _labelled(prefix: str, key: str, count: int) -> Column:
-    return F.concat(F.lit(prefix), (F.col(key) % count + 1).cast("string"))
+    @cached_property
+    def part(self) -> DataFrame:
+        return self._read("part")
 
+    @cached_property
+    def orders(self) -> DataFrame:
+        return self._read("orders")
 
-def _table(name: str, df: DataFrame, **columns: Column) -> DataFrame:
-    """``df`` projected onto the contract of table ``name``."""
-    kinds = {f.name: f.dataType for f in CONTRACTS[name].schema.fields}
-    return df.select(*[columns[column].cast(kind).alias(column) for column, kind in kinds.items()])
+    @cached_property
+    def lines(self) -> DataFrame:
+        return numbered_lines(self._read("lineitem"), self._policy)
+
+    @cached_property
+    def dated_lines(self) -> DataFrame:
+        return self.lines.join(self.orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def stage(spark: SparkSession, folder: str, policy: SkewPolicy = SkewPolicy()) -> Tables:
-    """All eleven tables, as lazy projections of ``part``, ``orders`` and ``lineitem``."""
-    part, orders = read_raw(spark, folder, "part"), read_raw(spark, folder, "orders")
-    lines = numbered_lines(read_raw(spark, folder, "lineitem"), policy)
+    """All eleven tables as lazy projections of ``part``, ``orders`` and ``lineitem``."""
+    raw = RawFrames(spark, folder, policy)
 
-    bought, sold = F.col("l_orderkey") % 2 == 0, F.col("l_orderkey") % 2 == 1
-    returned = F.col("l_returnflag") == "R"
-    purchases, sales = orders.where("o_orderkey % 2 = 0"), orders.where("o_orderkey % 2 = 1")
-    plant = _labelled("Plant", "l_suppkey", 5)
-    client = _labelled("Client", "l_suppkey", 5)
-    movement = (
-        F.when(bought, "Goods Receipt")
-        .when(F.col("l_returnflag") == "N", "Goods Issue")
-        .otherwise("Transfer")
-    )
-    moved = lines.where((bought & ~returned) | sold)
-    shipped = _day("l_shipdate")
+    def table(name: str) -> DataFrame:
+        source, condition, columns = MAPPINGS[name]
+        rows = getattr(raw, source)
+        if condition:
+            rows = rows.where(condition)
+        return rows.selectExpr(
+            *[
+                f"CAST({columns[f.name]} AS {f.dataType.simpleString()}) AS `{f.name}`"
+                for f in CONTRACTS[name].schema.fields
+            ]
+        )
 
-    materials = _table(
-        "Materials",
-        part,
-        material_number=F.col("p_partkey"),
-        material_type=F.col("p_type"),
-        industry_sector=F.col("p_name"),
-        material_group=F.col("p_brand"),
-        valuation_class=_labelled("ValClass", "p_partkey", 3),
-        gross_weight=F.col("p_size"),
-        net_weight=F.col("p_size"),
-        weight_unit=F.lit("kg"),
-        volume=F.col("p_retailprice"),
-        volume_unit=F.lit("m3"),
-        transport_group=_labelled("TG", "p_partkey", 3),
-    )
-    sales_documents = _table(
-        "SalesOrderDocuments",
-        sales,
-        sales_document_number=F.col("o_orderkey"),
-        document_creation_date=_day("o_orderdate"),
-        customer_number=F.col("o_custkey"),
-        document_date_in_document=_day("o_orderdate"),
-        sales_document_type=F.col("o_orderstatus"),
-        order_type=F.col("o_orderpriority"),
-        order_reason=F.col("o_orderpriority"),
-    )
-    sales_items = _table(
-        "SalesOrderItems",
-        lines.where(sold),
-        sales_document_number=F.col("l_orderkey"),
-        item_number=F.col("item"),
-        material_number=F.col("l_partkey"),
-        plant=plant,
-        order_quantity=F.col("l_quantity"),
-        net_price=F.col("l_extendedprice"),
-    )
-    purchase_documents = _table(
-        "PurchaseOrderDocuments",
-        purchases,
-        purchase_document_number=F.col("o_orderkey"),
-        record_creation_date=_day("o_orderdate"),
-        account_number_of_vendor=F.col("o_custkey") % 10,
-        purchase_order_date=_day("o_orderdate"),
-        purchasing_document_category=F.col("o_orderstatus"),
-        purchasing_document_type=F.col("o_orderpriority"),
-        blocking_indicator=F.col("o_orderstatus") == "P",
-    )
-    purchase_items = _table(
-        "PurchaseOrderItems",
-        lines.where(bought),
-        purchase_order_number=F.col("l_orderkey"),
-        purchase_order_item_number=F.col("item"),
-        material_number=F.col("l_partkey"),
-        plant=plant,
-        quantity=F.col("l_quantity"),
-        change_date=shipped,
-        net_price=F.col("l_extendedprice"),
-    )
-    movements = _table(
-        "GoodsReceiptsAndIssues",
-        moved,
-        client=client,
-        purchase_document_number=F.col("l_orderkey"),
-        line_item_in_purchase_document=F.col("item"),
-        sequential_number_of_account_assignment=F.col("l_linenumber"),
-        movement_type=movement,
-        fiscal_year=F.year(shipped),
-        document_number=F.col("l_orderkey"),
-        accounting_document_line=F.col("item"),
-        material_number=F.col("l_partkey"),
-        plant=plant,
-        reference_document_number=F.col("l_orderkey"),
-        document_date_in_document=shipped,
-        posting_date_in_the_document=shipped,
-        date_of_the_posting_in_the_document=shipped,
-        time_of_the_posting_in_the_document=F.lit("00:00:00"),
-        quantity=F.col("l_quantity"),
-    )
-    suggested_on = F.date_sub(_day("o_orderdate"), SUGGESTED_DAYS_BEFORE_ORDER)
-    suggestions = _table(
-        "OrderSuggestions",
-        lines.where(bought & returned).join(orders, F.col("l_orderkey") == F.col("o_orderkey")),
-        order_number=F.col("l_orderkey"),
-        order_position=F.col("item"),
-        article_number=F.col("l_partkey"),
-        order_quantity=F.col("l_quantity"),
-        date=suggested_on,
-        order_date=suggested_on,
-        delivery_date=F.date_add(suggested_on, SUGGESTED_DELIVERY_DAYS),
-        plant=plant,
-    )
-    planned_days = (F.col("o_custkey") % 30 + 1).cast("int")
-    requisitions = _table(
-        "PurchaseRequisitions",
-        purchases,
-        client=_labelled("Client", "o_custkey", 5),
-        purchase_document_number=F.col("o_orderkey"),
-        item_number_of_purchasing_document=F.lit(1),
-        purchase_requisition_number=F.col("o_orderkey"),
-        purchase_requisition_item=F.lit(1),
-        purchase_requisition_date=_day("o_orderdate"),
-        document_type=F.col("o_orderpriority"),
-        purchasing_document_category=F.col("o_orderstatus"),
-        planned_delivery_time=planned_days,
-        latest_possible_goods_receipt=F.date_add(_day("o_orderdate"), planned_days),
-        quantity=F.col("o_custkey") % 100 + 1,
-        unit_of_measure=F.lit("PCS"),
-    )
-    stocks = _table(
-        "MaterialStocks",
-        part,
-        client=_labelled("Client", "p_partkey", 5),
-        material_number=F.col("p_partkey"),
-        plant=_labelled("Plant", "p_partkey", 5),
-        storage_location=_labelled("Storage", "p_partkey", 10),
-        stock_in_quality_inspection=F.col("p_size"),
-        stock_in_transfer=F.col("p_size"),
-        stock_in_posting=F.col("p_size"),
-        stock_of_material_provided_to_vendor=F.col("p_size"),
-        blocked_stock=F.col("p_size"),
-        returns_stock=F.col("p_size"),
-    )
-    flows = _table(
-        "SalesDocumentFlows",
-        lines.where(sold),
-        client=client,
-        sales_document=F.col("l_orderkey"),
-        sales_document_item=F.col("item"),
-        subsequent_sales_document=F.col("l_orderkey"),
-        subsequent_sales_document_item=F.col("item"),
-        document_category_of_subsequent_document=F.when(F.col("l_returnflag") == "N", "Delivery")
-        .when(returned, "Credit Memo")
-        .otherwise("Invoice"),
-        document_category_of_preceding_document=F.lit("Order"),
-        document_date=shipped,
-    )
-    documents = _table(
-        "MaterialDocuments",
-        moved,
-        client=client,
-        material_document_number=F.col("l_orderkey"),
-        material_document_year=F.year(shipped),
-        line_item=F.col("item"),
-        material_number=F.col("l_partkey"),
-        plant=plant,
-        storage_location=_labelled("Storage", "l_partkey", 10),
-        vendors_account_number=F.col("l_suppkey"),
-        customer_number=F.col("l_orderkey") % 50 + 1,
-        movement_type=movement,
-        receiving_plant=plant,
-        quantity=F.col("l_quantity"),
-        posting_date_in_the_document=shipped,
-    )
-    return Tables(
-        {
-            "SalesOrderDocuments": sales_documents,
-            "SalesOrderItems": sales_items,
-            "Materials": materials,
-            "PurchaseRequisitions": requisitions,
-            "MaterialStocks": stocks,
-            "GoodsReceiptsAndIssues": movements,
-            "SalesDocumentFlows": flows,
-            "PurchaseOrderItems": purchase_items,
-            "PurchaseOrderDocuments": purchase_documents,
-            "MaterialDocuments": documents,
-            "OrderSuggestions": suggestions,
-        }
-    )
+    return Tables({name: partial(table, name) for name in CONTRACTS})

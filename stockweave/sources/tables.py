@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,19 +10,27 @@ from stockweave.sources.contracts import CONTRACTS, conform
 
 
 class Tables(Mapping):
-    """Contract-checked DataFrames by table name; nothing is read until an action runs."""
+    """Contract-checked DataFrames by table name.
 
-    def __init__(self, frames: Mapping[str, DataFrame]):
-        self._frames = {name: conform(name, df) for name, df in frames.items()}
+    A table may be given as a function that builds its DataFrame; it is called when the
+    table is first used. Nothing is read until an action runs.
+    """
+
+    def __init__(self, frames: Mapping[str, DataFrame | Callable[[], DataFrame]]):
+        self._sources = dict(frames)
+        self._checked: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._frames[name]
+        if name not in self._checked:
+            source = self._sources[name]
+            self._checked[name] = conform(name, source if isinstance(source, DataFrame) else source())
+        return self._checked[name]
 
     def __iter__(self) -> Iterator[str]:
-        return iter(self._frames)
+        return iter(self._sources)
 
     def __len__(self) -> int:
-        return len(self._frames)
+        return len(self._sources)
 
 
 def read_tables(spark: SparkSession, folder: str, names: list[str] | None = None) -> Tables:
