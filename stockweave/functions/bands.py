@@ -7,61 +7,76 @@ its activity.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-U, N, O = "Understock", "Normal", "Overstock"
+# The labels. A band change that is not listed leaves the activity as it is.
+LABELS = (
+    "Goods Receipt (Understock to Understock)",
+    "Goods Receipt (Understock to Normal)",
+    "Goods Receipt (Understock to Overstock)",
+    "Goods Receipt (Normal to Normal)",
+    "Goods Receipt (Normal to Overstock)",
+    "Goods Receipt (Overstock to Overstock)",
+    "Goods Issue (Understock to Understock)",
+    "Goods Issue (Normal to Understock)",
+    "Goods Issue (Normal to Normal)",
+    "Goods Issue (Overstock to Normal)",
+    "Goods Issue (Overstock to Overstock)",
+    "Create Sales Order Item (Understock to Understock)",
+    "Create Sales Order Item (Normal to Understock)",
+    "Create Sales Order Item (Overstock to Understock)",
+    "Create Sales Order Item (Normal to Normal)",
+    "Create Sales Order Item (Overstock to Normal)",
+    "Create Sales Order Item (Overstock to Overstock)",
+    "Create Purchase Order Item (Understock)",
+    "Create Purchase Order Item (Normal)",
+    "Create Purchase Order Item (Overstock)",
+    "Create Purchase Suggestion Item (Understock)",
+    "Create Purchase Suggestion Item (Normal)",
+    "Create Purchase Suggestion Item (Overstock)",
+)
+SALES = "Create Sales Order Item"
+LABELLED_BY_START = ("Create Purchase Order Item", "Create Purchase Suggestion Item")
 
-# The band changes that get a label, per activity. Any other change
-# leaves the activity as it is.
-LABELLED_CHANGES = {
-    "Goods Receipt": [(U, U), (U, N), (U, O), (N, N), (N, O), (O, O)],
-    "Goods Issue": [(U, U), (N, U), (N, N), (O, N), (O, O)],
-    "Create Sales Order Item": [(U, U), (N, U), (O, U), (N, N), (O, N), (O, O)],
-}
-LABELLED_BANDS = {
-    "Create Purchase Order Item": [U, N, O],
-    "Create Purchase Suggestion Item": [U, N, O],
-}
 
-
-def band(stock: Column, safety: Column, overstock: Column) -> Column:
+def band(stock: Column, is_low: Column, overstock: Column) -> Column:
+    """Band of ``stock``, of which ``is_low`` says whether it is Understock."""
     return (
-        F.when(stock < safety, U)
-        .when((stock >= safety) & (stock < overstock), N)
-        .when(stock >= overstock, O)
+        F.when(is_low, "Understock")
+        .when(~is_low & (stock < overstock), "Normal")
+        .when(~is_low & (stock >= overstock), "Overstock")
     )
 
 
-def sales_bands(before: Column, after: Column, safety: Column, overstock: Column) -> tuple[Column, Column]:
-    """Bands around a sales order item, which counts the safety stock itself as Understock.
-
-    That holds for the stock after, and for the stock before only if the event ends in
-    Understock: starting at the safety stock and ending above it starts Normal.
-    """
-    ends_low = after <= safety
-    start = F.when(ends_low & (before <= safety), U).otherwise(band(before, safety, overstock))
-    end = F.when(ends_low, U).otherwise(band(after, safety, overstock))
-    return start, end
-
-
-def _suffix(activity: str, before: Column, after: Column, safety: Column, overstock: Column) -> Column:
-    """`` (From to To)`` or `` (Band)`` for one activity, NULL where no label applies."""
-    if activity in LABELLED_BANDS:
-        now = band(before, safety, overstock)
-        return F.when(now.isin(LABELLED_BANDS[activity]), F.concat(F.lit(" ("), now, F.lit(")")))
-    if activity == "Create Sales Order Item":
-        start, end = sales_bands(before, after, safety, overstock)
-    else:
-        start, end = band(before, safety, overstock), band(after, safety, overstock)
-    change = F.concat(start, F.lit(" to "), end)
-    labelled = [f"{a} to {b}" for a, b in LABELLED_CHANGES[activity]]
-    return F.when(change.isin(labelled), F.concat(F.lit(" ("), change, F.lit(")")))
+def relabelled(
+    df: DataFrame, activity: str, before: str, after: str, safety: str, overstock: str
+) -> DataFrame:
+    """``df`` with the labelled activity in place of the plain one.
 
+    A sales order item counts the safety stock itself as Understock: always for the stock
+    after, and for the stock before if the event ends in Understock.
 
-def relabelled(activity: Column, before: Column, after: Column, safety: Column, overstock: Column) -> Column:
-    """``activity`` with its band suffix; other activities and missing values pass unchanged."""
-    suffix = F.lit(None).cast("string")
-    for name in (*LABELLED_CHANGES, *LABELLED_BANDS):
-        suffix = F.when(activity == name, _suffix(name, before, after, safety, overstock)).otherwise(suffix)
-    return F.coalesce(F.concat(activity, suffix), activity)
+    Each step is a projection of its own, which keeps the generated methods small enough
+    for the JIT compiler.
+    """
+    name, low, high = F.col(activity), F.col(safety), F.col(overstock)
+    sales = name == SALES
+    ends_low = F.when(sales, F.col(after) <= low).otherwise(F.col(after) < low)
+    starts_low = F.when(sales & F.col("_ends_low"), F.col(before) <= low).otherwise(F.col(before) < low)
+    by_start = F.concat(name, F.lit(" ("), F.col("_start"), F.lit(")"))
+    by_change = F.concat(name, F.lit(" ("), F.col("_start"), F.lit(" to "), F.col("_end"), F.lit(")"))
+    label = F.when(name.isin(*LABELLED_BY_START), by_start).otherwise(by_change)
+    return (
+        df.withColumn("_ends_low", ends_low)
+        .withColumn("_starts_low", starts_low)
+        .withColumns(
+            {
+                "_start": band(F.col(before), F.col("_starts_low"), high),
+                "_end": band(F.col(after), F.col("_ends_low"), high),
+            }
+        )
+        .withColumn("_label", label)
+        .withColumn(activity, F.when(F.col("_label").isin(*LABELS), F.col("_label")).otherwise(name))
+        .drop("_ends_low", "_starts_low", "_start", "_end", "_label")
+    )

@@ -33,16 +33,11 @@ def object_cell(object_type: str, raw: Column) -> Column:
 
 
 def encode_cell(cell: Column) -> Column:
-    """Array cell as CSV text, e.g. ``['MAT-1']``; ids with an apostrophe get double quotes."""
-    text = F.replace(cell[0], F.lit("\\"), F.lit("\\\\"))
-    for raw, escaped in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+    """Array cell as CSV text, e.g. ``['MAT-1']``; quotes, backslashes and line breaks are escaped."""
+    text = cell[0]
+    for raw, escaped in (("\\", "\\\\"), ("'", "\\'"), ("\n", "\\n"), ("\r", "\\r")):
         text = F.replace(text, F.lit(raw), F.lit(escaped))
-    apostrophe, quote = text.contains("'"), text.contains('"')
-    return (
-        F.when(apostrophe & ~quote, F.concat(F.lit('["'), text, F.lit('"]')))
-        .when(apostrophe, F.concat(F.lit("['"), F.replace(text, F.lit("'"), F.lit("\\'")), F.lit("']")))
-        .when(text.isNotNull(), F.concat(F.lit("['"), text, F.lit("']")))
-    )
+    return F.concat(F.lit("['"), text, F.lit("']"))
 
 
 def decode_cell(text: Column) -> Column:

@@ -29,7 +29,6 @@ def with_parameters(events: DataFrame, parameters: DataFrame) -> DataFrame:
 
 def relabel(events: DataFrame, activity: str = "activity") -> DataFrame:
     """Replace the activity of events that carry stock, safety stock and overstock level."""
-    before, after, safety, overstock = (
-        nan_to_null(F.col(c)) for c in ("stock_before", "stock_after", "safety_stock", "overstock_level")
-    )
-    return events.withColumn(activity, relabelled(F.col(activity), before, after, safety, overstock))
+    bounds = ["stock_before", "stock_after", "safety_stock", "overstock_level"]
+    known = events.withColumns({c: nan_to_null(F.col(c)) for c in bounds})
+    return relabelled(known, activity, *bounds)
