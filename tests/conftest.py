@@ -13,7 +13,7 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = build_session("tests", 8, shuffle_partitions=4)
+    session = build_session("tests", 8, shuffle_partitions=4, **{"spark.sql.maxMetadataStringLength": "2000"})
     session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()

@@ -1,0 +1,33 @@
+"""Every registered query against its SQL counterpart."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import SMALL
+
+import __spark_entry__ as entry
+from checks.compare import connect, spark_rows, sql_rows
+
+QUERIES, SQL = entry.queries(), entry.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(SMALL)
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_query(spark, con, name):
+    columns, rows = spark_rows(QUERIES[name](spark, SMALL))
+    expected_columns, expected = sql_rows(con, SQL[name])
+    assert columns == expected_columns
+    assert rows == expected
+    assert rows
+
+
+def test_entry(spark):
+    assert entry.entry(spark).count() == 9_802
