@@ -26,10 +26,10 @@ def pair_id(material: Column, plant: Column) -> Column:
     return F.concat(material_id(material), F.lit("_"), plant)
 
 
-def object_cell(object_type: str, raw: Column) -> Column:
-    """One-element array with the object id, NULL where the event has no such object."""
-    name = raw if object_type in UNPREFIXED else F.concat(F.lit(f"{object_type}--"), raw)
-    return F.when(raw.isNotNull(), F.array(name))
+def object_cell(object_type: str, name: Column, known: Column) -> Column:
+    """One-element array with the object id where ``known`` is present, else NULL."""
+    oid = name if object_type in UNPREFIXED else F.concat(F.lit(f"{object_type}--"), name)
+    return F.when(known.isNotNull(), F.array(oid))
 
 
 def encode_cell(cell: Column) -> Column:

@@ -73,16 +73,16 @@ def published(events: DataFrame, ordered: bool = False) -> DataFrame:
         events = events.orderBy("position")
     if "activity" not in events.columns:
         events = describe(events)
-    raw = {
-        "MAT": material_id(F.col("material")),
-        "PLA": F.col("plant"),
-        "PO_ITEM": F.col("po_item"),
-        "SO_ITEM": F.col("so_item"),
-        "CUSTOMER": F.col("customer"),
-        "SUPPLIER": F.col("supplier"),
-        "MAT_PLA": pair_id(F.col("material"), F.col("plant")),
+    material, plant = F.col("material"), F.col("plant")
+    cells = {
+        "MAT": object_cell("MAT", material_id(material), material),
+        "PLA": object_cell("PLA", plant, plant),
+        "MAT_PLA": object_cell("MAT_PLA", pair_id(material, plant), plant),
     }
-    cells = {object_column(t): object_cell(t, raw[t]) for t in OBJECT_TYPES}
+    for object_type in ("PO_ITEM", "SO_ITEM", "CUSTOMER", "SUPPLIER"):
+        name = F.col(object_type.lower())
+        cells[object_type] = object_cell(object_type, name, name)
+    cells = {object_column(t): cells[t] for t in OBJECT_TYPES}
     return (
         events.withColumns({**cells, "eid": event_id(F.col("position"))})
         .withColumnsRenamed(LOG_COLUMNS)

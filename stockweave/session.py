@@ -19,6 +19,8 @@ def build_session(app: str, cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # Lets a join whose build side fits in every task skip sorting, judged at run time.
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -51,7 +53,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows, and every id in them, are fixed from here on."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialise(df: DataFrame, name: str = "rows") -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    Its rows, and every id in them, are fixed from here on whatever tasks are repeated,
+    and several readers share one computation, each reading only the columns it needs.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
