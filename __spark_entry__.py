@@ -80,8 +80,8 @@ def _running_stock_complete(tables: Tables) -> DataFrame:
 
 
 def _event_ids(tables: Tables) -> DataFrame:
-    counts = stock.event_counts(events.all_events(tables))
-    positioned = stock.with_position(_running(tables), stock.event_offsets(counts))
+    numbering = stock.number_events(events.all_events(tables), SETTINGS.skew)
+    positioned = stock.with_position(_running(tables), numbering.offsets)
     return events.describe(positioned).select(
         "activity",
         "material",
@@ -118,15 +118,12 @@ def _relabelled(tables: Tables) -> DataFrame:
 
 def _overstock_level(tables: Tables) -> DataFrame:
     return inventory.parameters(tables, SETTINGS).select(
-        *demand.PAIR, "safety_stock", "eoq", (F.col("safety_stock") + F.col("eoq")).alias("overstock_level")
+        *demand.PAIR, "safety_stock", "eoq", demand.overstock_level()
     )
 
 
 def _log_with_parameters(tables: Tables) -> DataFrame:
-    joined = inventory.with_parameters(
-        inventory.adjusted(tables, SETTINGS), inventory.parameters(tables, SETTINGS)
-    )
-    return events.describe(joined).select(
+    return inventory.events_with_parameters(tables, SETTINGS).select(
         inventory.event_id(F.col("position")).alias("eid"),
         "activity",
         "material",

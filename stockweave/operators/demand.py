@@ -103,9 +103,10 @@ def lead_times(tables: Tables, as_of: dt.date | None = None) -> DataFrame:
         "purchase_order_number", "purchase_order_item_number", *PAIR
     )
     days = F.datediff("received", "purchase_order_date").cast("double")
+    # Receipts first: they leave only the items received in the last year to join to documents.
     return (
-        items.join(ordered, "purchase_order_number")
-        .join(receipts, ["purchase_order_number", "purchase_order_item_number"])
+        items.join(receipts, ["purchase_order_number", "purchase_order_item_number"])
+        .join(ordered, "purchase_order_number")
         .select(*PAIR, days.alias("lead_time_days"))
         .where(F.col("lead_time_days") >= 0)
         .groupBy(*PAIR)
@@ -152,3 +153,8 @@ def replenishment_parameters(inputs: DataFrame) -> DataFrame:
         F.round(buffer, 2).alias("safety_stock"),
         F.round(reorder, 2).alias("reorder_point"),
     )
+
+
+def overstock_level() -> Column:
+    """Upper bound of the Normal band: rounded safety stock plus rounded order quantity."""
+    return (F.col("safety_stock") + F.col("eoq")).alias("overstock_level")

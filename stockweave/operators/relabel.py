@@ -1,4 +1,4 @@
-"""Events joined to the parameters of their material and plant, and relabelled by stock band."""
+"""Events relabelled by stock band."""
 
 from __future__ import annotations
 
@@ -8,24 +8,6 @@ from pyspark.sql import functions as F
 from stockweave.functions.bands import relabelled
 from stockweave.functions.numbers import nan_to_null
 
-PARAMETERS = [
-    "annual_demand",
-    "average_daily_demand",
-    "stddev_daily_demand",
-    "average_lead_time",
-    "eoq",
-    "safety_stock",
-    "reorder_point",
-]
-
-
-def with_parameters(events: DataFrame, parameters: DataFrame) -> DataFrame:
-    """Every event with the parameters of its pair and the overstock level."""
-    keyed = parameters.withColumnRenamed("material_number", "material")
-    return events.join(keyed, ["material", "plant"], "left").withColumn(
-        "overstock_level", F.col("safety_stock") + F.col("eoq")
-    )
-
 
 def relabel(events: DataFrame, activity: str = "activity") -> DataFrame:
     """Replace the activity of events that carry stock, safety stock and overstock level."""

@@ -71,16 +71,22 @@ def _ordering(order: Sequence[str]) -> list[Column]:
 
 
 def scan_groups(
-    df: DataFrame, groups: Sequence[str], order: Sequence[str], value: str | None = None
+    df: DataFrame,
+    groups: Sequence[str],
+    order: Sequence[str],
+    value: str | None = None,
+    counted: str | None = None,
 ) -> DataFrame:
-    """Add ``seq`` (0-based) and, for ``value``, ``total_before``/``total_after`` per group."""
+    """Add ``seq`` (0-based) and, for ``value``, ``total_before``/``total_after`` per group.
+
+    With ``counted``, rows where that column is NULL take no number of their own.
+    """
     ordered = Window.partitionBy(*groups).orderBy(*_ordering(order))
-    added = {"seq": (F.row_number().over(ordered) - 1).cast("bigint")}
+    up_to_row = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    added = {"seq": F.count(F.col(counted) if counted else F.lit(1)).over(up_to_row) - 1}
     if value:
         added["total_before"] = F.sum(value).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-        added["total_after"] = F.sum(value).over(
-            ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
+        added["total_after"] = F.sum(value).over(up_to_row)
     return df.withColumns(added)
 
 
@@ -152,15 +158,17 @@ def _rows_before(parent: str | None, child: str, n: str) -> Column:
     return F.coalesce(F.sum(n).over(frame), F.lit(0))
 
 
-def key_offsets(counts: DataFrame, key: str, count: str, one_task: int = _ONE_TASK) -> DataFrame:
+def key_offsets(
+    counts: DataFrame, key: str, count: str, keys: int, one_task: int = _ONE_TASK
+) -> DataFrame:
     """(key, offset): rows held by all smaller keys, for a frame with one row per bigint key.
 
-    ``counts`` should be materialised, as it is read more than once. Up to ``one_task``
-    keys are ordered in one window. Beyond that the key is read as three digits of 22
-    bits: totals are taken per prefix and each level adds up its siblings only, so no
-    window partition exceeds 2**22 rows whatever the keys are.
+    ``counts`` should be materialised, as it is read more than once; ``keys`` is its size.
+    Up to ``one_task`` keys are ordered in one window. Beyond that the key is read as three
+    digits of 22 bits: totals are taken per prefix and each level adds up its siblings
+    only, so no window partition exceeds 2**22 rows whatever the keys are.
     """
-    if counts.limit(one_task + 1).count() <= one_task:
+    if keys <= one_task:
         return counts.select(key, _rows_before(None, key, count).alias("offset"))
     low = counts.select(
         F.col(key),

@@ -1,13 +1,14 @@
 """Running stock, event ids, stock floor and adjustment.
 
-The events are shuffled once, by material: the running sums, the event position and the
-floor per (material, plant) all work inside that partitioning. A narrow pass before it
-counts the events per material.
+The events are shuffled once, by material: the running sums, the event position, the floor
+per (material, plant) and the parameters of the pair all work inside that partitioning. A
+narrow pass before it counts the events per material.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame, Window
@@ -49,14 +50,24 @@ def complete(running: DataFrame) -> DataFrame:
     return running.dropna(subset=["stock_before", "stock_after"])
 
 
-def event_counts(events: DataFrame) -> DataFrame:
-    """(material, n), materialised: a narrow pass over the events whose result is read repeatedly."""
-    return materialise(events.groupBy("material").agg(F.count("*").alias("n")))
+@dataclass(frozen=True)
+class Numbering:
+    """What one narrow pass over the events tells: how many there are before each material."""
 
+    total: int
+    offsets: DataFrame  # (material, offset)
+    hot: list[int]
 
-def event_offsets(counts: DataFrame) -> DataFrame:
-    """(material, offset): events of all smaller material numbers."""
-    return key_offsets(counts, "material", "n")
+
+def number_events(events: DataFrame, skew: SkewPolicy = SkewPolicy()) -> Numbering:
+    """Count the events per material, and from that offsets and materials too large for one task."""
+    counts = materialise(events.groupBy("material").agg(F.count("*").alias("n")), "counts")
+    size = counts.agg(F.count("*").alias("keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("total")).first()
+    return Numbering(
+        total=size.total,
+        offsets=key_offsets(counts, "material", "n", size.keys),
+        hot=hot_keys(counts, skew),
+    )
 
 
 def with_position(running: DataFrame, offsets: DataFrame) -> DataFrame:
@@ -83,15 +94,38 @@ def stock_floor(completed: DataFrame) -> DataFrame:
     )
 
 
-def _with_adding_by_window(completed: DataFrame) -> DataFrame:
-    """``adding_stock`` per event; partitioning by material already suffices, so no shuffle."""
-    lowest = F.min(F.least("stock_before", "stock_after")).over(Window.partitionBy(*PAIR))
-    return completed.withColumn("adding_stock", _adding(lowest))
+def _known() -> Column:
+    return F.col("stock_before").isNotNull() & F.col("stock_after").isNotNull()
+
+
+def _floored_by_window(events: DataFrame, offsets: DataFrame, parameters: DataFrame | None) -> DataFrame:
+    """Complete events with ``position``, ``adding_stock`` and the parameters of their pair.
+
+    Being partitioned by material is enough for a window over (material, plant), so the
+    floor costs no shuffle. Neither do the parameters: they travel as rows of their own in
+    the shuffle of the events, ahead of the events of their material, and the same window
+    hands them to the events of their pair.
+    """
+    names = [c for c in parameters.columns if c not in PAIR] if parameters is not None else []
+    if names:
+        events = events.unionByName(parameters.dropna(subset=PAIR), allowMissingColumns=True)
+    # Only events have a branch.
+    scanned = scan_groups(events, ["material"], EVENT_ORDER, "quantity_change", counted="branch")
+    rows = with_position(_as_stock(scanned), offsets)
+    pair = Window.partitionBy(*PAIR)
+    lowest = F.min(F.when(_known(), F.least("stock_before", "stock_after"))).over(pair)
+    of_pair = {name: F.when(F.col("plant").isNotNull(), F.max(name).over(pair)) for name in names}
+    return rows.withColumns({"adding_stock": _adding(lowest), **of_pair}).where(
+        F.col("branch").isNotNull() & _known()
+    )
 
 
-def _with_adding_by_join(completed: DataFrame) -> DataFrame:
-    """Same for pairs too large for one task: minima are combined before the shuffle, then joined."""
-    return completed.join(stock_floor(completed).select(*PAIR, "adding_stock"), PAIR, "left")
+def _floored_by_join(events: DataFrame, offsets: DataFrame, parameters: DataFrame | None) -> DataFrame:
+    """Same for materials too large for one task: scanned in chunks, minima combined before the shuffle."""
+    chunked = _as_stock(scan_chunks(events, "material", EVENT_ORDER, "quantity_change"))
+    completed = complete(with_position(chunked, offsets))
+    floored = completed.join(stock_floor(completed).select(*PAIR, "adding_stock"), PAIR, "left")
+    return floored.join(parameters, PAIR, "left") if parameters is not None else floored
 
 
 def _adjust(floored: DataFrame, stock_after: StockAfter) -> DataFrame:
@@ -108,18 +142,33 @@ def _adjust(floored: DataFrame, stock_after: StockAfter) -> DataFrame:
 
 
 def adjusted_events(
-    events: DataFrame, skew: SkewPolicy = SkewPolicy(), stock_after: StockAfter = "reference"
+    events: DataFrame,
+    numbering: Numbering,
+    stock_after: StockAfter = "reference",
+    parameters: DataFrame | None = None,
 ) -> DataFrame:
-    """Narrow events with position and stock lifted so that no (material, plant) falls below zero."""
-    counts = event_counts(events)
-    hot, offsets = hot_keys(counts, skew), event_offsets(counts)
-    ordinary, large = split_hot(events, "material", hot)
+    """Narrow events with position and stock lifted so that no (material, plant) falls below zero.
 
-    scanned = _as_stock(scan_groups(ordinary, ["material"], EVENT_ORDER, "quantity_change"))
-    floored = _with_adding_by_window(complete(with_position(scanned, offsets)))
+    ``parameters``, with one row per (material, plant), adds its other columns to the events
+    of the pair: a left join that is planned along with the floor.
+    """
+    ordinary, large = split_hot(events, "material", numbering.hot)
+    floored = _floored_by_window(ordinary, numbering.offsets, parameters)
     if large is not None:
-        chunked = _as_stock(scan_chunks(large, "material", EVENT_ORDER, "quantity_change"))
         # One row per hot key, and the list of hot keys is bounded.
-        of_hot = F.broadcast(offsets.where(F.col("material").isin(hot)))
-        floored = floored.unionByName(_with_adding_by_join(complete(with_position(chunked, of_hot))))
+        of_hot = F.broadcast(numbering.offsets.where(F.col("material").isin(numbering.hot)))
+        floored = floored.unionByName(_floored_by_join(large, of_hot, parameters))
     return _adjust(floored, stock_after).drop("seq")
+
+
+def in_order(events: DataFrame, total: int) -> DataFrame:
+    """Events by position, in partitions of equal size that follow each other.
+
+    Positions are known and nearly dense, so each row's partition follows from its position;
+    sorting globally would first run the whole plan to sample them.
+    """
+    parts = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = max(1, -(-total // parts))
+    return events.repartitionById(parts, F.expr(f"CAST(position DIV {rows} AS INT)")).sortWithinPartitions(
+        "position"
+    )

@@ -13,9 +13,9 @@ from stockweave.operators import demand
 from stockweave.operators.demand import ReplenishmentPolicy
 from stockweave.operators.events import all_events, describe, material_keys
 from stockweave.operators.ocel import ACTIVITY, AFTER, BEFORE, EID, LOG_ORDER, TIMESTAMP, object_column
-from stockweave.operators.relabel import relabel, with_parameters
+from stockweave.operators.relabel import relabel
 from stockweave.operators.running import SkewPolicy, find_hot_keys
-from stockweave.operators.stock import StockAfter, adjusted_events
+from stockweave.operators.stock import StockAfter, adjusted_events, in_order, number_events
 from stockweave.sources.tables import Tables
 
 
@@ -55,24 +55,28 @@ def hot_materials(tables: Tables, skew: SkewPolicy = SkewPolicy()) -> list[int]:
     return find_hot_keys(material_keys(tables), skew)
 
 
-def adjusted(tables: Tables, settings: JobSettings = JobSettings()) -> DataFrame:
-    """Narrow events with position and adjusted stock."""
-    return adjusted_events(all_events(tables), settings.skew, settings.stock_after)
+def adjusted(
+    tables: Tables,
+    settings: JobSettings = JobSettings(),
+    parameters: DataFrame | None = None,
+    ordered: bool = False,
+) -> DataFrame:
+    """Narrow events with position, adjusted stock and, where given, the parameters of their pair.
+
+    ``ordered`` sorts by material and event order.
+    """
+    events = all_events(tables)
+    numbering = number_events(events, settings.skew)
+    found = adjusted_events(events, numbering, settings.stock_after, parameters)
+    return in_order(found, numbering.total) if ordered else found
 
 
 def event_id(position) -> F.Column:
     return F.concat(F.lit("e"), position.cast("string"))
 
 
-def published(events: DataFrame, ordered: bool = False) -> DataFrame:
-    """The log in its published columns; ``ordered`` sorts by material and event order.
-
-    Positions follow that order, so sorting by them is enough.
-    """
-    if ordered:
-        events = events.orderBy("position")
-    if "activity" not in events.columns:
-        events = describe(events)
+def published(events: DataFrame) -> DataFrame:
+    """Described events in the published columns of the log."""
     material, plant = F.col("material"), F.col("plant")
     cells = {
         "MAT": object_cell("MAT", material_id(material), material),
@@ -92,7 +96,7 @@ def published(events: DataFrame, ordered: bool = False) -> DataFrame:
 
 def event_log(tables: Tables, settings: JobSettings = JobSettings(), ordered: bool = False) -> DataFrame:
     """The object-centric event log."""
-    return published(adjusted(tables, settings), ordered)
+    return published(describe(adjusted(tables, settings, ordered=ordered)))
 
 
 def parameters(tables: Tables, settings: JobSettings = JobSettings()) -> DataFrame:
@@ -112,14 +116,30 @@ def inventory_parameters(
     return found.withColumnsRenamed(PARAMETER_COLUMNS)
 
 
-def relabelled_events(tables: Tables, settings: JobSettings = JobSettings()) -> DataFrame:
-    """Described events with their parameters and the new activity."""
-    joined = with_parameters(adjusted(tables, settings), parameters(tables, settings))
-    return relabel(describe(joined))
+def _pair_parameters(tables: Tables, settings: JobSettings) -> DataFrame:
+    found = parameters(tables, settings).withColumnRenamed("material_number", "material")
+    return found.select("*", demand.overstock_level())
+
+
+def events_with_parameters(
+    tables: Tables, settings: JobSettings = JobSettings(), ordered: bool = False
+) -> DataFrame:
+    """Described events with all parameters of their pair and the overstock level."""
+    return describe(adjusted(tables, settings, _pair_parameters(tables, settings), ordered))
+
+
+def relabelled_events(
+    tables: Tables, settings: JobSettings = JobSettings(), ordered: bool = False
+) -> DataFrame:
+    """Described events with the bounds of their pair and the new activity."""
+    bounds = _pair_parameters(tables, settings).select(
+        "material", "plant", "safety_stock", "overstock_level"
+    )
+    return relabel(describe(adjusted(tables, settings, bounds, ordered)))
 
 
 def relabelled_event_log(
     tables: Tables, settings: JobSettings = JobSettings(), ordered: bool = False
 ) -> DataFrame:
     """The event log with every activity labelled by stock band."""
-    return published(relabelled_events(tables, settings), ordered)
+    return published(relabelled_events(tables, settings, ordered))

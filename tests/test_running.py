@@ -90,7 +90,7 @@ def test_key_offsets(spark, one_task):
     keys = sorted(keys)
     counts = [rng.randrange(1, 9) for _ in keys]
     df = spark.createDataFrame(list(zip(keys, counts)), "k long, n long").repartition(3)
-    found = {r.k: r.offset for r in key_offsets(df, "k", "n", one_task).collect()}
+    found = {r.k: r.offset for r in key_offsets(df, "k", "n", len(keys), one_task).collect()}
     assert found == dict(zip(keys, [0, *accumulate(counts)][:-1]))
 
 
