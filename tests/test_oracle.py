@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from conftest import SMALL
 
@@ -22,7 +24,10 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
-    columns, rows = spark_rows(QUERIES[name](spark, SMALL))
+    df = QUERIES[name](spark, SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Python|Pandas|CartesianProduct|BroadcastNestedLoopJoin", plan)
+    columns, rows = spark_rows(df)
     expected_columns, expected = sql_rows(con, SQL[name])
     assert columns == expected_columns
     assert rows == expected

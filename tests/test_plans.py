@@ -10,7 +10,6 @@ from conftest import SMALL
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from stockweave.operators import demand, events, running, stock
 from stockweave.operators.running import SkewPolicy, scan_chunks
 from stockweave.plans import inventory
@@ -40,12 +39,6 @@ def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=str)
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if "roundtrip" not in n])
-def test_no_python_in_any_plan(spark, name):
-    text = plan(entry.queries()[name](spark, SMALL))
-    assert not re.search(r"Python|Pandas|CartesianProduct|BroadcastNestedLoopJoin", text)
-
-
 def test_running_sums_share_one_window_and_one_shuffle(typed):
     text = plan(stock.running_stock(events.all_events(typed)))
     assert len(re.findall(r"\bWindow \[", text)) == 1
