@@ -19,15 +19,6 @@ def object_column(object_type: str) -> str:
     return f"{TYPE}:{object_type}"
 
 
-def _tagged(object_type: str) -> Column:
-    """The objects of one type in an event as (type, id) structs, empty if it has none."""
-    tagged = F.transform(
-        F.col(f"`{object_column(object_type)}`"),
-        lambda oid: F.struct(F.lit(object_type).alias("type"), oid.alias("oid")),
-    )
-    return F.coalesce(tagged, F.array().cast("array<struct<type:string,oid:string>>"))
-
-
 # Published columns of a log, in output order.
 LOG_ORDER = [
     ACTIVITY,
@@ -40,29 +31,31 @@ LOG_ORDER = [
 ]
 
 
-def event_objects() -> Column:
-    """All objects of an event, in type order."""
-    return F.concat(*[_tagged(t) for t in OBJECT_TYPES])
+def object_lists() -> list[Column]:
+    """Per object type a struct (type, ids) of the objects of an event."""
+    return [
+        F.struct(F.lit(t).alias("type"), F.col(f"`{object_column(t)}`").alias("ids")) for t in OBJECT_TYPES
+    ]
 
 
 def ocel_events(log: DataFrame) -> DataFrame:
     return log.select(EID, ACTIVITY, TIMESTAMP, BEFORE, AFTER)
 
 
+def _relations(log: DataFrame, *kept: str) -> DataFrame:
+    """One row per event and object with the ``kept`` columns; missing objects leave no row."""
+    by_type = log.select(*kept, F.explode(F.array(*object_lists())).alias("o"))
+    return by_type.select(*kept, F.explode("o.ids").alias(OID), F.col("o.type").alias(TYPE))
+
+
 def ocel_relations(log: DataFrame) -> DataFrame:
-    """One row per event and object; missing objects leave no row."""
-    return log.select(EID, ACTIVITY, TIMESTAMP, F.explode(event_objects()).alias("o")).select(
-        EID, ACTIVITY, TIMESTAMP, F.col("o.oid").alias(OID), F.col("o.type").alias(TYPE)
-    )
+    """One row per event and object."""
+    return _relations(log, EID, ACTIVITY, TIMESTAMP)
 
 
 def ocel_objects(log: DataFrame) -> DataFrame:
     """Distinct (id, type) of all objects that take part in an event."""
-    return (
-        log.select(F.explode(event_objects()).alias("o"))
-        .select(F.col("o.oid").alias(OID), F.col("o.type").alias(TYPE))
-        .distinct()
-    )
+    return _relations(log).distinct()
 
 
 def ocel_summary(log: DataFrame) -> DataFrame:
@@ -71,20 +64,18 @@ def ocel_summary(log: DataFrame) -> DataFrame:
     One pass: an event gives one row for its activity and one per object, and the first
     aggregation already brings both down to distinct names before anything is shuffled.
     """
-    activity = F.array(
-        F.struct(
-            F.lit("events").alias("section"),
-            F.col(f"`{ACTIVITY}`").alias("name"),
-            F.lit(None).cast("string").alias("oid"),
-        )
-    )
-    objects = F.transform(
-        event_objects(),
-        lambda o: F.struct(F.lit("objects").alias("section"), o["type"].alias("name"), o["oid"].alias("oid")),
+    activity = F.struct(
+        F.lit("events").alias("section"),
+        F.col(f"`{ACTIVITY}`").alias("name"),
+        F.array(F.lit(None).cast("string")).alias("ids"),
     )
+    objects = [
+        F.struct(F.lit("objects").alias("section"), o["type"].alias("name"), o["ids"].alias("ids"))
+        for o in object_lists()
+    ]
     counted = (
-        log.select(F.explode(F.concat(activity, objects)).alias("x"))
-        .select("x.*")
+        log.select(F.explode(F.array(activity, *objects)).alias("x"))
+        .select("x.section", "x.name", F.explode("x.ids").alias("oid"))
         .groupBy("section", "name", "oid")
         .agg(F.count("*").alias("n"))
     )

@@ -157,6 +157,8 @@ def adjusted_events(
     if large is not None:
         # One row per hot key, and the list of hot keys is bounded.
         of_hot = F.broadcast(numbering.offsets.where(F.col("material").isin(numbering.hot)))
+        if parameters is not None:
+            parameters = parameters.where(F.col("material").isin(numbering.hot))
         floored = floored.unionByName(_floored_by_join(large, of_hot, parameters))
     return _adjust(floored, stock_after).drop("seq")
 
