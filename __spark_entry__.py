@@ -247,8 +247,23 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
-def _over_staged(query: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: comparable(query(stage(spark, sf_dir)))
+# Queries that read item numbers through one branch at most; the others store the
+# numbered lines once and read them from there.
+_ONE_BRANCH = {
+    *(name for name in _QUERIES if name.startswith(("stg_", "ev_"))),
+    "dq_foreign_keys",
+    "stock_changes",
+    "materials_plants",
+    "daily_demand",
+    "demand_stats",
+}
+
+
+def _over_staged(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return comparable(_QUERIES[name](stage(spark, sf_dir, SETTINGS.skew, name not in _ONE_BRANCH)))
+
+    return run
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -257,7 +272,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _over_staged(query) for name, query in _QUERIES.items()}
+    return {name: _over_staged(name) for name in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -58,7 +58,7 @@ def timed(action) -> float:
 
 def run(spark, folder: str) -> dict[str, float]:
     staged = scratch_path(spark, "tables")
-    seconds = {"stage_tables": timed(lambda: write_tables(stage(spark, folder), staged))}
+    seconds = {"stage_tables": timed(lambda: write_tables(stage(spark, folder, store_lines=True), staged))}
     for name, job in jobs(spark, read_tables(spark, staged)).items():
         seconds[name] = timed(job)
     return seconds

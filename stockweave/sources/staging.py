@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockweave.operators.running import SkewPolicy, find_hot_keys, scan
+from stockweave.session import materialise
 from stockweave.sources.contracts import CONTRACTS
 from stockweave.sources.tables import Tables
 
@@ -267,9 +268,10 @@ def numbered_lines(lineitem: DataFrame, policy: SkewPolicy = SkewPolicy()) -> Da
 class RawFrames:
     """The frames the mappings select from, built when first asked for."""
 
-    def __init__(self, spark: SparkSession, folder: str, policy: SkewPolicy):
+    def __init__(self, spark: SparkSession, folder: str, policy: SkewPolicy, store_lines: bool):
         self._read = partial(read_raw, spark, folder)
         self._policy = policy
+        self._store_lines = store_lines
 
     @cached_property
     def part(self) -> DataFrame:
@@ -281,16 +283,24 @@ class RawFrames:
 
     @cached_property
     def lines(self) -> DataFrame:
-        return numbered_lines(self._read("lineitem"), self._policy)
+        lines = numbered_lines(self._read("lineitem"), self._policy)
+        return materialise(lines, "lines") if self._store_lines else lines
 
     @cached_property
     def dated_lines(self) -> DataFrame:
         return self.lines.join(self.orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
-def stage(spark: SparkSession, folder: str, policy: SkewPolicy = SkewPolicy()) -> Tables:
-    """All eleven tables as lazy projections of ``part``, ``orders`` and ``lineitem``."""
-    raw = RawFrames(spark, folder, policy)
+def stage(
+    spark: SparkSession, folder: str, policy: SkewPolicy = SkewPolicy(), store_lines: bool = False
+) -> Tables:
+    """All eleven tables as lazy projections of ``part``, ``orders`` and ``lineitem``.
+
+    ``store_lines`` writes the numbered lines to the shared folder at first use. It pays off
+    when several tables take item numbers from them: the lines are then shuffled once
+    instead of once per table.
+    """
+    raw = RawFrames(spark, folder, policy, store_lines)
 
     def table(name: str) -> DataFrame:
         source, condition, columns = MAPPINGS[name]
