@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,3 +64,10 @@ def materialise(df: DataFrame, name: str = "rows") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(actions: Sequence[Callable[[], None]], at_once: int = 4) -> None:
+    """Run independent writes a few at a time, so that the tasks of one fill the gaps of another."""
+    with ThreadPoolExecutor(at_once) as pool:
+        for done in [pool.submit(action) for action in actions]:
+            done.result()

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stockweave.session import side_by_side
 from stockweave.sources.contracts import CONTRACTS, conform
 
 
@@ -44,15 +45,6 @@ def read_tables(spark: SparkSession, folder: str, names: list[str] | None = None
     )
 
 
-def write_tables(tables: Tables, folder: str, mode: str = "errorifexists", at_once: int = 4) -> None:
-    """Bulk-write every table in contract column order, a few at a time.
-
-    Small tables leave most of a cluster idle; Spark fills it with the tasks of the others.
-    """
-
-    def write(item: tuple[str, DataFrame]) -> None:
-        name, df = item
-        df.write.mode(mode).parquet(f"{folder}/{name}")
-
-    with ThreadPoolExecutor(at_once) as pool:
-        list(pool.map(write, list(tables.items())))
+def write_tables(tables: Tables, folder: str, mode: str = "errorifexists") -> None:
+    """Bulk-write every table in contract column order."""
+    side_by_side([partial(df.write.mode(mode).parquet, f"{folder}/{name}") for name, df in tables.items()])
