@@ -6,7 +6,9 @@ Every query stages the ERP tables from the raw parquet files and runs over all o
 from __future__ import annotations
 
 import datetime as dt
+import importlib
 from collections.abc import Callable
+from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -271,9 +273,27 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["relabelled_event_log"](spark, "/root/testdata/sf0.001")
 
 
+def _optional() -> list[ModuleType]:
+    """Modules with more queries, as far as they are there."""
+    found = []
+    for name in ("stockweave.llm.queries", "corpus_pipeline"):
+        try:
+            found.append(importlib.import_module(name))
+        except ModuleNotFoundError as missing:
+            if missing.name not in ("stockweave.llm", "stockweave.llm.queries", "corpus_pipeline"):
+                raise
+    return found
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _over_staged(name) for name in _QUERIES}
+    found = {name: _over_staged(name) for name in _QUERIES}
+    for module in _optional():
+        found |= module.queries()
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.build(CONTRACTS, SOFT_REFERENCES)
+    found = oracle.build(CONTRACTS, SOFT_REFERENCES)
+    for module in _optional():
+        found |= module.oracle_sql()
+    return found
