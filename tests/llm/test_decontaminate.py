@@ -1,0 +1,97 @@
+"""Decontamination against a plain search, and its defined cases."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+import pytest
+
+from stockweave.llm import decontaminate
+
+DOCS = "doc_id bigint, text string, extra string, hits string"
+BENCH = "item_id bigint, text string"
+LONG = " ".join(f"w{i}" for i in range(30))
+ITEMS = [(1, LONG), (2, "Short, item"), (3, None), (4, "..."), (2, "short ITEM"), (None, "zzz"), (10, LONG + " tail")]
+TEXTS = [
+    (1, "intro " + LONG.upper() + " outro"),
+    (2, None),
+    (3, ""),
+    (4, "a short -- item here"),
+    (5, " ".join(f"w{i}" for i in range(12))),
+    (6, "x " * 500 + " ".join(f"w{i}" for i in range(5, 18))),
+    (6, "x " * 500 + " ".join(f"w{i}" for i in range(5, 18))),
+    (7, "é short item short item"),
+    (8, "zzz tail"),
+    (None, "short item"),
+]
+
+
+def plain(texts, items):
+    def words(t):
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+    windows = {}
+    for item, text in items:
+        w = words(text)
+        n = min(13, len(w))
+        for i in range(len(w) - n + 1 if w else 0):
+            if item is not None:
+                windows.setdefault(tuple(w[i : i + n]), set()).add(str(item))
+    out = []
+    for doc, text in texts:
+        w, hit, found = words(text), set(), set()
+        for n in {len(k) for k in windows}:
+            for i in range(len(w) - n + 1):
+                if ids := windows.get(tuple(w[i : i + n])):
+                    hit |= set(range(i, i + n))
+                    found |= ids
+        digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        out.append((doc, len(w), len(hit), len(found), digest, bool(hit) and 20 * len(hit) >= len(w)))
+    return sorted(out, key=str)
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+@pytest.fixture
+def docs(spark):
+    return spark.createDataFrame([(d, t, "e", "own") for d, t in TEXTS], DOCS)
+
+
+def test_equals_plain_search(spark, docs):
+    bench = spark.createDataFrame(ITEMS, BENCH)
+    assert rows(decontaminate.digest(docs, bench)) == plain(TEXTS, ITEMS)
+
+
+def test_blocks_give_the_same(spark, docs):
+    bench = spark.createDataFrame(ITEMS, BENCH)
+    whole = decontaminate.judged(decontaminate.scan(docs, bench))
+    blocks = decontaminate.judged(decontaminate.scan(docs, bench, block_chars=60))
+    assert rows(whole) == rows(blocks)
+
+
+def test_empty_tables(spark, docs):
+    none = spark.createDataFrame([], BENCH)
+    assert {(r.n_hit, r.contaminated) for r in decontaminate.digest(docs, none).collect()} == {(0, False)}
+    assert decontaminate.digest(docs.limit(0), spark.createDataFrame(ITEMS, BENCH)).count() == 0
+
+
+def test_removal_keeps_columns_and_clean_rows(spark, docs):
+    bench = spark.createDataFrame(ITEMS, BENCH)
+    kept = decontaminate.remove_documents(docs, bench)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == {2, 3, 5, 6, 8} and {r.hits for r in kept.collect()} == {"own"}
+    cleaned = {r.doc_id: r.text for r in decontaminate.remove_spans(docs, bench).collect()}
+    assert cleaned[1] == "intro  outro" and cleaned[4] == "a  here" and cleaned[2] is None
+    assert cleaned[7] == "é short item "
+
+
+def test_corpus(spark):
+    folder = "/root/testdata/sf0.001"
+    docs, bench = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "benchmark"))
+    expected = plain([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in bench.collect()])
+    assert rows(decontaminate.digest(docs, bench)) == expected
+    assert any(r[-1] for r in expected)
