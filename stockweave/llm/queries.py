@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockweave.llm import decontaminate
+from stockweave.llm import decontaminate, quality
 from stockweave.llm.common import table
 
 
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.digest(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.digest(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
