@@ -6,14 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockweave.llm import decontaminate, quality
+from stockweave.llm import decontaminate, packing, quality, sharding
 from stockweave.llm.common import table
 
 
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"))
+
+
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.digest(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, folder, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.digest(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 

@@ -1,0 +1,96 @@
+"""Packing against direct encoding, the law of sequences, and its defined cases."""
+
+from __future__ import annotations
+
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from stockweave.llm import packing
+
+PATH = public_tokenizers.path(packing.TOKENIZER)
+DOCS = "doc_id bigint, text string, piece string"
+
+
+@pytest.fixture(scope="module")
+def plain():
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.encode_special_tokens = True
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+TEXTS = ["", " \n", "it's don't 'LL x s", "é ́x a​b", "THE&&& the... 12,5 “quoted” …!", "f\x1cg\x85h",
+         "<|endoftext|> a<|startoftext|>b", "İǅ ΣΑΣ.", "你好 \U0001f600 x² × ÷", "café. Straße!!"]
+
+
+def test_encoder(plain):
+    encoder = packing.Encoder(PATH, most=5)
+    for texts in (TEXTS, TEXTS[::-1], [" ".join(TEXTS)]):
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(texts)] == list(map(plain, texts))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(max_size=40), max_size=4))
+def test_encoder_on_any_text(texts):
+    texts = [t.encode("utf-8", "replace").decode() for t in texts]
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.encode_special_tokens = True
+    got = packing.Encoder(PATH).encode(texts)
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == want
+
+
+@given(st.lists(st.integers(1, 20), max_size=200), st.integers(1, 8))
+def test_best_fit(lengths, open_bins):
+    placed = packing.best_fit(lengths, 20, open_bins)
+    fill = defaultdict(int)
+    for (own, offset), length in zip(placed, lengths, strict=True):
+        assert offset == fill[own]
+        fill[own] += length
+    assert all(total <= 20 for total in fill.values())
+
+
+def test_tightest_bin_and_fullest_closes():
+    assert packing.best_fit([6, 7, 3], 10) == [(0, 0), (1, 0), (1, 7)]
+    assert packing.best_fit([6, 7, 8, 3, 4], 10, 2) == [(0, 0), (1, 0), (2, 0), (0, 6), (3, 0)]
+
+
+def check(rows, texts, plain, capacity):
+    by_sequence = defaultdict(list)
+    for r in rows:
+        by_sequence[r.sequence_id].append((r.offset, r.length))
+    for parts in by_sequence.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    expected = []
+    for doc, text in texts:
+        ids = [*plain(text), 1]
+        for piece, start in enumerate(range(0, len(ids), capacity)):
+            own = ids[start : start + capacity]
+            expected.append((doc, piece, start, len(own), zlib.crc32(np.array(own, "<u4").tobytes())))
+    assert sorted(map(str, expected)) == sorted(str(tuple(r[:5])) for r in rows)
+    return len(by_sequence)
+
+
+def test_corpus(spark, plain):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = packing.pack_documents(docs).collect()
+    count = check(rows, [(r.doc_id, r.text) for r in docs.collect()], plain, packing.CAPACITY)
+    assert count <= 1.05 * sum(r.length for r in rows) / packing.CAPACITY + 1
+
+
+def test_defined_cases(spark, plain):
+    texts = [(1, None), (2, ""), (3, "word " * 300), (3, "word " * 300), (None, "x y"), (None, None)]
+    docs = spark.createDataFrame([(*t, "own") for t in texts], DOCS)
+    rows = packing.pack(packing.materialise(packing.pieces(docs, 64)), 64, group_pieces=4).collect()
+    check(rows, texts, plain, 64)
+    assert packing.pack_documents(docs.limit(0)).count() == 0
