@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockweave.llm import decontaminate, packing, quality, sharding
+from stockweave.llm import decontaminate, near_dup, packing, quality, sharding
 from stockweave.llm.common import table
 
 
+def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dup.duplicates(table(spark, folder, "documents"))
+
+
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
 
