@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockweave.llm import decontaminate, near_dup, packing, quality, sharding
+from stockweave.llm import decontaminate, near_dup, packing, quality, secrets, sharding
 from stockweave.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"))
 
 
+def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digest(table(spark, folder, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.digest(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
