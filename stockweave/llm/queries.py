@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockweave.llm import decontaminate, near_dup, packing, quality, secrets, sharding
+from stockweave.llm import decontaminate, near_dup, packing, pii, quality, secrets, sharding
 from stockweave.llm.common import table
 
 
+def op1_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digest(table(spark, folder, "documents"))
+
+
 def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.duplicates(table(spark, folder, "documents"))
 

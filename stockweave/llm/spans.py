@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPANS = "array<struct<start:bigint,end:bigint,text:string>>"
-MARKED = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
 def _placed(gaps: Column, matches: Column) -> Column:
