@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockweave.llm import decontaminate, html_text, near_dup, packing, pii, quality, secrets, sharding
+from stockweave.llm import decontaminate, html_text, language, near_dup, packing, pii, quality, secrets, sharding
 from stockweave.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digest(table(spark, folder, "documents"))
 
 
+def op10_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.digest(table(spark, folder, "documents"))
+
+
 def op2_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.digest(table(spark, folder, "pages"))
 
