@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockweave.llm import decontaminate, html_text, language, near_dup, packing, pii, quality, secrets, sharding
+from stockweave.llm import decontaminate, html_text, language, near_dup, ngram_lm, packing, pii, quality, secrets, sharding
 from stockweave.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.duplicates(table(spark, folder, "documents"))
 
 
+def op4_ngram_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_lm.score(table(spark, folder, "documents"))
+
+
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
 
