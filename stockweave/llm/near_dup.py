@@ -30,7 +30,17 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockweave.llm.common import WordIds, as_bytes, mix, place_factors, whole_text, window_hashes, with_computed
+from stockweave.llm.common import (
+    WordIds,
+    as_bytes,
+    mix,
+    place_factors,
+    restored,
+    set_aside,
+    whole_text,
+    window_hashes,
+    with_computed,
+)
 from stockweave.llm.graph import components
 from stockweave.session import materialise
 
@@ -262,9 +272,13 @@ def duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The document of each component with the smallest id, once, in the columns of ``docs``."""
+    """The document of each component with the smallest id, once, in the columns of ``docs``.
+
+    Rows without an id all stay.
+    """
     kept = duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    rows = docs.join(kept, "doc_id", "left_semi")
+    rows = set_aside(docs, "doc_id")
     same_id = Window.partitionBy("doc_id").orderBy("doc_id")
-    once = rows.withColumn("_copy", F.row_number().over(same_id)).where("_copy = 1").drop("_copy")
-    return once.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    numbered = rows.join(kept, "doc_id", "left_semi").withColumn("copy", F.row_number().over(same_id))
+    once = numbered.where("copy = 1").select("row", "doc_id")
+    return restored(once.union(rows.where("doc_id IS NULL")), docs.columns)
