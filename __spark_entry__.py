@@ -27,6 +27,7 @@ from stockweave.sources.staging import stage
 from stockweave.sources.tables import Tables
 
 AS_OF = dt.date(1997, 1, 1)
+LEAP_DAY = dt.date(1996, 2, 29)
 SETTINGS = JobSettings(as_of=AS_OF)
 CORRECTED = JobSettings(as_of=AS_OF, stock_after="running")
 
@@ -225,6 +226,8 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "daily_demand": lambda tables: demand.daily_demand(tables, AS_OF),
     "demand_stats": lambda tables: demand.demand_stats(tables, AS_OF),
     "lead_times": lambda tables: demand.lead_times(tables, AS_OF),
+    "daily_demand_leap_day": lambda tables: demand.daily_demand(tables, LEAP_DAY),
+    "lead_times_leap_day": lambda tables: demand.lead_times(tables, LEAP_DAY),
     "replenishment_inputs": lambda tables: demand.replenishment_inputs(tables, AS_OF),
     "inventory_parameters": lambda tables: inventory.inventory_parameters(tables, SETTINGS, ordered=True),
     "overstock_level": _overstock_level,
@@ -257,6 +260,7 @@ _ONE_BRANCH = {
     "stock_changes",
     "materials_plants",
     "daily_demand",
+    "daily_demand_leap_day",
     "demand_stats",
 }
 

@@ -29,9 +29,13 @@ class ReplenishmentPolicy:
 
 
 def _since(as_of: dt.date | None) -> Column:
-    """One year before ``as_of``, or before the day the job runs. 29 February gives the 28th."""
-    day = F.lit(as_of) if as_of else F.current_date()
-    return F.add_months(day, -12)
+    """The same day of the year before ``as_of``, or before the UTC day the job runs.
+
+    29 February gives 1 March, the day its number falls on in a shorter month.
+    """
+    day = F.lit(as_of) if as_of else F.to_date(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()))
+    earlier = F.add_months(day, -12)
+    return F.date_add(earlier, F.dayofmonth(day) - F.dayofmonth(earlier))
 
 
 def materials_plants(tables: Tables) -> DataFrame:
