@@ -18,7 +18,7 @@ from stockweave.operators import demand, events, ocel, quality, stock
 from stockweave.plans import files, inventory
 from stockweave.plans.inventory import JobSettings
 from stockweave.session import scratch_path
-from stockweave.sinks.event_log_csv import encoded, write_event_log
+from stockweave.sinks.event_log_csv import write_event_log
 from stockweave.sinks.ocel_xml import write_ocel_xml
 from stockweave.sources.contracts import CONTRACTS, SOFT_REFERENCES
 from stockweave.sources.event_log_csv import read_event_log
@@ -56,10 +56,15 @@ EVENT_COLUMNS = [
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Dates as ISO text, arrays as cell text: forms both engines print alike."""
-    dates = [name for name, kind in df.dtypes if kind == "date"]
-    df = df.withColumns({name: F.col(f"`{name}`").cast("string") for name in dates}) if dates else df
-    return encoded(df)
+    """Dates as ISO text, arrays as their size and elements: forms both engines print alike."""
+
+    def shown(name: str, kind: str):
+        column = F.col(f"`{name}`")
+        if kind.startswith("array"):
+            return F.concat(F.size(column), F.lit(":"), F.array_join(column, "|", "NULL")).alias(name)
+        return column.cast("string").alias(name) if kind == "date" else column
+
+    return df.select(*[shown(name, kind) for name, kind in df.dtypes])
 
 
 def _hot(tables: Tables) -> list[int]:
@@ -175,6 +180,49 @@ def _relabelled_csv_roundtrip(tables: Tables) -> DataFrame:
     return read_event_log(spark, out)
 
 
+def _order_log(tables: Tables) -> DataFrame:
+    """One row per purchase order: all its materials in one cell, no plant, the rest unknown."""
+    items, documents = tables["PurchaseOrderItems"], tables["PurchaseOrderDocuments"]
+    rows = (
+        items.join(documents, items.purchase_order_number == documents.purchase_document_number)
+        .groupBy("purchase_order_number", "purchase_order_date")
+        .agg(
+            F.array_sort(F.collect_list(F.concat(F.lit("MAT-"), F.col("material_number")))).alias("materials"),
+            F.sum("quantity").alias("quantity"),
+        )
+    )
+    known = {
+        ocel.ACTIVITY: F.lit("Order"),
+        ocel.TIMESTAMP: F.col("purchase_order_date"),
+        ocel.object_column("MAT"): F.col("materials"),
+        ocel.object_column("PLA"): F.array().cast("array<string>"),
+        ocel.BEFORE: F.lit(0.0),
+        ocel.AFTER: F.col("quantity"),
+        ocel.EID: F.concat(F.lit("o"), F.col("purchase_order_number")),
+    }
+    empty = F.lit(None).cast("array<string>")
+    return rows.select(*[known.get(c, empty).alias(c) for c in ocel.LOG_ORDER])
+
+
+def _multi_object_roundtrip(tables: Tables) -> DataFrame:
+    spark = tables["Materials"].sparkSession
+    path = scratch_path(spark, "order-log")
+    write_event_log(_order_log(tables), path)
+    return read_event_log(spark, path)
+
+
+def _of_csv_log(derive, build) -> Callable[[Tables], DataFrame]:
+    """Object tables of a log that was written to CSV and read again."""
+
+    def run(tables: Tables) -> DataFrame:
+        spark = tables["Materials"].sparkSession
+        path = scratch_path(spark, "event-log")
+        write_event_log(build(tables), path)
+        return derive(read_event_log(spark, path))
+
+    return run
+
+
 def _xml_roundtrip(read) -> Callable[[Tables], DataFrame]:
     """Relabelled log to CSV, the CSV to XML, and the XML read back."""
 
@@ -246,6 +294,10 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "post_ocel_summary": lambda tables: ocel.ocel_summary(_relabelled(tables)),
     "event_log_csv_roundtrip": _csv_roundtrip,
     "relabelled_log_csv_roundtrip": _relabelled_csv_roundtrip,
+    "multi_object_csv_roundtrip": _multi_object_roundtrip,
+    "csv_ocel_summary": _of_csv_log(ocel.ocel_summary, _log),
+    "post_ocel_relations": _of_csv_log(ocel.ocel_relations, _relabelled),
+    "post_ocel_objects": _of_csv_log(ocel.ocel_objects, _relabelled),
     "ocel_xml_roundtrip": _xml_roundtrip(read_ocel_events),
     "ocel_xml_relations_roundtrip": _xml_roundtrip(read_ocel_relations),
     "ocel_xml_objects_roundtrip": _xml_roundtrip(read_ocel_objects),

@@ -32,22 +32,33 @@ def object_cell(object_type: str, name: Column, known: Column) -> Column:
     return F.when(known.isNotNull(), F.array(oid))
 
 
+# What a backslash stands before in a cell, and what follows it there.
+_ESCAPES = (("\\", "\\\\"), ("'", "\\'"), ("\n", "\\n"), ("\r", "\\r"))
+
+
 def encode_cell(cell: Column) -> Column:
-    """Array cell as CSV text, e.g. ``['MAT-1']``; quotes, backslashes and line breaks are escaped."""
-    text = cell[0]
-    for raw, escaped in (("\\", "\\\\"), ("'", "\\'"), ("\n", "\\n"), ("\r", "\\r")):
-        text = F.replace(text, F.lit(raw), F.lit(escaped))
-    return F.concat(F.lit("['"), text, F.lit("']"))
+    """Array cell as CSV text, e.g. ``['MAT-1', 'MAT-2']`` or ``[]``; a NULL element reads ``null``."""
+
+    def quoted(element: Column) -> Column:
+        for raw, escaped in _ESCAPES:
+            element = F.replace(element, F.lit(raw), F.lit(escaped))
+        return F.coalesce(F.concat(F.lit("'"), element, F.lit("'")), F.lit("null"))
+
+    return F.concat(F.lit("["), F.array_join(F.transform(cell, quoted), ", "), F.lit("]"))
 
 
 def decode_cell(text: Column) -> Column:
-    """CSV text back to an array; a bare string becomes a one-element array."""
-    options = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
-    return F.when(text.startswith("["), F.from_json(text, "array<string>", options)).when(
-        text.isNotNull(), F.array(text)
-    )
+    """CSV text back to an array; a bare string becomes a one-element array.
+
+    Text that starts a list and is none fails the job.
+    """
+    options = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true", "mode": "FAILFAST"}
+    # Not NULL for a list as written; a NULL result means text the parser gave up on.
+    parsed = F.from_json(text, "array<string>", options)
+    broken = F.raise_error(F.concat(F.lit("not a list of objects: "), text)).cast("array<string>")
+    return F.when(text.startswith("["), F.coalesce(parsed, broken)).when(text.isNotNull(), F.array(text))
 
 
-def quoted_token(text: Column) -> Column:
-    """The first token in single quotes, NULL if there is none."""
-    return F.nullif(F.regexp_extract(text, "'([^']*)'", 1), F.lit(""))
+def first_object(text: Column) -> Column:
+    """The first object of a cell's text, NULL if it holds none."""
+    return F.get(decode_cell(text), F.lit(0))

@@ -8,14 +8,14 @@ import pytest
 from conftest import SMALL, movement, purchase, purchase_item, sale, sale_item
 from pyspark.sql import functions as F
 
-from stockweave.functions.objects import decode_cell, encode_cell, quoted_token
+from stockweave.functions.objects import decode_cell, encode_cell, first_object
 from stockweave.operators import ocel
 from stockweave.plans import files, inventory
 from stockweave.plans.inventory import JobSettings
 from stockweave.session import scratch_path
 from stockweave.sinks.event_log_csv import write_event_log
 from stockweave.sinks.ocel_xml import write_ocel_xml
-from stockweave.sources.event_log_csv import read_event_log, read_event_log_text
+from stockweave.sources.event_log_csv import numbered, read_event_log, read_event_log_text
 from stockweave.sources.ocel_xml import read_ocel_events, read_ocel_objects, read_ocel_relations
 from stockweave.sources.staging import stage
 from stockweave.sources.tables import read_tables, write_tables
@@ -53,6 +53,9 @@ def rows(df):
         (["two\nlines"], r"['two\nlines']"),
         (['say "x"'], "['say \"x\"']"),
         (["ä_5"], "['ä_5']"),
+        (["a", "b, 'c'", ""], r"['a', 'b, \'c\'', '']"),
+        ([], "[]"),
+        (["a", None], "['a', null]"),
     ],
 )
 def test_cell_text(spark, ids, text):
@@ -70,9 +73,46 @@ def test_bare_text_and_double_quotes_decode(spark):
     ]
 
 
-def test_quoted_token(spark):
-    df = spark.createDataFrame([("['MAT-1']",), ("['a', 'b']",), ("bare",), (None,)], "t string")
-    assert [r.q for r in df.select(quoted_token(F.col("t")).alias("q")).collect()] == ["MAT-1", "a", None, None]
+@pytest.mark.parametrize("text", ["['a'", "[", "['a' 'b']"])
+def test_broken_cells_fail(spark, text):
+    df = spark.createDataFrame([(text,)], "t string")
+    with pytest.raises(Exception, match="MALFORMED|not a list"):
+        df.select(decode_cell(F.col("t")).alias("i")).collect()
+
+
+def test_first_object(spark):
+    df = spark.createDataFrame([("['MAT-1']",), (r"['It\'s', 'b']",), ("bare",), ("[]",), (None,)], "t string")
+    assert [r.q for r in df.select(first_object(F.col("t")).alias("q")).collect()] == ["MAT-1", "It's", "bare", None, None]
+
+
+def csv_file(tmp_path, *lines):
+    (tmp_path / "log.csv").write_text("\n".join(lines) + "\n")
+    return str(tmp_path)
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    order = [c for c in reversed(ocel.LOG_ORDER)]
+    values = {ocel.ACTIVITY: "Goods Issue", ocel.EID: "e7", ocel.AFTER: "2.5", ocel.object_column("MAT"): "['MAT-1']"}
+    path = csv_file(tmp_path, ",".join([*order, "more"]), ",".join([*[values.get(c, "") for c in order], "x"]))
+    row = read_event_log(spark, path).first()
+    assert (row[ocel.ACTIVITY], row[ocel.EID], row[ocel.AFTER], row[ocel.BEFORE]) == ("Goods Issue", "e7", 2.5, None)
+    assert row[ocel.object_column("MAT")] == ["MAT-1"]
+
+
+def test_bad_numbers_and_missing_columns_fail(spark, tmp_path):
+    row = ["1x" if c == ocel.AFTER else "" for c in ocel.LOG_ORDER]
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_event_log(spark, csv_file(tmp_path, ",".join(ocel.LOG_ORDER), ",".join(row))).collect()
+    with pytest.raises(ValueError, match="lacks"):
+        read_event_log(spark, csv_file(tmp_path, ",".join(ocel.LOG_ORDER[1:])))
+
+
+def test_relabelled_file_keeps_labels_and_order(spark, tables):
+    """Also for plants with quotes and backslashes."""
+    log, out = scratch_path(spark, "log"), scratch_path(spark, "post")
+    files.write_log(tables, log, SETTINGS)
+    files.write_relabelled_log(spark, tables, log, out, SETTINGS)
+    assert rows(read_event_log(spark, out)) == rows(inventory.relabelled_event_log(tables, SETTINGS))
 
 
 def test_log_survives_csv(spark, tables):
@@ -105,6 +145,16 @@ def test_relabelling_from_csv_equals_relabelling_in_memory(spark):
     assert rows(read_event_log(spark, out)) == rows(inventory.relabelled_event_log(small, SETTINGS))
 
 
+def test_relabelled_rows_stand_in_the_order_of_the_log(spark):
+    small = stage(spark, SMALL)
+    log, out = scratch_path(spark, "log"), scratch_path(spark, "post")
+    files.write_log(small, log, SETTINGS)
+    files.write_relabelled_log(spark, small, log, out, SETTINGS)
+    text = numbered(read_event_log_text(spark, out)).orderBy("file_order").select("`ocel:eid`")
+    places = [int(r[0][1:]) for r in text.collect()]
+    assert places == sorted(places)
+
+
 def test_log_survives_xml(spark, tables):
     log = inventory.event_log(tables, SETTINGS)
     path = scratch_path(spark, "xml")
