@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from checks import oracle
 from stockweave.operators import demand, events, ocel, quality, stock
+from stockweave.operators.running import SkewPolicy, find_hot_keys
 from stockweave.plans import files, inventory
 from stockweave.plans.inventory import JobSettings
 from stockweave.session import scratch_path
@@ -29,6 +30,8 @@ from stockweave.sources.tables import Tables
 AS_OF = dt.date(1997, 1, 1)
 LEAP_DAY = dt.date(1996, 2, 29)
 SETTINGS = JobSettings(as_of=AS_OF)
+# Most materials are cut into chunks.
+CHUNKED = JobSettings(as_of=AS_OF, skew=SkewPolicy(max_group_rows=30, sample_fraction=1.0))
 CORRECTED = JobSettings(as_of=AS_OF, stock_after="running")
 
 STOCK_COLUMNS = [
@@ -67,7 +70,7 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*[shown(name, kind) for name, kind in df.dtypes])
 
 
-def _hot(tables: Tables) -> list[int]:
+def _hot(tables: Tables) -> DataFrame | None:
     return inventory.hot_materials(tables, SETTINGS.skew)
 
 
@@ -83,6 +86,21 @@ def _running_stock(tables: Tables) -> DataFrame:
     return events.describe(_running(tables)).select(*STOCK_COLUMNS)
 
 
+def _fractional(limit: int) -> Callable[[Tables], DataFrame]:
+    """Running stock of quantities with decimals, groups above ``limit`` rows cut into chunks."""
+
+    def run(tables: Tables) -> DataFrame:
+        policy = SkewPolicy(max_group_rows=limit, sample_fraction=1.0)
+        rows = events.all_events(tables).withColumn(
+            "quantity_change", F.col("quantity_change") * F.lit(0.7) + F.lit(0.1) * (F.col("item_key") % 3)
+        )
+        rows = rows.withColumn("quantity_change", F.round("quantity_change", 1))
+        hot = find_hot_keys(rows.select("material"), policy)
+        return events.describe(stock.running_stock(rows, hot)).select(*STOCK_COLUMNS)
+
+    return run
+
+
 def _running_stock_complete(tables: Tables) -> DataFrame:
     return events.describe(stock.complete(_running(tables))).select(*STOCK_COLUMNS)
 
@@ -264,12 +282,15 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "ev_goods_issue": _described(events.goods_issues),
     "all_events": _described(events.all_events),
     "running_stock": _running_stock,
+    "running_stock_fractional": _fractional(SkewPolicy().max_group_rows),
+    "running_stock_fractional_chunked": _fractional(30),
     "running_stock_complete": _running_stock_complete,
     "event_ids": _event_ids,
     "stock_floor": _stock_floor,
     "stock_adjusted": _adjusted(SETTINGS),
     "stock_adjusted_corrected": _adjusted(CORRECTED),
     "event_log": lambda tables: inventory.event_log(tables, SETTINGS, ordered=True),
+    "event_log_chunked": lambda tables: inventory.event_log(tables, CHUNKED),
     "materials_plants": demand.materials_plants,
     "daily_demand": lambda tables: demand.daily_demand(tables, AS_OF),
     "demand_stats": lambda tables: demand.demand_stats(tables, AS_OF),

@@ -24,3 +24,20 @@ def nan_to_null(x: Column) -> Column:
 def population_variance(x: Column) -> Column:
     """Mean of squares minus square of the mean, as an aggregate."""
     return F.avg(x * x) - F.avg(x) * F.avg(x)
+
+
+# Quantities are added as whole numbers of this part, so that sums do not depend on the order
+# of addition. A sum may reach 9.2e18 parts.
+PARTS_PER_UNIT = 1_000_000
+
+
+def in_parts(quantity: Column) -> Column:
+    """A quantity as a whole number of millionths; one with more decimals fails the job."""
+    scaled = F.round(quantity * PARTS_PER_UNIT)
+    exact = scaled / PARTS_PER_UNIT == quantity
+    wrong = F.raise_error(F.concat(F.lit("quantity with more than 6 decimals: "), quantity.cast("string")))
+    return F.when(quantity.isNull() | exact, scaled.cast("bigint")).otherwise(wrong.cast("bigint"))
+
+
+def from_parts(parts: Column) -> Column:
+    return parts.cast("double") / PARTS_PER_UNIT

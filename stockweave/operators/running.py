@@ -3,8 +3,9 @@
 A window per group is one shuffle and one sort, and is what runs for ordinary
 groups. A group too large for one task (say, one material with a third of all
 events) is cut into range chunks instead: every chunk is scanned on its own and
-shifted by the totals of the chunks before it. Both ways are exact, so which
-groups count as large changes the plan only, never the result.
+shifted by the totals of the chunks before it. Values are added as whole numbers,
+so both ways give the same totals and which groups count as large changes the
+plan only, never the result.
 """
 
 from __future__ import annotations
@@ -15,24 +16,19 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockweave.functions.numbers import from_parts, in_parts
 from stockweave.session import materialise
 
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """Which groups are cut into chunks.
-
-    ``max_hot_keys`` bounds the key list held by the driver. The largest groups are
-    taken first, so a group left out is smaller than rows / ``max_hot_keys`` and the
-    per-group window still handles it.
-    """
+    """Groups of more than ``max_group_rows`` are cut into chunks, however many there are."""
 
     max_group_rows: int = 5_000_000
     sample_fraction: float = 0.001
-    max_hot_keys: int = 10_000
 
 
-def find_hot_keys(keys: DataFrame, policy: SkewPolicy = SkewPolicy()) -> list:
+def find_hot_keys(keys: DataFrame, policy: SkewPolicy = SkewPolicy()) -> DataFrame | None:
     """Values of the one-column frame ``keys`` that occur more than ``max_group_rows`` times.
 
     Counts come from a sample when the limit is high enough for the sample to be
@@ -47,23 +43,22 @@ def find_hot_keys(keys: DataFrame, policy: SkewPolicy = SkewPolicy()) -> list:
     return hot_keys(counts, policy, fraction)
 
 
-def hot_keys(counts: DataFrame, policy: SkewPolicy, fraction: float = 1.0) -> list:
-    """Same from (key, n) counts taken over ``fraction`` of the rows."""
+def hot_keys(counts: DataFrame, policy: SkewPolicy, fraction: float = 1.0) -> DataFrame | None:
+    """Same from (key, n) counts taken over ``fraction`` of the rows; None if there are none.
+
+    The keys stay a table, so their number is not limited. Runs a job.
+    """
     key, n = counts.columns
-    hot = (
-        counts.where(F.col(n) > F.lit(fraction * policy.max_group_rows))
-        .orderBy(F.desc(n), F.asc(key))
-        .limit(policy.max_hot_keys)
-    )
-    return [row[0] for row in hot.collect()]
+    hot = materialise(counts.where(F.col(n) > F.lit(fraction * policy.max_group_rows)).select(key), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
-def split_hot(df: DataFrame, key: str, hot: Sequence) -> tuple[DataFrame, DataFrame | None]:
+def split_hot(df: DataFrame, key: str, hot: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
     """(ordinary rows, rows of the hot keys or None)."""
-    if not hot:
+    if hot is None:
         return df, None
-    is_hot = F.coalesce(F.col(key).isin(list(hot)), F.lit(False))
-    return df.where(~is_hot), df.where(is_hot)
+    keys = hot.toDF(key)
+    return df.join(keys, key, "left_anti").select(df.columns), df.join(keys, key, "left_semi").select(df.columns)
 
 
 def _ordering(order: Sequence[str]) -> list[Column]:
@@ -81,12 +76,29 @@ def scan_groups(
 
     With ``counted``, rows where that column is NULL take no number of their own.
     """
+    scanned = _scan_parts(df, groups, order, value, counted)
+    return _in_units(scanned) if value else scanned
+
+
+def _in_units(scanned: DataFrame) -> DataFrame:
+    return scanned.withColumns({c: from_parts(F.col(c)) for c in ("total_before", "total_after")})
+
+
+def _scan_parts(
+    df: DataFrame,
+    groups: Sequence[str],
+    order: Sequence[str],
+    value: str | None = None,
+    counted: str | None = None,
+) -> DataFrame:
+    """:func:`scan_groups` with totals still in parts."""
     ordered = Window.partitionBy(*groups).orderBy(*_ordering(order))
     up_to_row = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     added = {"seq": F.count(F.col(counted) if counted else F.lit(1)).over(up_to_row) - 1}
     if value:
-        added["total_before"] = F.sum(value).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-        added["total_after"] = F.sum(value).over(up_to_row)
+        parts = in_parts(F.col(value))
+        added["total_before"] = F.sum(parts).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+        added["total_after"] = F.sum(parts).over(up_to_row)
     return df.withColumns(added)
 
 
@@ -111,11 +123,11 @@ def scan_chunks(df: DataFrame, group: str, order: Sequence[str], value: str | No
     )
     totals = {"_rows": F.count("*")}
     if value:
-        totals["_sum"] = F.sum(value)
+        totals["_sum"] = F.sum(in_parts(F.col(value)))
     earlier = (
         Window.partitionBy(group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     )
-    # One row per (chunk, group in it): at most chunks + groups rows.
+    # One row per chunk and group in it.
     per_chunk = chunked.groupBy("_chunk", group).agg(*[c.alias(n) for n, c in totals.items()])
     shifts = per_chunk.select(
         "_chunk",
@@ -123,8 +135,8 @@ def scan_chunks(df: DataFrame, group: str, order: Sequence[str], value: str | No
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_rows_before"),
         *([F.sum("_sum").over(earlier).alias("_sum_before")] if value else []),
     )
-    scanned = scan_groups(chunked, ["_chunk", group], order, value)
-    shifted = scanned.join(F.broadcast(shifts), ["_chunk", group]).withColumn(
+    scanned = _scan_parts(chunked, ["_chunk", group], order, value)
+    shifted = scanned.join(shifts, ["_chunk", group]).withColumn(
         "seq", F.col("seq") + F.col("_rows_before")
     )
     if value:
@@ -134,11 +146,12 @@ def scan_chunks(df: DataFrame, group: str, order: Sequence[str], value: str | No
                 "total_after": _plus(F.col("total_after"), F.col("_sum_before")),
             }
         )
-    return shifted.drop("_copy", "_chunk", "_rows_before", "_sum_before")
+    shifted = shifted.drop("_copy", "_chunk", "_rows_before", "_sum_before")
+    return _in_units(shifted) if value else shifted
 
 
 def scan(
-    df: DataFrame, group: str, order: Sequence[str], value: str | None = None, hot: Sequence = ()
+    df: DataFrame, group: str, order: Sequence[str], value: str | None = None, hot: DataFrame | None = None
 ) -> DataFrame:
     """Per-group scan: a window for ordinary groups, chunks for the ``hot`` ones."""
     ordinary, large = split_hot(df, group, hot)
@@ -149,7 +162,6 @@ def scan(
 
 
 _DIGIT = 22  # bits of the key resolved per level
-_ONE_TASK = 1_000_000  # keys that one task may order
 
 
 def _rows_before(parent: str | None, child: str, n: str) -> Column:
@@ -158,18 +170,13 @@ def _rows_before(parent: str | None, child: str, n: str) -> Column:
     return F.coalesce(F.sum(n).over(frame), F.lit(0))
 
 
-def key_offsets(
-    counts: DataFrame, key: str, count: str, keys: int, one_task: int = _ONE_TASK
-) -> DataFrame:
+def key_offsets(counts: DataFrame, key: str, count: str) -> DataFrame:
     """(key, offset): rows held by all smaller keys, for a frame with one row per bigint key.
 
-    ``counts`` should be materialised, as it is read more than once; ``keys`` is its size.
-    Up to ``one_task`` keys are ordered in one window. Beyond that the key is read as three
-    digits of 22 bits: totals are taken per prefix and each level adds up its siblings
-    only, so no window partition exceeds 2**22 rows whatever the keys are.
+    ``counts`` should be stored, as it is read more than once. The key is read as three digits
+    of 22 bits: totals are taken per prefix and each level adds up its siblings only, so no
+    window partition exceeds 2**22 rows whatever the keys are.
     """
-    if keys <= one_task:
-        return counts.select(key, _rows_before(None, key, count).alias("offset"))
     low = counts.select(
         F.col(key),
         F.shiftright(F.col(key), _DIGIT).alias("_mid"),

@@ -7,7 +7,6 @@ narrow pass before it counts the events per material.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Literal
 
@@ -33,7 +32,7 @@ def _as_stock(scanned: DataFrame) -> DataFrame:
     return scanned.withColumnsRenamed({"total_before": "stock_before", "total_after": "stock_after"})
 
 
-def running_stock(events: DataFrame, hot: Sequence[int] = ()) -> DataFrame:
+def running_stock(events: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Stock of the material before and after every event, over all its plants.
 
     ``stock_before`` is NULL on the first event of a material.
@@ -56,16 +55,15 @@ class Numbering:
 
     total: int
     offsets: DataFrame  # (material, offset)
-    hot: list[int]
+    hot: DataFrame | None  # (material), None if no material is too large
 
 
 def number_events(events: DataFrame, skew: SkewPolicy = SkewPolicy()) -> Numbering:
     """Count the events per material, and from that offsets and materials too large for one task."""
     counts = materialise(events.groupBy("material").agg(F.count("*").alias("n")), "counts")
-    size = counts.agg(F.count("*").alias("keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("total")).first()
     return Numbering(
-        total=size.total,
-        offsets=key_offsets(counts, "material", "n", size.keys),
+        total=counts.agg(F.sum("n")).first()[0] or 0,
+        offsets=key_offsets(counts, "material", "n"),
         hot=hot_keys(counts, skew),
     )
 
@@ -155,10 +153,9 @@ def adjusted_events(
     ordinary, large = split_hot(events, "material", numbering.hot)
     floored = _floored_by_window(ordinary, numbering.offsets, parameters)
     if large is not None:
-        # One row per hot key, and the list of hot keys is bounded.
-        of_hot = F.broadcast(numbering.offsets.where(F.col("material").isin(numbering.hot)))
+        of_hot = numbering.offsets.join(numbering.hot, "material", "left_semi")
         if parameters is not None:
-            parameters = parameters.where(F.col("material").isin(numbering.hot))
+            parameters = parameters.join(numbering.hot, "material", "left_semi")
         floored = floored.unionByName(_floored_by_join(large, of_hot, parameters))
     return _adjust(floored, stock_after).drop("seq")
 

@@ -50,7 +50,7 @@ PARAMETER_COLUMNS = {
 }
 
 
-def hot_materials(tables: Tables, skew: SkewPolicy = SkewPolicy()) -> list[int]:
+def hot_materials(tables: Tables, skew: SkewPolicy = SkewPolicy()) -> DataFrame | None:
     """Materials with too many events for one task."""
     return find_hot_keys(material_keys(tables), skew)
 

@@ -16,6 +16,7 @@ from stockweave.operators.running import (
     scan,
     scan_chunks,
     scan_groups,
+    split_hot,
 )
 
 SCHEMA = "g long, a int, b int, v double"
@@ -51,7 +52,23 @@ def skewed_rows(n=600, seed=3):
 def test_scan_with_any_choice_of_hot_groups(spark, hot):
     rows = skewed_rows()
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    assert result(scan(df, "g", ["a", "b", "v"], "v", hot)) == expected(rows)
+    keys = spark.createDataFrame([(k,) for k in hot], "g long") if hot else None
+    assert result(scan(df, "g", ["a", "b", "v"], "v", keys)) == expected(rows)
+
+
+def test_fractions_add_up_alike_in_both_plans(spark):
+    rng = random.Random(9)
+    rows = [(1, i, 0, rng.randrange(-999, 999) / 10) for i in range(3000)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    whole = result(scan_groups(df, ["g"], ["a", "b", "v"], "v"))
+    assert whole == result(scan_chunks(df, "g", ["a", "b", "v"], "v"))
+    assert all(after == round(after, 1) for *_, after in whole)
+
+
+def test_too_many_decimals_fail(spark):
+    df = spark.createDataFrame([(1, 1, 1, 0.12345678)], SCHEMA)
+    with pytest.raises(Exception, match="more than 6 decimals"):
+        scan_groups(df, ["g"], ["a"], "v").collect()
 
 
 def test_one_group_of_copies_is_cut_into_chunks(spark):
@@ -81,8 +98,7 @@ def test_both_plans_agree_with_python(spark, rows):
     assert result(scan_chunks(df, "g", ["a", "b", "v"], "v")) == expected(rows)
 
 
-@pytest.mark.parametrize("one_task", [1_000_000, 0], ids=["one window", "digits"])
-def test_key_offsets(spark, one_task):
+def test_key_offsets(spark):
     rng = random.Random(5)
     keys = set(rng.sample(range(5_000), 300))
     keys |= {rng.randrange(-(2**63), 2**63) for _ in range(200)}
@@ -90,17 +106,29 @@ def test_key_offsets(spark, one_task):
     keys = sorted(keys)
     counts = [rng.randrange(1, 9) for _ in keys]
     df = spark.createDataFrame(list(zip(keys, counts)), "k long, n long").repartition(3)
-    found = {r.k: r.offset for r in key_offsets(df, "k", "n", len(keys), one_task).collect()}
+    found = {r.k: r.offset for r in key_offsets(df, "k", "n").collect()}
     assert found == dict(zip(keys, [0, *accumulate(counts)][:-1]))
 
 
-def test_hot_keys_are_the_largest_groups(spark):
+def keys_of(hot):
+    return sorted(r[0] for r in hot.collect())
+
+
+def test_hot_keys_are_the_large_groups(spark):
     df = spark.createDataFrame([(k,) for k in range(1, 8) for _ in range(k * 10)] + [(None,)] * 500, "k long")
-    assert find_hot_keys(df, SkewPolicy(max_group_rows=45)) == [7, 6, 5]
-    assert find_hot_keys(df, SkewPolicy(max_group_rows=45, max_hot_keys=2)) == [7, 6]
-    assert find_hot_keys(df, SkewPolicy()) == []
+    assert keys_of(find_hot_keys(df, SkewPolicy(max_group_rows=45))) == [5, 6, 7]
+    assert find_hot_keys(df, SkewPolicy()) is None
+
+
+def test_any_number_of_hot_keys_is_split(spark):
+    rows = spark.range(24_000).selectExpr("id % 12000 AS g", "CAST(id DIV 12000 AS INT) a", "1 b", "1D v")
+    hot = find_hot_keys(rows.select("g"), SkewPolicy(max_group_rows=1))
+    assert hot.count() == 12_000
+    ordinary, large = split_hot(rows, "g", hot)
+    assert (ordinary.count(), large.count()) == (0, 24_000)
+    assert scan(rows, "g", ["a"], "v", hot).where("total_after = a + 1 AND seq = a").count() == 24_000
 
 
 def test_hot_keys_from_a_sample(spark):
     df = spark.range(60_000).selectExpr("IF(id % 3 = 0, 1L, id) AS k")
-    assert find_hot_keys(df, SkewPolicy(max_group_rows=10_000, sample_fraction=0.5)) == [1]
+    assert keys_of(find_hot_keys(df, SkewPolicy(max_group_rows=10_000, sample_fraction=0.5))) == [1]
