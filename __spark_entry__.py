@@ -25,7 +25,7 @@ from stockweave.sources.contracts import CONTRACTS, SOFT_REFERENCES
 from stockweave.sources.event_log_csv import read_event_log
 from stockweave.sources.ocel_xml import read_ocel_events, read_ocel_objects, read_ocel_relations
 from stockweave.sources.staging import stage
-from stockweave.sources.tables import Tables
+from stockweave.sources.tables import Tables, file_schemas, read_tables, write_tables
 
 AS_OF = dt.date(1997, 1, 1)
 LEAP_DAY = dt.date(1996, 2, 29)
@@ -254,6 +254,46 @@ def _xml_roundtrip(read) -> Callable[[Tables], DataFrame]:
     return run
 
 
+MOVED = ["GoodsReceiptsAndIssues", "PurchaseOrderItems", "PurchaseOrderDocuments"]
+
+
+def _stored(run: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
+    """Over tables that were written and are read again, movements by month."""
+
+    def over_files(tables: Tables) -> DataFrame:
+        spark = tables["Materials"].sparkSession
+        path = scratch_path(spark, "tables")
+        write_tables(tables, path, names=MOVED)
+        return run(read_tables(spark, path, MOVED))
+
+    return over_files
+
+
+def _other_schema(tables: Tables) -> DataFrame:
+    """The report over files in which a type, a column's presence and the number of columns differ."""
+    spark = tables["Materials"].sparkSession
+    path = scratch_path(spark, "tables")
+    items = tables["PurchaseOrderItems"].withColumn("quantity", F.col("quantity").cast("string"))
+    frames = {"PurchaseOrderItems": items.drop("change_date").withColumn("more", F.lit(1)), "Materials": tables["Materials"]}
+    write_tables(frames, path)
+    return quality.contract_report(file_schemas(spark, path, list(frames)))
+
+
+def _broken(tables: Tables) -> Tables:
+    """Tables with repeated and missing keys, and with references to rows that are not there."""
+    items = tables["SalesOrderItems"]
+    again = items.where("sales_document_number % 7 = 0")
+    unknown = items.where("sales_document_number % 5 = 0").withColumn("item_number", F.lit(None).cast("bigint"))
+    return Tables(
+        {
+            **tables,
+            "SalesOrderItems": items.union(again).union(unknown),
+            "SalesOrderDocuments": tables["SalesOrderDocuments"].where("sales_document_number % 3 <> 0"),
+            "Materials": tables["Materials"].where("material_number % 4 <> 0"),
+        }
+    )
+
+
 def _staged(table: str) -> Callable[[Tables], DataFrame]:
     return lambda tables: tables[table]
 
@@ -274,6 +314,9 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "dq_primary_keys": quality.primary_key_report,
     "dq_foreign_keys": quality.foreign_key_report,
     "dq_soft_references": quality.soft_reference_report,
+    "dq_schema_of_files": _other_schema,
+    "dq_primary_keys_broken": lambda tables: quality.primary_key_report(_broken(tables)),
+    "dq_foreign_keys_broken": lambda tables: quality.foreign_key_report(_broken(tables)),
     "stock_changes": events.stock_changes,
     "ev_purchase_suggestion": _described(events.purchase_suggestions),
     "ev_purchase_order": _described(events.purchase_orders),
@@ -294,6 +337,8 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "materials_plants": demand.materials_plants,
     "daily_demand": lambda tables: demand.daily_demand(tables, AS_OF),
     "demand_stats": lambda tables: demand.demand_stats(tables, AS_OF),
+    "daily_demand_stored": _stored(lambda tables: demand.daily_demand(tables, AS_OF)),
+    "lead_times_stored": _stored(lambda tables: demand.lead_times(tables, AS_OF)),
     "lead_times": lambda tables: demand.lead_times(tables, AS_OF),
     "daily_demand_leap_day": lambda tables: demand.daily_demand(tables, LEAP_DAY),
     "lead_times_leap_day": lambda tables: demand.lead_times(tables, LEAP_DAY),

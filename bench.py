@@ -19,7 +19,7 @@ from pathlib import Path
 from stockweave.operators import demand, ocel, quality
 from stockweave.plans import files, inventory
 from stockweave.plans.inventory import JobSettings
-from stockweave.session import build_session, scratch_path
+from stockweave.session import build_session, scratch_path, scratch_scope
 from stockweave.sinks.ocel_xml import write_ocel_xml
 from stockweave.sources.staging import stage
 from stockweave.sources.tables import read_tables, write_tables
@@ -50,17 +50,18 @@ def jobs(spark, tables) -> dict:
     }
 
 
-def timed(action) -> float:
+def timed(spark, action) -> float:
     start = time.perf_counter()
-    action()
+    with scratch_scope(spark):
+        action()
     return round(time.perf_counter() - start, 3)
 
 
 def run(spark, folder: str) -> dict[str, float]:
     staged = scratch_path(spark, "tables")
-    seconds = {"stage_tables": timed(lambda: write_tables(stage(spark, folder, store_lines=True), staged))}
+    seconds = {"stage_tables": timed(spark, lambda: write_tables(stage(spark, folder, store_lines=True), staged))}
     for name, job in jobs(spark, read_tables(spark, staged)).items():
-        seconds[name] = timed(job)
+        seconds[name] = timed(spark, job)
     return seconds
 
 

@@ -38,6 +38,10 @@ def _since(as_of: dt.date | None) -> Column:
     return F.date_add(earlier, F.dayofmonth(day) - F.dayofmonth(earlier))
 
 
+def _moved_since(tables: Tables, as_of: dt.date | None) -> DataFrame:
+    return tables.since("GoodsReceiptsAndIssues", "date_of_the_posting_in_the_document", _since(as_of))
+
+
 def materials_plants(tables: Tables) -> DataFrame:
     """Distinct (material, plant) pairs of the four tables that mention them; NULLs compare equal."""
     named = [
@@ -53,8 +57,8 @@ def daily_demand(tables: Tables, as_of: dt.date | None = None) -> DataFrame:
     """Issued quantity per pair and day, from one year before ``as_of`` on; no upper bound."""
     posted = F.col("date_of_the_posting_in_the_document")
     return (
-        tables["GoodsReceiptsAndIssues"]
-        .where((F.col("movement_type") == ISSUE) & (posted >= _since(as_of)))
+        _moved_since(tables, as_of)
+        .where(F.col("movement_type") == ISSUE)
         .groupBy(*PAIR, F.to_date(posted).alias("demand_date"))
         .agg(F.sum("quantity").alias("daily_quantity"))
     )
@@ -90,8 +94,8 @@ def lead_times(tables: Tables, as_of: dt.date | None = None) -> DataFrame:
     """
     posted = F.col("date_of_the_posting_in_the_document")
     receipts = (
-        tables["GoodsReceiptsAndIssues"]
-        .where((F.col("movement_type") == RECEIPT) & posted.isNotNull() & (posted >= _since(as_of)))
+        _moved_since(tables, as_of)
+        .where(F.col("movement_type") == RECEIPT)
         .select(
             F.col("purchase_document_number").alias("purchase_order_number"),
             F.col("line_item_in_purchase_document").alias("purchase_order_item_number"),

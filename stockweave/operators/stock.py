@@ -160,13 +160,18 @@ def adjusted_events(
     return _adjust(floored, stock_after).drop("seq")
 
 
-def in_order(events: DataFrame, total: int) -> DataFrame:
+ROWS_PER_FILE = 1_000_000
+
+
+def in_order(events: DataFrame, total: int, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
     """Events by position, in partitions of equal size that follow each other.
 
     Positions are known and nearly dense, so each row's partition follows from its position;
-    sorting globally would first run the whole plan to sample them.
+    sorting globally would first run the whole plan to sample them. The number of partitions
+    follows the number of rows, with at least the session's number for small logs.
     """
-    parts = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, -(-total // rows_per_file))
     rows = max(1, -(-total // parts))
     return events.repartitionById(parts, F.expr(f"CAST(position DIV {rows} AS INT)")).sortWithinPartitions(
         "position"

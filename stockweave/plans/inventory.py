@@ -16,6 +16,7 @@ from stockweave.operators.ocel import ACTIVITY, AFTER, BEFORE, EID, LOG_ORDER, T
 from stockweave.operators.relabel import relabel
 from stockweave.operators.running import SkewPolicy, find_hot_keys
 from stockweave.operators.stock import StockAfter, adjusted_events, in_order, number_events
+from stockweave.session import materialise
 from stockweave.sources.tables import Tables
 
 
@@ -63,9 +64,11 @@ def adjusted(
 ) -> DataFrame:
     """Narrow events with position, adjusted stock and, where given, the parameters of their pair.
 
-    ``ordered`` sorts by material and event order.
+    ``ordered`` sorts by material and event order. The events are joined together once and
+    stored, as counting and running sums both read them; so this runs jobs at once, before any
+    action on the result.
     """
-    events = all_events(tables)
+    events = materialise(all_events(tables), "events")
     numbering = number_events(events, settings.skew)
     found = adjusted_events(events, numbering, settings.stock_after, parameters)
     return in_order(found, numbering.total) if ordered else found

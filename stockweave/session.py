@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
+from contextlib import contextmanager
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -34,7 +37,7 @@ def build_session(app: str, cpus: int | str = "*", shuffle_partitions: int = 8,
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster that
+    Only a session in one process may fall back to a temporary folder: elsewhere that
     folder would exist on one machine only.
     """
     sc = spark.sparkContext
@@ -43,16 +46,41 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="stockweave-")
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
+_open_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _open_scopes:
+        _open_scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete every scratch path taken inside, at the end.
+
+    For work that ends with a write: DataFrames made inside may read those paths and must not
+    be used after it.
+    """
+    paths: list[str] = []
+    _open_scopes.append(paths)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(paths)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
 
 
 def materialise(df: DataFrame, name: str = "rows") -> DataFrame:
@@ -66,8 +94,29 @@ def materialise(df: DataFrame, name: str = "rows") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def side_by_side(actions: Sequence[Callable[[], None]], at_once: int = 4) -> None:
-    """Run independent writes a few at a time, so that the tasks of one fill the gaps of another."""
+def side_by_side(spark: SparkSession, actions: Sequence[Callable[[], None]], at_once: int = 4) -> None:
+    """Run independent writes a few at a time, so that the tasks of one fill the gaps of another.
+
+    The threads take Spark's local properties along. When one write fails, those not yet begun
+    are dropped and the jobs of the others are cancelled.
+    """
+    tag = f"side-by-side-{uuid.uuid4().hex}"
+
+    def tagged(action: Callable[[], None]) -> Callable[[], None]:
+        def run() -> None:
+            spark.sparkContext.addJobTag(tag)
+            try:
+                action()
+            finally:
+                spark.sparkContext.removeJobTag(tag)
+
+        return inheritable_thread_target(spark)(run)
+
     with ThreadPoolExecutor(at_once) as pool:
-        for done in [pool.submit(action) for action in actions]:
-            done.result()
+        begun = [pool.submit(tagged(action)) for action in actions]
+        done, rest = wait(begun, return_when=FIRST_EXCEPTION)
+        if rest:
+            pool.shutdown(wait=False, cancel_futures=True)
+            spark.sparkContext.cancelJobsWithTag(tag)
+        for write in done:
+            write.result()

@@ -5,11 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stockweave.session import side_by_side
 from stockweave.sources.contracts import CONTRACTS, conform
 
+# Tables that are filtered by date, stored in one folder per month of that date.
+BY_MONTH = {"GoodsReceiptsAndIssues": "date_of_the_posting_in_the_document"}
+MONTH = "posting_month"
+
 
 class Tables(Mapping):
     """Contract-checked DataFrames by table name.
@@ -25,9 +31,19 @@ class Tables(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._checked:
             source = self._sources[name]
-            self._checked[name] = conform(name, source if isinstance(source, DataFrame) else source())
+            df = source if isinstance(source, DataFrame) else source()
+            self._checked[name] = conform(name, df.drop(MONTH) if name in BY_MONTH else df)
         return self._checked[name]
 
+    def since(self, name: str, date: str, bound: Column) -> DataFrame:
+        """Rows of a table from ``bound`` on; a table stored by month reads no earlier month."""
+        table = self[name]
+        stored = self._sources[name]
+        if isinstance(stored, DataFrame) and BY_MONTH.get(name) == date and MONTH in stored.columns:
+            stored = stored.where(F.col(MONTH) >= F.trunc(bound, "month"))
+            table = stored.select(*table.columns)
+        return table.where(F.col(date) >= bound)
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._sources)
 
@@ -36,15 +52,43 @@ class Tables(Mapping):
 
 
 def read_tables(spark: SparkSession, folder: str, names: list[str] | None = None) -> Tables:
-    """Scan ``folder/<table>`` with the declared schema, so no inference job runs."""
-    return Tables(
-        {
-            name: spark.read.schema(CONTRACTS[name].schema).parquet(f"{folder}/{name}")
-            for name in (names or CONTRACTS)
-        }
-    )
-
-
-def write_tables(tables: Tables, folder: str, mode: str = "errorifexists") -> None:
-    """Bulk-write every table in contract column order."""
-    side_by_side([partial(df.write.mode(mode).parquet, f"{folder}/{name}") for name, df in tables.items()])
+    """Scan ``folder/<table>`` with the declared schema, so no inference job runs.
+
+    Months are folders; they are declared too, as their type would be guessed otherwise.
+    """
+
+    def scan(name: str) -> DataFrame:
+        schema = CONTRACTS[name].schema
+        if name in BY_MONTH:
+            schema = T.StructType([*schema.fields, T.StructField(MONTH, T.DateType())])
+        return spark.read.schema(schema).parquet(f"{folder}/{name}")
+
+    return Tables({name: scan(name) for name in (names or CONTRACTS)})
+
+
+def file_schemas(spark: SparkSession, folder: str, names: list[str] | None = None) -> dict[str, DataFrame]:
+    """The tables as their files declare them, whatever the contract says, for the contract report."""
+    found = {name: spark.read.parquet(f"{folder}/{name}") for name in (names or CONTRACTS)}
+    return {name: df.drop(MONTH) if name in BY_MONTH else df for name, df in found.items()}
+
+
+def write_tables(
+    tables: Mapping[str, DataFrame], folder: str, mode: str = "errorifexists", names: list[str] | None = None
+) -> None:
+    """Write tables in contract column order, movements in one folder per month of posting.
+
+    Rows of a month are brought together first, so that a folder gets few files; adaptive
+    execution splits large months.
+    """
+
+    def write(name: str) -> None:
+        df = tables[name]
+        if name in BY_MONTH:
+            months = df.withColumn(MONTH, F.trunc(BY_MONTH[name], "month"))
+            months.hint("rebalance", MONTH).write.mode(mode).partitionBy(MONTH).parquet(f"{folder}/{name}")
+        else:
+            df.write.mode(mode).parquet(f"{folder}/{name}")
+
+    names = list(names or tables)
+    if names:
+        side_by_side(tables[names[0]].sparkSession, [partial(write, name) for name in names])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from pathlib import Path
 
 import pytest
 from conftest import SMALL
@@ -12,9 +13,11 @@ from pyspark.sql import functions as F
 
 from stockweave.operators import demand, events, running, stock
 from stockweave.operators.running import SkewPolicy, scan_chunks
-from stockweave.plans import inventory
+from stockweave.plans import files, inventory
 from stockweave.plans.inventory import JobSettings
-from stockweave.session import scratch_path
+from stockweave.session import materialise, scratch_path, scratch_scope, shared_folder, side_by_side
+from stockweave.sinks.ocel_xml import write_ocel_xml
+from stockweave.sources.event_log_csv import read_event_log
 from stockweave.sources.staging import stage
 from stockweave.sources.tables import read_tables, write_tables
 
@@ -51,12 +54,10 @@ def test_the_adjusted_log_shuffles_events_once(spark, typed):
         text = plan(inventory.adjusted(typed, SETTINGS))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    union = text.index("Union")
-    above = text[:union]
-    # One exchange of the events by material; the other one carries the offsets.
-    assert len(re.findall(r"Exchange hashpartitioning\(material#", above)) == 1
-    assert "Exchange hashpartitioning(material#" not in above[above.index("Exchange hash") + 10 :]
-    assert "SinglePartition" not in above
+    # One exchange carries the events by material; the other one the offsets.
+    assert len(re.findall(r"Exchange hashpartitioning\(material#", text)) == 2
+    # One window in one task adds up the top digits of the materials, 2**20 rows at most.
+    assert text.count("SinglePartition") == 1 and re.search(r"SinglePartition.*\n.*keys=\[_top#", text)
 
 
 def test_columns_and_filters_reach_the_scan(typed):
@@ -73,6 +74,55 @@ def test_columns_and_filters_reach_the_scan(typed):
     assert "GreaterThanOrEqual(date_of_the_posting_in_the_document,1996-01-01)" in text
 
 
+@pytest.mark.parametrize("as_of", [AS_OF, dt.date(1996, 2, 29), None])
+def test_year_scans_read_the_months_of_the_year(typed, as_of):
+    for df in (demand.daily_demand(typed, as_of), demand.lead_times(typed, as_of)):
+        filters = [f for f in re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan(df)) if f]
+        assert len(filters) == 1 and "posting_month" in filters[0] and ">=" in filters[0]
+
+
+def test_months_are_pruned_not_lost(typed, spark):
+    small = stage(spark, SMALL)
+    assert rows(demand.daily_demand(typed, AS_OF)) == rows(demand.daily_demand(small, AS_OF))
+    assert rows(typed["GoodsReceiptsAndIssues"]) == rows(small["GoodsReceiptsAndIssues"])
+
+
+def test_events_are_joined_once_per_log(spark, typed, monkeypatch):
+    """The tables are read when the events are stored; counting and sums read the stored events."""
+    stored = []
+    monkeypatch.setattr(inventory, "materialise", lambda df, name: stored.append(df) or materialise(df, name))
+    log = plan(inventory.event_log(typed, SETTINGS))
+    assert len(stored) == 1
+    assert "GoodsReceiptsAndIssues" not in log and "PurchaseOrderDocuments" not in log
+    assert len(re.findall(r"FileScan parquet", plan(stored[0]))) == 8
+
+
+def test_scratch_is_deleted(spark, typed):
+    def stored():
+        return {p.name for p in Path(shared_folder(spark).removeprefix("file:")).iterdir()}
+
+    before = stored()
+    with scratch_scope(spark):
+        assert inventory.event_log(typed, SETTINGS).count()
+        assert stored() - before
+    assert stored() == before
+    out = scratch_path(spark, "kept")
+    files.write_log(typed, out, SETTINGS)
+    write_ocel_xml(read_event_log(spark, out), f"{out}-xml")
+    assert {name.split("-")[0] for name in stored() - before} == {"kept"}
+
+
+def test_side_by_side_stops_the_rest(spark):
+    begun = []
+
+    def fail():
+        raise RuntimeError("no")
+
+    with pytest.raises(RuntimeError):
+        side_by_side(spark, [fail, *[lambda: begun.append(spark.range(10).count()) for _ in range(20)]], at_once=1)
+    assert len(begun) < 20
+
+
 def test_chunked_plan_gives_the_same_log(typed):
     assert inventory.hot_materials(typed, CHUNKED.skew).count()
     assert rows(inventory.event_log(typed, CHUNKED)) == rows(inventory.event_log(typed, SETTINGS))
