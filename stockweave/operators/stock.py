@@ -122,8 +122,11 @@ def _floored_by_join(events: DataFrame, offsets: DataFrame, parameters: DataFram
     """Same for materials too large for one task: scanned in chunks, minima combined before the shuffle."""
     chunked = _as_stock(scan_chunks(events, "material", EVENT_ORDER, "quantity_change"))
     completed = complete(with_position(chunked, offsets))
-    floored = completed.join(stock_floor(completed).select(*PAIR, "adding_stock"), PAIR, "left")
-    return floored.join(parameters, PAIR, "left") if parameters is not None else floored
+    # Everything known of a pair in one table, so that the events are joined once.
+    pairs = stock_floor(completed).select(*PAIR, "adding_stock")
+    if parameters is not None:
+        pairs = pairs.join(parameters, PAIR, "left")
+    return completed.join(pairs, PAIR, "left")
 
 
 def _adjust(floored: DataFrame, stock_after: StockAfter) -> DataFrame:
