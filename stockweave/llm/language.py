@@ -7,9 +7,9 @@ distribution over the languages given its neighbours. A text's language is the o
 expected words, its score their share. Long texts are labelled in stretches of ``STRETCH`` words,
 all of them.
 
-The field is trained on at most ``PER_LANGUAGE`` documents of each language, those with the
-smallest hashes of their ids among ``PER_LANGUAGE`` parts of each; the driver sees their texts
-only. Stretches of different languages are also joined in training, so that the matrix learns
+The field is trained on at most ``PER_LANGUAGE`` documents of each of the ``LANGUAGES`` most
+frequent languages, those with the smallest hashes of their ids among ``PER_LANGUAGE`` parts of
+each; the driver sees their texts only. Stretches of different languages are also joined in training, so that the matrix learns
 from switches within a text.
 
 Defined results: ``und`` and score 0 for a NULL text, a text without letters, or when nothing was
@@ -30,11 +30,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockweave.llm.common import with_computed
+from stockweave.session import materialise
 
 UNKNOWN = "und"
 BUCKETS = 1 << 17
 STRETCH = 64
 PER_LANGUAGE = 96
+LANGUAGES = 128  # the most frequent ones are learned
 EPOCHS = 4
 SWITCHED = 0.25  # share of training stretches that join two languages
 LEXICON_COUNT, LEXICON_SHARE = 3, 0.8
@@ -282,15 +284,20 @@ def held_out() -> Column:
 
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Field:
-    """Choose the sample and train on it. Runs two jobs over the documents."""
+    """Choose the sample, which is stored, and train on it. Runs two jobs over the documents."""
     learned = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").where(~held_out())
     order = F.xxhash64("doc_id")
-    chosen = (
-        learned.groupBy("lang", F.pmod(order, F.lit(per_language)).alias("part"))
-        .agg(F.min(F.struct(order.alias("order"), "doc_id")).alias("first"))
-        .select("lang", F.col("first.doc_id").alias("doc_id"))
+    firsts = materialise(
+        learned.groupBy("lang", F.pmod(order, F.lit(per_language)).alias("part")).agg(
+            F.count("*").alias("n"), F.min(F.struct(order.alias("order"), "doc_id")).alias("first")
+        ),
+        "sample",
     )
-    # At most per_language rows for each language.
+    total = F.sum("n").alias("n")
+    languages = firsts.groupBy("lang").agg(total).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    names = [r.lang for r in languages]
+    chosen = firsts.where(F.col("lang").isin(names)).select("lang", F.col("first.doc_id").alias("doc_id"))
+    # At most LANGUAGES * per_language rows.
     rows = learned.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"]).collect()
     return train(sorted((r.lang, r.text) for r in rows))
 
