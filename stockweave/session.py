@@ -56,10 +56,10 @@ def shared_folder(spark: SparkSession) -> str:
 _open_scopes: list[list[str]] = []
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
+def scratch_path(spark: SparkSession, name: str, scoped: bool = True) -> str:
+    """A fresh path below the shared folder; unless ``scoped``, no :func:`scratch_scope` deletes it."""
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if _open_scopes:
+    if scoped and _open_scopes:
         _open_scopes[-1].append(path)
     return path
 
@@ -83,13 +83,13 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             place.getFileSystem(conf).delete(place, True)
 
 
-def materialise(df: DataFrame, name: str = "rows") -> DataFrame:
+def materialise(df: DataFrame, name: str = "rows", scoped: bool = True) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Its rows, and every id in them, are fixed from here on whatever tasks are repeated,
     and several readers share one computation, each reading only the columns it needs.
     """
-    path = scratch_path(df.sparkSession, name)
+    path = scratch_path(df.sparkSession, name, scoped)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

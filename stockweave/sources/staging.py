@@ -284,7 +284,8 @@ class RawFrames:
     @cached_property
     def lines(self) -> DataFrame:
         lines = numbered_lines(self._read("lineitem"), self._policy)
-        return materialise(lines, "lines") if self._store_lines else lines
+        # Used as long as the tables are, so not tied to the job that asks first.
+        return materialise(lines, "lines", scoped=False) if self._store_lines else lines
 
     @cached_property
     def dated_lines(self) -> DataFrame:
