@@ -52,7 +52,7 @@ class Encoder:
     borders of a run. New runs are encoded together and told apart by their word ends.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 200_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.most = most
