@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -10,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh3_64_intdigest
 
 # The ASCII white space that separates words, as bytes.split() does.
 WHITE_SPACE = b" \t\n\r\x0b\x0c"
@@ -77,29 +77,27 @@ def with_computed(
                 for c, f in zip(compute(part), fields, strict=True)
             ]
             yield pa.RecordBatch.from_arrays([*columns, *new], names=[f.name for f in schema.fields])
+        # Workers live on between tasks; give back what this one no longer holds.
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
 
-def sha256_text(parts: Iterable[str]) -> str:
-    return hashlib.sha256(",".join(parts).encode()).hexdigest()
-
-
 class WordIds(dict):
-    """Word to a 64-bit number that depends on the word alone; emptied when it grows too large."""
+    """Word to a 64-bit number that depends on the word alone; remembers a bounded number of words."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 100_000):
         super().__init__()
         self.most = most
 
     def __missing__(self, word: bytes) -> int:
-        value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little", signed=True)
+        value = xxh3_64_intdigest(word)
         if len(self) < self.most:
             self[word] = value
         return value
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words)).view(np.uint64)
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
