@@ -8,13 +8,10 @@ Two texts of similarity 0.8 share at least one table key with probability
 (1 - (1 - 0.8 ** ROWS) ** HALVES) ** 2 = 0.9994, more similar ones more surely.
 
 Classes that share a key are held against the first of the key, and links are confirmed by
-intersecting the sets. A key whose classes are then still in several components has a largest
-component and outsiders. Outsiders are held against every class of the key that is not of their
-component, unless there are more than ``ALL_PAIRS`` of them: then they are held against the first
-and the key gets a further key appended, again and again. So no group is paired with itself as
-a whole; only two texts that share a key with more than ``ALL_PAIRS`` outsiders, are both in no
-large component and are just similar enough may lose each other, each appended key keeping them
-together with probability 0.64 or more.
+intersecting the sets. Where a key's classes are then still in several components, the classes
+outside its largest component are held against those of other components. These pairs are not
+enumerated: a join on the rarest shingles, bounded by what can still be shared after them, yields
+the ones that may be similar, and loses none. So no group is paired with itself as a whole.
 
 Defined results: a NULL or empty text, or one of white space, has an empty set and is its own
 component; rows without an id link nothing, have no component and are kept; rows that share an
@@ -48,8 +45,8 @@ SHINGLE = 4
 HALVES = 8
 ROWS = 2
 PERCENT = 80
-ALL_PAIRS = 64
 FILTER_BITS = 1 << 22
+PARITY_WORDS = 8  # 64-bit words of a set's parity bits
 
 
 class Shingles:
@@ -79,6 +76,15 @@ def set_key(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """For every one of 512 parts, whether the set has an odd number of shingles in it, as bits.
+
+    Two sets have at least as many shingles apart as bits in which they differ.
+    """
+    odd = np.bincount((shingles % np.uint64(64 * PARITY_WORDS)).astype(np.int64), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, key (equal for equal sets), left and right keys."""
 
@@ -131,7 +137,7 @@ def _shared_keys(classes: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, shingles) of the ``wanted`` classes (key, comp), from the text of the member ``comp``.
+    """(key, shingles, parity) of the ``wanted`` classes (key, comp), from the text of the member ``comp``.
 
     A bitmap over hashed ids, of FILTER_BITS / 64 rows at most and so safe to broadcast, keeps
     most other texts from being read into sets or shuffled; the join after it is exact.
@@ -152,11 +158,11 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
         def compute(part):
             sets = [shingles.of(text) for text in as_bytes(part.column("text"))]
-            return [set_key(s) for s in sets], [s.view(np.int64) for s in sets]
+            return [set_key(s) for s in sets], [s.view(np.int64) for s in sets], [parity(s) for s in sets]
 
         return compute
 
-    sets = with_computed(likely, "key bigint, shingles array<bigint>", prepare, ["text"])
+    sets = with_computed(likely, "key bigint, shingles array<bigint>, parity array<bigint>", prepare, ["text"])
     return sets.join(members, ["key", "doc_id"], "left_semi").drop("doc_id").dropDuplicates(["key"])
 
 
@@ -169,47 +175,67 @@ def pairs_confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(enough).select("a", "b")
 
 
-def _across(rows: DataFrame) -> DataFrame:
-    """(a, b) of ``rows`` in different components: every outsider with every class of its bucket."""
-    left = rows.where("comp != most").select("bucket", F.col("key").alias("x"), F.col("n").alias("x_n"), F.col("comp").alias("x_comp"))
-    far = (F.col("x_comp") != F.col("comp")) & _similar_size(F.col("x_n"), F.col("n"))
-    return rows.join(left, "bucket").where(far).select(F.least("x", "key").alias("a"), F.greatest("x", "key").alias("b"))
+def _undecided(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, n, comp, outsider) of the classes in keys whose classes are in several components.
 
-
-def _with_first(rows: DataFrame) -> DataFrame:
-    """(a, b): every class with the first one of its bucket, if in another component."""
-    far = (F.col("comp") != F.col("first_comp")) & _similar_size(F.col("n"), F.col("first_n"))
-    return rows.where(far).select(F.col("first").alias("a"), F.col("key").alias("b"))
+    An outsider is in some key's classes without being in their largest component, so any two
+    classes of a key that are in different components have an outsider among them.
+    """
+    rows = shared.join(labels, "key", "left").select("bucket", "key", "n", F.coalesce("comp", "own").alias("comp"))
+    parts = rows.groupBy("bucket", "comp").agg(F.count("*").alias("m"))
+    most = (
+        parts.groupBy("bucket")
+        .agg(F.count("*").alias("components"), F.max(F.struct("m", "comp")).alias("top"))
+        .where("components > 1")
+        .select("bucket", F.col("top.comp").alias("most"))
+    )
+    return (
+        rows.join(most, "bucket")
+        .groupBy("key", "n", "comp")
+        .agg(F.max(F.col("comp") != F.col("most")).alias("outsider"))
+    )
 
 
-def _open_buckets(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of the buckets whose classes are in several components.
+def _across(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): an outsider and a class of another component that may be similar enough.
 
-    Adds ``most``, the component with most classes of the bucket, ``outsiders``, the number of
-    classes in others, and the first class.
+    Sets are ordered from rare to frequent shingles. Two similar sets share a shingle near the
+    start of both, and what follows the first shared one bounds how many they share; their parity
+    bits bound how many they do not share. The join on shingles keeps a pair only if both bounds
+    allow the similarity. Nothing similar is lost.
     """
-    rows = rows.select("bucket", "key", "n", "own").join(labels, "key", "left")
-    rows = rows.withColumn("comp", F.coalesce("comp", "own"))
-    parts = rows.groupBy("bucket", "comp").agg(F.count("*").alias("m"), F.min(F.struct("key", "n")).alias("head"))
-    stats = (
-        parts.groupBy("bucket")
-        .agg(
-            F.sum("m").alias("classes"),
-            F.max(F.struct("m", "comp")).alias("top"),
-            F.min(F.struct("head", "comp")).alias("low"),
-        )
-        .withColumn("outsiders", F.col("classes") - F.col("top.m"))
-        .where("outsiders > 0")
-        .select(
-            "bucket",
-            "outsiders",
-            F.col("top.comp").alias("most"),
-            F.col("low.head.key").alias("first"),
-            F.col("low.head.n").alias("first_n"),
-            F.col("low.comp").alias("first_comp"),
-        )
+    shingles = sets.join(members, "key", "left_semi").select("key", F.explode("shingles").alias("shingle"))
+    repeated = shingles.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    ordered = (
+        shingles.join(repeated, "shingle")
+        .groupBy("key")
+        .agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("ordered"))
+        .join(members, "key")
+        .join(sets.select("key", "parity"), "key")
+    )
+    # ``left`` counts the shingles from a place on; shingles of one set only come before all others.
+    own = ["key", "n", "comp", "outsider", "parity"]
+    places = ordered.select(*own, F.size("ordered").alias("size"), F.posexplode("ordered"))
+    places = places.select(*own, (F.col("size") - F.col("pos")).alias("left"), "col.shingle")
+    places = materialise(places.where(100 * F.col("left") >= PERCENT * F.col("n")), "places")
+    one = places.where("outsider").select(
+        "shingle",
+        F.col("key").alias("x"),
+        F.col("n").alias("x_n"),
+        F.col("comp").alias("x_comp"),
+        F.col("left").alias("x_left"),
+        F.col("parity").alias("x_parity"),
     )
-    return rows.join(stats, "bucket")
+    # At the first shared shingle no more than the least ``left`` can be shared.
+    enough = (100 + PERCENT) * F.least("left", "x_left") >= PERCENT * (F.col("n") + F.col("x_n"))
+    differing = sum((F.bit_count(F.col("parity")[i].bitwiseXOR(F.col("x_parity")[i])) for i in range(PARITY_WORDS)), F.lit(0))
+    # Similar sets of n and m shingles have (100 - PERCENT) / (100 + PERCENT) * (n + m) apart at most.
+    near = (100 + PERCENT) * differing <= (100 - PERCENT) * (F.col("n") + F.col("x_n"))
+    # Two outsiders meet once.
+    once = ~F.col("outsider") | (F.col("key") < F.col("x"))
+    may = once & (F.col("comp") != F.col("x_comp")) & _similar_size(F.col("n"), F.col("x_n")) & enough & near
+    pairs = places.join(one, (places["shingle"] == one["shingle"]) & may)
+    return pairs.select(F.least("x", "key").alias("a"), F.greatest("x", "key").alias("b")).distinct()
 
 
 def linked(docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -218,29 +244,17 @@ def linked(docs: DataFrame, classes: DataFrame) -> DataFrame:
     shared = materialise(_shared_keys(classes).join(owned, "key"), "buckets")
     usable = _similar_size(F.col("n"), F.col("first_n")) & (F.col("key") != F.col("first"))
     pairs = materialise(
-        shared.where(usable).select(F.col("first").alias("a"), F.col("key").alias("b")).distinct(), "pairs"
+        shared.where(usable).select(F.least("first", "key").alias("a"), F.greatest("first", "key").alias("b")).distinct(),
+        "pairs",
     )
     sets = materialise(_sets(docs, shared.select("key", F.col("own").alias("comp")).distinct()), "sets")
     vertices = classes.select("key", "comp")
     edges = materialise(pairs_confirmed(pairs, sets), "links")
     labels = components(vertices, edges)
-    rows = shared
-    for level in range(2 * HALVES):
-        rows = materialise(_open_buckets(rows, labels), "open")
-        few, many = rows.where(F.col("outsiders") <= ALL_PAIRS), rows.where(F.col("outsiders") > ALL_PAIRS)
-        more = _across(few).union(_with_first(many)).distinct()
-        more = materialise(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
-        new = materialise(pairs_confirmed(more, sets), "links")
-        if new.limit(1).count():
-            edges = edges.union(new)
-            labels = components(vertices, edges)
-        if not many.limit(1).count():
-            return labels
-        pairs = pairs.union(more)
-        side, place = ("left", level) if level < HALVES else ("right", level - HALVES)
-        longer = classes.select("key", F.col(side)[place].alias("next"))
-        rows = many.join(longer, "key").withColumn("bucket", F.xxhash64("bucket", "next"))
-    return labels
+    members = materialise(_undecided(shared, labels), "members")
+    more = _across(members, sets).join(pairs, ["a", "b"], "left_anti")
+    new = materialise(pairs_confirmed(more, sets), "links")
+    return components(vertices, edges.union(new)) if new.limit(1).count() else labels
 
 
 def duplicates(docs: DataFrame) -> DataFrame:

@@ -72,6 +72,14 @@ def test_recall_at_the_limit():
     assert missed <= 8
 
 
+def test_parity_bounds_the_difference():
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        a, b, c = (rng.integers(0, 2**64, int(rng.integers(0, 300)), np.uint64) for _ in range(3))
+        bits = near_dup.parity(np.concatenate((a, b))) ^ near_dup.parity(np.concatenate((a, c)))
+        assert np.bitwise_count(bits.view(np.uint64)).sum() <= len(b) + len(c)
+
+
 def edited(words, rng, n):
     words = list(words)
     for i in rng.sample(range(len(words)), n):
@@ -87,17 +95,24 @@ def mixed_groups(rng):
     return texts, {100 + i: edited(base, rng, 6) for i in range(30)}
 
 
-def test_outsiders_find_any_member(spark):
+def test_two_groups_and_outsiders(spark):
     near, far = mixed_groups(random.Random(3))
     docs = spark.createDataFrame([(d, t, "own") for d, t in (near | far).items()], DOCS)
     assert result(near_dup.duplicates(docs)) == plain(near | far)
 
 
-def test_keys_with_many_outsiders(spark, monkeypatch):
-    monkeypatch.setattr(near_dup, "ALL_PAIRS", 4)
-    near, _ = mixed_groups(random.Random(4))
-    docs = spark.createDataFrame([(d, t, "own") for d, t in near.items()], DOCS)
-    assert result(near_dup.duplicates(docs)) == plain(near)
+def test_many_outsiders(spark):
+    """Texts that share a long passage but are mostly not similar enough, with some that are."""
+    rng = random.Random(6)
+    passage = [f"w{i}" for i in range(60)]
+    texts = {}
+    for i in range(60):
+        own = [f"o{i}x{j}" for j in range(25)]
+        texts[i] = " ".join(passage + own)
+        if i % 4 == 0:
+            texts[100 + i] = edited(passage + own, rng, 1)
+    docs = spark.createDataFrame([(d, t, "own") for d, t in texts.items()], DOCS)
+    assert result(near_dup.duplicates(docs)) == plain(texts)
 
 
 def test_components_of_a_long_path(spark):
