@@ -8,32 +8,45 @@ from pyspark.sql import functions as F
 from stockweave.session import materialise
 
 
+def _empty(df: DataFrame) -> bool:
+    return not df.limit(1).count()
+
+
+def _roots(parents: DataFrame) -> DataFrame:
+    """(comp, root) from (comp, root), each root smaller than its comp, followed to the end."""
+    roots = materialise(parents, "roots")
+    while True:
+        beyond = roots.select(F.col("comp").alias("root"), F.col("root").alias("next"))
+        jumped = roots.join(beyond, "root", "left").select("comp", F.coalesce("next", "root").alias("root"), "next")
+        jumped = materialise(jumped, "roots")
+        roots = jumped.select("comp", "root")
+        if _empty(jumped.where("next IS NOT NULL")):
+            return roots
+
+
+def _replaced(df: DataFrame, column: str, roots: DataFrame) -> DataFrame:
+    """``df`` with the values of ``column`` that have a root replaced by it."""
+    by = roots.select(F.col("comp").alias(column), F.col("root").alias("_root"))
+    return df.join(by, column, "left").withColumn(column, F.coalesce("_root", column)).drop("_root")
+
+
 def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """(key, comp): the smallest ``comp`` that each vertex of an edge can reach.
+    """``vertices`` (key, comp) with the smallest ``comp`` that each can reach in place of its own.
 
-    ``vertices`` has key and comp, its own value; ``edges`` has a and b, keys. Both should be
-    stored. Each round takes the least value of the neighbours, then that of the vertex which
-    holds the value, so the number of rounds follows the logarithm of the diameter. The rounds
-    are written to the shared folder; vertices without edges are left out.
+    ``edges`` has a and b, keys; both should be stored. Edges become links between the values of
+    comp. In each round every value takes the smallest it is linked to, chains of such steps are
+    followed to their ends by doubling, and links within one value are dropped; only values with
+    no smaller neighbour are left, at most half of those that have links.
     """
-    both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
-    ends = both.select(F.col("a").alias("key")).distinct()
-    labels = materialise(vertices.select("key", "comp").join(ends, "key", "left_semi"), "labels")
-    owners = labels.select(F.col("comp").alias("own"), F.col("key").alias("owner"))
-    while True:
-        near = (
-            both.join(labels.withColumnRenamed("key", "b"), "b")
-            .groupBy(F.col("a").alias("key"))
-            .agg(F.min("comp").alias("near"))
-        )
-        nearer = labels.join(near, "key").select("key", F.col("comp").alias("old"), F.least("comp", "near").alias("comp"))
-        nearer = materialise(nearer, "labels")
-        # The vertex that owns the value may know a smaller one.
-        known = owners.join(nearer.select(F.col("key").alias("owner"), F.col("comp").alias("beyond")), "owner")
-        jumped = nearer.join(known.select("own", "beyond"), nearer["comp"] == known["own"], "left").select(
-            "key", "old", F.least("comp", "beyond").alias("comp")
-        )
-        jumped = materialise(jumped, "labels")
-        labels = jumped.select("key", "comp")
-        if not jumped.where(F.col("comp") < F.col("old")).limit(1).count():
-            return labels
+    ends = [vertices.select(F.col("key").alias(end), F.col("comp").alias(f"{end}_comp")) for end in ("a", "b")]
+    links = edges.select("a", "b").join(ends[0], "a").join(ends[1], "b").select(
+        F.greatest("a_comp", "b_comp").alias("high"), F.least("a_comp", "b_comp").alias("low")
+    )
+    links = materialise(links.where("high > low").distinct(), "links")
+    while not _empty(links):
+        roots = _roots(links.groupBy(F.col("high").alias("comp")).agg(F.min("low").alias("root")))
+        vertices = materialise(_replaced(vertices.select("key", "comp"), "comp", roots), "labels")
+        links = _replaced(_replaced(links, "high", roots), "low", roots).where("high != low")
+        links = links.select(F.greatest("high", "low").alias("high"), F.least("high", "low").alias("low"))
+        links = materialise(links.distinct(), "links")
+    return vertices.select("key", "comp")

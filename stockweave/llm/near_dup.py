@@ -181,7 +181,7 @@ def _undecided(shared: DataFrame, labels: DataFrame) -> DataFrame:
     An outsider is in some key's classes without being in their largest component, so any two
     classes of a key that are in different components have an outsider among them.
     """
-    rows = shared.join(labels, "key", "left").select("bucket", "key", "n", F.coalesce("comp", "own").alias("comp"))
+    rows = shared.join(labels, "key").select("bucket", "key", "n", "comp")
     parts = rows.groupBy("bucket", "comp").agg(F.count("*").alias("m"))
     most = (
         parts.groupBy("bucket")
@@ -239,7 +239,7 @@ def _across(members: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def linked(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(key, comp) of the ``classes`` (key, comp, n, left, right) that have links; both stored."""
+    """(key, comp) of the ``classes`` (key, comp, n, left, right), which are stored, once linked."""
     owned = classes.select("key", F.col("comp").alias("own"))
     shared = materialise(_shared_keys(classes).join(owned, "key"), "buckets")
     usable = _similar_size(F.col("n"), F.col("first_n")) & (F.col("key") != F.col("first"))
@@ -248,13 +248,12 @@ def linked(docs: DataFrame, classes: DataFrame) -> DataFrame:
         "pairs",
     )
     sets = materialise(_sets(docs, shared.select("key", F.col("own").alias("comp")).distinct()), "sets")
-    vertices = classes.select("key", "comp")
     edges = materialise(pairs_confirmed(pairs, sets), "links")
-    labels = components(vertices, edges)
+    labels = components(classes.select("key", "comp"), edges)
     members = materialise(_undecided(shared, labels), "members")
     more = _across(members, sets).join(pairs, ["a", "b"], "left_anti")
     new = materialise(pairs_confirmed(more, sets), "links")
-    return components(vertices, edges.union(new)) if new.limit(1).count() else labels
+    return components(labels, new)
 
 
 def duplicates(docs: DataFrame) -> DataFrame:
@@ -272,9 +271,7 @@ def duplicates(docs: DataFrame) -> DataFrame:
         ),
         "classes",
     )
-    links = linked(docs, classes)
-    found = classes.select("key", F.col("comp").alias("own")).join(links, "key", "left")
-    found = found.select("key", F.coalesce("comp", "own").alias("component"))
+    found = linked(docs, classes).withColumnRenamed("comp", "component")
     rows = signed.select("doc_id", "n_shingles", "key").join(found, "key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return rows.select(
