@@ -27,7 +27,7 @@ def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_ngram_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return ngram_lm.score(table(spark, folder, "documents"))
+    return ngram_lm.score(table(spark, folder, "documents"), order=3, least_count=1, discount=None)
 
 
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
