@@ -7,10 +7,12 @@ distribution over the languages given its neighbours. A text's language is the o
 expected words, its score their share. Long texts are labelled in stretches of ``STRETCH`` words,
 all of them.
 
-The field is trained on at most ``PER_LANGUAGE`` documents of each of the ``LANGUAGES`` most
-frequent languages, those with the smallest hashes of their ids among ``PER_LANGUAGE`` parts of
-each; the driver sees their texts only. Stretches of different languages are also joined in training, so that the matrix learns
-from switches within a text.
+The field is trained on at most ``PER_LANGUAGE`` documents of every language, those with the
+smallest hashes of their ids among ``PER_LANGUAGE`` parts of each; the driver sees their texts only.
+Where that would be more than ``SAMPLE`` documents, every language gets fewer, but one at least, and
+where the weights would be more than ``CELLS``, features share fewer buckets: no language is left out.
+Stretches of different languages are also joined in training, so that the matrix learns from
+switches within a text.
 
 Defined results: ``und`` and score 0 for a NULL text, a text without letters, or when nothing was
 learned; of equal languages the first in order; rows without an id are neither held out nor
@@ -23,10 +25,11 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockweave.llm.common import with_computed
@@ -36,7 +39,8 @@ UNKNOWN = "und"
 BUCKETS = 1 << 17
 STRETCH = 64
 PER_LANGUAGE = 96
-LANGUAGES = 128  # the most frequent ones are learned
+SAMPLE = 96 * 128  # documents for training, of all languages
+CELLS = 1 << 24  # weights, of all languages
 EPOCHS = 4
 SWITCHED = 0.25  # share of training stretches that join two languages
 LEXICON_COUNT, LEXICON_SHARE = 3, 0.8
@@ -64,23 +68,40 @@ class Field:
     """Weights of the field; ``lexicon`` gives the language numbers a word is typical of."""
 
     languages: list[str]
-    weights: np.ndarray  # (BUCKETS + 1, languages); the last row stays 0
+    weights: np.ndarray  # (buckets + 1, languages); the last row stays 0
     lexicon: dict[str, int]
     of_lexicon: np.ndarray  # (languages + 1, languages); the last row stays 0
     moves: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
 
     def places(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Feature rows per word, and the lexicon row."""
-        table = np.full((len(words), SLOTS), BUCKETS, np.int64)
+        buckets = len(self.weights) - 1
+        table = np.full((len(words), SLOTS), buckets, np.int64)
         for i, word in enumerate(words):
             found = word_features(word)[:SLOTS]
             table[i, : len(found)] = found
+            table[i, : len(found)] %= buckets
         none = len(self.languages)
         return table, np.array([self.lexicon.get(w, none) for w in words], np.int64)
 
     def scores(self, words: list[str]) -> np.ndarray:
         table, lexicon = self.places(words)
-        return self.weights[table].sum(axis=1) + self.of_lexicon[lexicon]
+        return self.summed(table) + self.of_lexicon[lexicon]
+
+    def summed(self, table: np.ndarray) -> np.ndarray:
+        """Sum of the weights in each row of feature places, a column at a time."""
+        out = self.weights[table[:, 0]]
+        for column in table.T[1:]:
+            out += self.weights[column]
+        return out
+
+
+def buckets_for(languages: int) -> int:
+    """As many buckets, by powers of 2, as ``CELLS`` allows."""
+    buckets = BUCKETS
+    while buckets > 1 and buckets * languages > CELLS:
+        buckets //= 2
+    return buckets
 
 
 def forward_backward(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,8 +126,8 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray)
         live = inside[:, t + 1]
         back = rest @ step.T
         behind[:, t] = np.where(live[:, None], back / back.sum(axis=1, keepdims=True), 1.0)
-        joint = ahead[live, t][:, :, None] * step[None] * rest[live][:, None, :]
-        counts += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0) if live.any() else 0.0
+        own, after = ahead[live, t], rest[live]
+        counts += step * ((own / ((own @ step) * after).sum(axis=1, keepdims=True)).T @ after)
     both = ahead * behind
     return both / both.sum(axis=2, keepdims=True), counts
 
@@ -139,8 +160,9 @@ def _stretches(texts: list[tuple[str, str | None]], languages: list[str], seed:
     """Labelled training stretches, some of two languages."""
     rng = random.Random(seed)
     plain = []
+    number = {language: i for i, language in enumerate(languages)}
     for language, text in texts:
-        words = [(w, languages.index(language)) for w in words_of(text)]
+        words = [(w, number[language]) for w in words_of(text)]
         plain += [words[i : i + STRETCH] for i in range(0, len(words), STRETCH)]
     out = []
     for words in plain:
@@ -157,16 +179,18 @@ def train(texts: list[tuple[str, str | None]], epochs: int = EPOCHS, seed: int =
     """A field from (language, text) pairs, by AdaGrad on the log-likelihood of the labels."""
     languages = sorted({language for language, _ in texts})
     size = len(languages)
+    number = {language: i for i, language in enumerate(languages)}
+    buckets = buckets_for(size)
     seen: dict[str, Counter] = defaultdict(Counter)
     for language, text in texts:
         for word in words_of(text):
-            seen[word][languages.index(language)] += 1
+            seen[word][number[language]] += 1
     lexicon = {}
     for word, counts in seen.items():
         (language, most), total = counts.most_common(1)[0], sum(counts.values())
         if total >= LEXICON_COUNT and most >= LEXICON_SHARE * total:
             lexicon[word] = language
-    model = Field(languages, np.zeros((BUCKETS + 1, size)), lexicon, np.zeros((size + 1, size)), np.zeros((size, size)))
+    model = Field(languages, np.zeros((buckets + 1, size)), lexicon, np.zeros((size + 1, size)), np.zeros((size, size)))
     vocabulary = {word: i for i, word in enumerate(seen)}
     if not vocabulary:
         return model
@@ -192,7 +216,7 @@ def train(texts: list[tuple[str, str | None]], epochs: int = EPOCHS, seed: int =
             inside = np.arange(ids.shape[1])[None, :] < lengths[:, None]
             words, inverse = np.unique(ids, return_inverse=True)
             rows, lex = table[words], of_lexicon[words]
-            scores = (model.weights[rows].sum(axis=1) + model.of_lexicon[lex])[inverse.reshape(ids.shape)]
+            scores = (model.summed(rows) + model.of_lexicon[lex])[inverse.reshape(ids.shape)]
             chances, moves = forward_backward(scores, lengths, model.moves)
             slope = chances - np.eye(size)[labels]
             per_word = np.zeros((len(words), size))
@@ -201,8 +225,9 @@ def train(texts: list[tuple[str, str | None]], epochs: int = EPOCHS, seed: int =
             np.subtract.at(moves, (labels[:, :-1][pairs], labels[:, 1:][pairs]), 1.0)
             touched, place = np.unique(rows, return_inverse=True)
             by_feature = np.zeros((len(touched), size))
-            np.add.at(by_feature, place.reshape(rows.shape), per_word[:, None, :])
-            by_feature[touched == BUCKETS] = 0
+            for column in place.reshape(rows.shape).T:
+                np.add.at(by_feature, column, per_word)
+            by_feature[touched == buckets] = 0
             total = sums[0][touched] + by_feature**2
             sums[0][touched] = total
             model.weights[touched] -= 0.2 * by_feature / np.sqrt(total)
@@ -215,10 +240,16 @@ def train(texts: list[tuple[str, str | None]], epochs: int = EPOCHS, seed: int =
 
 
 class Labeler:
-    """Labels words by a field, remembering the scores of words it has met."""
+    """Labels words by a field, remembering the scores of words it has met.
+
+    What is held at a time, words remembered and stretches labelled, shrinks as languages grow.
+    """
 
     def __init__(self, model: Field, most: int = 400_000):
-        self.model, self.most = model, most
+        size = max(1, len(model.languages))
+        self.model, self.most = model, min(most, max(1, CELLS // size))
+        self.words_at_once = min(8192, max(1, (1 << 20) // size))
+        self.stretches_at_once = min(4096, max(1, (1 << 18) // size))
         self.forget()
 
     def forget(self) -> None:
@@ -235,47 +266,69 @@ class Labeler:
             grown = np.empty((2 * end, self.scores.shape[1]), np.float32)
             grown[:start] = self.scores[:start]
             self.scores = grown
-        for at in range(0, len(new), 8192):
-            self.scores[start + at : start + at + 8192][: len(new) - at] = self.model.scores(new[at : at + 8192])
+        step = self.words_at_once
+        for at in range(0, len(new), step):
+            self.scores[start + at : start + at + step][: len(new) - at] = self.model.scores(new[at : at + step])
         self.rows.update(zip(new, range(start, end), strict=True))
         return [list(map(self.rows.__getitem__, own)) for own in words]
 
+    def _chances(self, texts: list[str | None]) -> Iterator[tuple[int, np.ndarray]]:
+        """(text, label probabilities of its words), long texts in several parts one after another."""
+        of_text = self._ids([words_of(text) for text in texts])
+        most, group, stretches = self.stretches_at_once, [], 0
+        for i, ids in enumerate(of_text):
+            for at in range(0, len(ids), most * STRETCH):
+                part = ids[at : at + most * STRETCH]
+                own = -(-len(part) // STRETCH)
+                if stretches + own > most:
+                    yield from self._labelled(group)
+                    group, stretches = [], 0
+                group.append((i, part))
+                stretches += own
+        yield from self._labelled(group)
+
+    def _labelled(self, group: list[tuple[int, list[int]]]) -> Iterator[tuple[int, np.ndarray]]:
+        if not group:
+            return
+        counts = np.array([len(ids) for _, ids in group])
+        lengths = np.full((-(-counts // STRETCH)).sum(), STRETCH)
+        lengths[np.cumsum(-(-counts // STRETCH)) - 1] = (counts - 1) % STRETCH + 1
+        inside = np.arange(STRETCH)[None, :] < lengths[:, None]
+        padded = np.zeros(inside.shape, np.int64)
+        padded[inside] = np.concatenate([np.array(ids, np.int64) for _, ids in group])
+        chances = marginals(self.scores[padded].astype(float), lengths, self.model.moves)[inside]
+        for (i, _), own in zip(group, np.split(chances, np.cumsum(counts)[:-1]), strict=True):
+            yield i, own
+
     def word_chances(self, texts: list[str | None]) -> list[np.ndarray]:
         """Per text, the label probabilities of each of its words."""
-        ids = self._ids([words_of(text) for text in texts])
-        counts = np.array([len(own) for own in ids])
-        flat = np.concatenate([np.array(own, np.int64) for own in ids]) if len(ids) else np.empty(0, np.int64)
-        stretches = -(-counts // STRETCH)
-        if not stretches.sum():
-            return [np.empty((0, len(self.model.languages)))] * len(texts)
-        lengths = np.full(stretches.sum(), STRETCH)
-        ends = np.cumsum(stretches)[counts > 0] - 1
-        lengths[ends] = (counts[counts > 0] - 1) % STRETCH + 1
-        out = np.empty((len(flat), len(self.model.languages)))
-        starts = np.cumsum(lengths) - lengths
-        for at in range(0, len(lengths), 4096):
-            own, first = lengths[at : at + 4096], starts[at]
-            inside = np.arange(STRETCH)[None, :] < own[:, None]
-            padded = np.zeros(inside.shape, np.int64)
-            padded[inside] = flat[first : first + own.sum()]
-            chances = marginals(self.scores[padded].astype(float), own, self.model.moves)
-            out[first : first + own.sum()] = chances[inside]
-        return np.split(out, np.cumsum(counts)[:-1])
+        out = [[np.empty((0, len(self.model.languages)))] for _ in texts]
+        for i, chances in self._chances(texts):
+            out[i].append(chances)
+        return [np.concatenate(parts) for parts in out]
 
     def languages(self, texts: list[str | None]) -> list[tuple[str, float, int]]:
         """Language, score, and number of words labelled otherwise than the word before, per text."""
+        out = [(UNKNOWN, 0.0, 0)] * len(texts)
         if not self.model.languages:
-            return [(UNKNOWN, 0.0, 0)] * len(texts)
-        out = []
-        for chances in self.word_chances(texts):
-            if len(chances):
-                share = chances.mean(axis=0)
-                labels = chances.argmax(axis=1)
+            return out
+        current, total, labels = -1, np.empty(0), []
+
+        def finish() -> None:
+            if current >= 0:
+                own = np.concatenate(labels)
+                share = total / len(own)
                 best = int(share.argmax())
                 score = min(1.0, max(0.0, float(share[best])))
-                out.append((self.model.languages[best], score, int((labels[1:] != labels[:-1]).sum())))
-            else:
-                out.append((UNKNOWN, 0.0, 0))
+                out[current] = (self.model.languages[best], score, int((own[1:] != own[:-1]).sum()))
+
+        for i, chances in self._chances(texts):
+            if i != current:
+                finish()
+                current, total, labels = i, np.zeros(len(self.model.languages)), []
+            total += chances.sum(axis=0)
+            labels.append(chances.argmax(axis=1))
+        finish()
         return out
 
 
@@ -289,15 +342,19 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Field:
     order = F.xxhash64("doc_id")
     firsts = materialise(
         learned.groupBy("lang", F.pmod(order, F.lit(per_language)).alias("part")).agg(
-            F.count("*").alias("n"), F.min(F.struct(order.alias("order"), "doc_id")).alias("first")
+            F.min(F.struct(order.alias("order"), "doc_id")).alias("first")
         ),
         "sample",
     )
-    total = F.sum("n").alias("n")
-    languages = firsts.groupBy("lang").agg(total).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    names = [r.lang for r in languages]
-    chosen = firsts.where(F.col("lang").isin(names)).select("lang", F.col("first.doc_id").alias("doc_id"))
-    # At most LANGUAGES * per_language rows.
+    languages = firsts.select("lang").distinct().count()
+    each = max(1, min(per_language, SAMPLE // max(1, languages)))
+    of_language = Window.partitionBy("lang").orderBy("first")
+    # At most SAMPLE rows, or one for every language.
+    chosen = (
+        firsts.withColumn("place", F.row_number().over(of_language))
+        .where(F.col("place") <= each)
+        .select("lang", F.col("first.doc_id").alias("doc_id"))
+    )
     rows = learned.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"]).collect()
     return train(sorted((r.lang, r.text) for r in rows))
 

@@ -93,3 +93,39 @@ def test_defined_cases(spark):
     nothing = language.digest(docs.withColumn("lang", docs.lang.substr(9, 0)).where("lang is null"))
     assert {r.lang_pred for r in nothing.collect()} <= {"und"}
     assert language.digest(docs.limit(0)).count() == 0
+
+
+def many(spark, languages):
+    """Four documents of each of ``languages`` languages, of words of its own."""
+    rows = []
+    for i in range(languages):
+        name = "".join(chr(97 + i // 26**k % 26) for k in range(3))
+        rows += [(5 * i + j, " ".join(f"{name}{x}{name}" for x in "qwertz"), name, "own") for j in range(4 + (i < 3))]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def test_every_language_is_learned(spark):
+    docs = many(spark, 140)
+    model = language.fit(docs)
+    learned = {r.lang for r in docs.where(~language.held_out()).select("lang").distinct().collect()}
+    assert set(model.languages) == learned and len(learned) > 128
+    rows = [r for r in language.identify(docs, model).collect() if r.lang in learned]
+    assert np.mean([r.lang_pred == r.lang for r in rows]) > 0.99
+
+
+def test_a_small_sample_has_every_language(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE", 5)
+    docs = many(spark, 12)
+    learned = {r.lang for r in docs.where(~language.held_out()).select("lang").distinct().collect()}
+    assert set(language.fit(docs).languages) == learned and len(learned) > 5
+
+
+def test_weights_and_parts_are_bounded(trained):
+    assert language.buckets_for(4) == language.BUCKETS
+    assert all(language.buckets_for(n) * n <= language.CELLS for n in (129, 1000, 30_000))
+    docs, model = trained
+    texts = [r.text for r in docs.limit(20).collect()]
+    whole, parts = language.Labeler(model), language.Labeler(model)
+    parts.stretches_at_once = 2
+    for a, b in zip(whole.languages(texts), parts.languages(texts), strict=True):
+        assert a[0] == b[0] and np.isclose(a[1], b[1]) and a[2] == b[2]
