@@ -9,13 +9,15 @@ smoothed ratios, or any text outside links at all where the page marks its artic
 lies inside. All lines of a content region are kept.
 
 Defined results: a NULL or empty page, or one without text, gives an empty text; broken markup is
-read as far as it goes, a missing end tag ending with its parent; repeated rows are read one by
-one; columns other than those used do not matter.
+read as far as it goes; end tags that HTML lets pages leave out are implied by what follows, other
+missing ones end with their parent; repeated rows are read one by one; columns other than those
+used do not matter.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -42,6 +44,28 @@ NAMES = set(
     "pagination popup promo promotion related reply respond search share sharing sidebar signup social sponsor "
     "sponsored subscribe toolbar widget".split()
 )
+# Elements that may stand in a head; any other ends it.
+IN_HEAD = set("base basefont bgsound link meta noframes noscript script style template title".split())
+# Elements whose start ends an open paragraph.
+ENDS_P = set(
+    "address article aside blockquote center details dialog dir div dl dd dt fieldset figcaption figure footer form h1 h2 "
+    "h3 h4 h5 h6 header hgroup hr li listing main menu nav ol p plaintext pre search section summary table ul xmp".split()
+)
+# Elements whose start ends open ones, and those beyond which these are not looked for.
+_ROW_GROUPS = {"tbody", "thead", "tfoot"}
+IMPLIED = {
+    "li": ({"li"}, {"ul", "ol", "menu"}),
+    "dt": ({"dt", "dd"}, {"dl"}),
+    "dd": ({"dt", "dd"}, {"dl"}),
+    "td": ({"td", "th"}, {"tr", "table"}),
+    "th": ({"td", "th"}, {"tr", "table"}),
+    "tr": ({"tr"}, {"table"}),
+    **dict.fromkeys(_ROW_GROUPS, (_ROW_GROUPS | {"caption", "colgroup", "tr"}, {"table"})),
+    "option": ({"option"}, {"select", "datalist"}),
+    "optgroup": ({"option", "optgroup"}, {"select"}),
+}
+# Elements that an open paragraph outside them does not reach into.
+SCOPES = set("applet button caption html marquee object table td template th".split())
 WRAPPERS = set("html body main article".split())
 _NAME_PARTS = re.compile(r"[a-z0-9]+")
 _QUALIFIED = re.compile(r"\b(?:has|with|no|is)[-_][a-z0-9_-]+")
@@ -52,6 +76,8 @@ def _apart(tag: str, attributes: list[tuple[str, str | None]], in_article: bool)
     if tag in APART and not (tag == "header" and in_article):
         return True
     for name, value in attributes:
+        if name == "hidden":
+            return True
         if not value:
             continue
         if name == "role" and value.lower() in ROLES:
@@ -61,7 +87,7 @@ def _apart(tag: str, attributes: list[tuple[str, str | None]], in_article: bool)
             wanted = {"comment", "comments"} if tag in WRAPPERS else NAMES
             if not wanted.isdisjoint(parts):
                 return True
-        elif name == "hidden" or (name == "aria-hidden" and value == "true"):
+        elif name == "aria-hidden" and value == "true":
             return True
     return False
 
@@ -73,6 +99,7 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, int]] = []
         self.open: list[tuple[str, bool, bool, bool]] = []  # tag, apart, in article, in link
+        self.open_tags: Counter[str] = Counter()
         self.apart = self.article = self.link = False
         self.texts: list[str] = []
         self.tags = self.link_chars = 0
@@ -85,7 +112,40 @@ class Lines(HTMLParser):
             self.tags = self.link_chars = 0
         self.texts = []
 
+    def end_element(self, depth: int) -> None:
+        """End the open element at this depth and all inside."""
+        tag, apart, article, link = self.open[depth]
+        if tag in BLOCKS or apart != self.apart or article != self.article:
+            self.end_line()
+        self.apart, self.article, self.link = apart, article, link
+        self.open_tags.subtract(inner for inner, *_ in self.open[depth:])
+        del self.open[depth:]
+
+    def end_open(self, ended: set[str], beyond: set[str]) -> None:
+        """End the open elements of these kinds, the outermost on this side of ``beyond``."""
+        if not any(self.open_tags[tag] for tag in ended):
+            return
+        found = -1
+        for depth in range(len(self.open) - 1, -1, -1):
+            tag = self.open[depth][0]
+            if tag in beyond:
+                break
+            if tag in ended:
+                found = depth
+        if found >= 0:
+            self.end_element(found)
+
+    def imply_ends(self, tag: str) -> None:
+        """End what the start of an element ends where the page has no end tag."""
+        if tag not in IN_HEAD:
+            self.end_open({"head"}, {"body", "noscript", "svg", "template"})
+        if tag in IMPLIED:
+            self.end_open(*IMPLIED[tag])
+        if tag in ENDS_P:
+            self.end_open({"p"}, SCOPES)
+
     def handle_starttag(self, tag, attrs):
+        self.imply_ends(tag)
         if tag in BLOCKS:
             self.end_line()
         elif tag == "br":
@@ -98,6 +158,7 @@ class Lines(HTMLParser):
         if apart != self.apart:
             self.end_line()
         self.open.append(before)
+        self.open_tags[tag] += 1
         self.apart = apart
         self.article = self.article or tag in ("article", "main")
         self.link = self.link or tag == "a"
@@ -111,16 +172,14 @@ class Lines(HTMLParser):
         self.tags += 1
         for depth in range(len(self.open) - 1, -1, -1):
             if self.open[depth][0] == tag:
-                _, apart, article, link = self.open[depth]
-                if tag in BLOCKS or apart != self.apart or article != self.article:
-                    self.end_line()
-                self.apart, self.article, self.link = apart, article, link
-                del self.open[depth:]
+                self.end_element(depth)
                 return
         if tag in BLOCKS:
             self.end_line()
 
     def handle_data(self, data):
+        if self.open and self.open[-1][0] == "head" and data.strip():
+            self.end_element(len(self.open) - 1)
         self.texts.append(data)
         if self.link:
             self.link_chars += len(data)

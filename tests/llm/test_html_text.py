@@ -67,3 +67,21 @@ def test_defined_cases(spark):
     assert out.columns == ["page_id", "url", "text", "n_chars"]
     assert sorted(r.n_chars for r in out.collect()) == [0, 0, 39_999]
     assert html_text.digest(pages.limit(0)).count() == 0
+
+
+IMPLIED = [
+    (f"<html><head><title>x</title><body><p>{LONG}</p></body></html>", LONG.strip()),
+    (f"<html><head><title>x</title><meta charset=utf-8><p>{LONG}", LONG.strip()),
+    (f"<html><head><title>x</title>{LONG}", LONG.strip()),
+    ("<article><p class=ad>no<p>text<div>more</div></article>", "text\n\nmore"),
+    ("<article><ul><li class=share>no<li>text<ul><li>inner</ul><li>last</ul></article>", "text\n\ninner\n\nlast"),
+    ("<article><dl><dt class=promo>no<dd>text<dt>more</dl></article>", "text\n\nmore"),
+    ("<article><table><tr class=ad><td>no<tr><td class=share>no<td>text<th>more<tr><td>last</table></article>", "text\n\nmore\n\nlast"),
+    ("<article><p>kept<div hidden>no</div><p hidden>no<p>text</article>", "kept\n\ntext"),
+    ("<article><ul><li class=share><p>no<ul><li>no</ul>no<li>text</ul></article>", "text"),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), IMPLIED)
+def test_end_tags_left_out(page, text):
+    assert main_text(page) == text
