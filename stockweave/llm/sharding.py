@@ -26,7 +26,7 @@ from stockweave.session import materialise
 
 SHARDS = 8
 FAN_IN = 8_192
-WHOLE_SHARE = 0.5
+WHOLE_SHARE = 1.0
 SLOT_ROWS = 20_000
 LAW = "bytes"
 _NODE = "node bigint, parent bigint, parts array<bigint>, turn array<int>"

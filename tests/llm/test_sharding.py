@@ -74,3 +74,13 @@ def test_defined_cases(spark):
     docs = spark.createDataFrame([(*t, "own") for t in texts], DOCS)
     check(sharding.shard_documents(docs).collect(), texts)
     assert sharding.shard_documents(docs.limit(0)).count() == 0
+
+
+def test_group_below_a_fair_shard_stays_whole(spark):
+    texts = [(i, "copy " * 50 if i % 10 == 0 else f"own text {i} " * 18) for i in range(1200)]
+    rows = sharding.shard_documents(spark.createDataFrame([(*t, "own") for t in texts], DOCS)).collect()
+    sizes = check(rows, texts)
+    copies = [r for r in rows if r.doc_id % 10 == 0]
+    assert sum(sizes) / 16 < sum(r.size for r in copies) < sum(sizes) / 8
+    assert len({r.shard for r in copies}) == 1
+    assert max(sizes) - min(sizes) <= 0.02 * sum(sizes)
