@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockweave.llm import decontaminate, html_text, language, near_dup, ngram_lm, packing, pii, quality, secrets, sharding
+from stockweave.llm import (
+    conversation_repair,
+    decontaminate,
+    html_text,
+    language,
+    near_dup,
+    ngram_lm,
+    packing,
+    pii,
+    quality,
+    secrets,
+    sharding,
+)
 from stockweave.llm.common import table
 
 
@@ -18,6 +30,10 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.digest(table(spark, folder, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_repair.digest(table(spark, folder, "conversations"))
+
+
 def op2_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.digest(table(spark, folder, "pages"))
 
