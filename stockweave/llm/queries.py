@@ -14,6 +14,7 @@ from stockweave.llm import (
     near_dup,
     ngram_lm,
     packing,
+    pieces,
     pii,
     quality,
     secrets,
@@ -30,6 +31,10 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.digest(table(spark, folder, "documents"))
 
 
+def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.digest(table(spark, folder, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_repair.digest(table(spark, folder, "conversations"))
 

@@ -1,0 +1,83 @@
+"""Encoding and decoding against the library on whole texts."""
+
+from __future__ import annotations
+
+import hashlib
+
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from stockweave.llm import pieces
+
+PATH = public_tokenizers.path(pieces.MODEL)
+TEXTS = ["", " ", "  ", " a", "a ", "a  b   c", "\n\n x\t y\r\n", "▁a▁▁b", " ▁ ▁", "a\0b", "<s> </s><unk> <0x41>", "ÿ你好 \U0001f600",
+         "é  x　y", "it's the THE the  the", "▁", "﻿a", "�", "x" * 300 + " " * 40 + "y"]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=PATH)
+
+
+@pytest.mark.parametrize("most", [0, 5, 1000])
+def test_texts(library, most):
+    own = pieces.Pieces(PATH, most)
+    assert own.by_chunk
+    for texts in (TEXTS, TEXTS[::-1], [" ".join(TEXTS)]):
+        found = own.encode(texts)
+        assert [ids.tolist() for ids in found] == [library.encode(t) for t in texts]
+        assert [own.decode(ids.tolist()) for ids in found] == [library.decode(library.encode(t)) for t in texts]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.one_of(st.sampled_from(" ▁ab\n"), st.characters(codec="utf-8")), max_size=40), max_size=4))
+def test_any_text(texts):
+    library, own = pieces.pieces(PATH).model, pieces.pieces(PATH)
+    found = own.encode(texts)
+    assert [ids.tolist() for ids in found] == [library.encode(t) for t in texts]
+    assert [own.decode(ids.tolist()) for ids in found] == [library.decode(library.encode(t)) for t in texts]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 31_999), st.integers(0, 300), st.sampled_from([28705, 35, 259, 1])), max_size=12))
+def test_any_ids(ids):
+    assert pieces.pieces(PATH).decode(ids) == pieces.pieces(PATH).model.decode(ids)
+
+
+def test_table_is_bounded_and_shared():
+    own = pieces.Pieces(PATH, most=50)
+    asked = []
+    segment = own._segment
+    own._segment = lambda chunks: asked.append(sorted(chunks)) or segment(chunks)
+    own.encode(["the cat the cat", "the dog"])
+    own.encode(["the cat", "a dog"])
+    assert asked == [[" cat", " dog", " the"], [" a"]]
+    own.encode([" ".join(f"w{i}" for i in range(200)), "z" * 70])
+    assert len(own.known) == 6
+
+
+def checksums(library, text):
+    ids = library.encode(text or "")
+    texts = (",".join(map(str, ids)), library.decode(ids))
+    return (len(ids), *[hashlib.sha256(t.encode()).hexdigest() for t in texts])
+
+
+def test_corpus(spark, library):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r.doc_id: tuple(r)[1:] for r in pieces.digest(docs).collect()}
+    assert got == {r.doc_id: checksums(library, r.text) for r in docs.collect()}
+
+
+def test_defined_cases(spark, library):
+    texts = [None, "", " ", "x y", "x y", "ab " * 200_000, "q" * 100_000, *TEXTS]
+    rows = [(n, t, 5, "own") for n, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_tokens int, ids string")
+    got = {r.doc_id: tuple(r)[1:] for r in pieces.digest(docs).collect()}
+    assert got == {n: checksums(library, t) for n, t in enumerate(texts)}
+    both = pieces.decode(pieces.encode(docs)).collect()
+    assert [r.decoded for r in both] == [library.decode(library.encode(t or "")) for t in texts]
+    assert both[0].n_tokens == 5 and both[3].ids == library.encode("x y")
+    assert pieces.digest(docs.limit(0)).count() == 0
