@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stockweave.llm import (
+    alignment,
     conversation_repair,
     decontaminate,
     html_text,
@@ -31,6 +32,10 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.digest(table(spark, folder, "documents"))
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.digest(table(spark, folder, "documents"))
+
+
 def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digest(table(spark, folder, "documents"))
 
