@@ -3,9 +3,9 @@
 A window per group is one shuffle and one sort, and is what runs for ordinary
 groups. A group too large for one task (say, one material with a third of all
 events) is cut into range chunks instead: every chunk is scanned on its own and
-shifted by the totals of the chunks before it. Values are added as whole numbers,
-so both ways give the same totals and which groups count as large changes the
-plan only, never the result.
+shifted by the totals of the chunks before it. Values are added as whole numbers
+that hold all their digits, so both ways give the same totals, and which groups
+count as large changes the plan only, never the result.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockweave.functions.numbers import from_parts, in_parts
+from stockweave.functions.numbers import Scale, nan_to_null, scale_of
 from stockweave.session import materialise
 
 
@@ -71,17 +71,22 @@ def scan_groups(
     order: Sequence[str],
     value: str | None = None,
     counted: str | None = None,
+    scale: Scale | None = None,
 ) -> DataFrame:
     """Add ``seq`` (0-based) and, for ``value``, ``total_before``/``total_after`` per group.
 
-    With ``counted``, rows where that column is NULL take no number of their own.
+    With ``counted``, rows where that column is NULL take no number of their own. Without a
+    ``scale`` a job looks for the one that fits ``value``.
     """
-    scanned = _scan_parts(df, groups, order, value, counted)
-    return _in_units(scanned) if value else scanned
+    if value is None:
+        return _scan_parts(df, groups, order, counted=counted)
+    scale = scale or scale_of(df, value)
+    scanned = _scan_parts(df, groups, order, value, counted, scale)
+    return _in_units(scanned, scale, value)
 
 
-def _in_units(scanned: DataFrame) -> DataFrame:
-    return scanned.withColumns({c: from_parts(F.col(c)) for c in ("total_before", "total_after")})
+def _sums(scale: Scale) -> list[str]:
+    return [f"_sum_{n}" for n in range(len(scale.split(F.lit(0.0))))]
 
 
 def _scan_parts(
@@ -90,75 +95,99 @@ def _scan_parts(
     order: Sequence[str],
     value: str | None = None,
     counted: str | None = None,
+    scale: Scale | None = None,
 ) -> DataFrame:
-    """:func:`scan_groups` with totals still in parts."""
-    ordered = Window.partitionBy(*groups).orderBy(*_ordering(order))
-    up_to_row = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    added = {"seq": F.count(F.col(counted) if counted else F.lit(1)).over(up_to_row) - 1}
-    if value:
-        parts = in_parts(F.col(value))
-        added["total_before"] = F.sum(parts).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-        added["total_after"] = F.sum(parts).over(up_to_row)
+    """``seq``, and up to each row the number of values (``_seen``) and the sums of their parts."""
+    window = Window.partitionBy(*groups).orderBy(*_ordering(order))
+    window = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    added = {"seq": F.count(F.col(counted) if counted else F.lit(1)).over(window) - 1}
+    if value and scale:
+        added["_seen"] = F.count(nan_to_null(F.col(value))).over(window)
+        for name, part in zip(_sums(scale), scale.split(F.col(value)), strict=True):
+            added[name] = F.coalesce(F.sum(part).over(window), F.lit(0))
     return df.withColumns(added)
 
 
-def _plus(left: Column, right: Column) -> Column:
-    """Sum that ignores a NULL side, as SUM ignores NULL rows."""
-    return F.coalesce(left + right, left, right)
+def _in_units(scanned: DataFrame, scale: Scale, value: str) -> DataFrame:
+    """Totals after and before a row, NULL where no value was seen; the latter lack the row's own."""
+    names = _sums(scale)
+    known = nan_to_null(F.col(value)).isNotNull()
+    own = [F.when(known, part).otherwise(F.lit(0)) for part in scale.split(F.col(value))]
+    earlier = [F.col(name) - part for name, part in zip(names, own, strict=True)]
+    totals = {
+        "total_before": F.when(F.col("_seen") > known.cast("bigint"), scale.joined(earlier)),
+        "total_after": F.when(F.col("_seen") > 0, scale.joined([F.col(n) for n in names])),
+    }
+    return scanned.withColumns(totals).drop("_seen", *names)
 
 
-def scan_chunks(df: DataFrame, group: str, order: Sequence[str], value: str | None = None) -> DataFrame:
-    """Same columns as :func:`scan_groups`, with every group cut into range chunks.
+def chunks_of(df: DataFrame, group: str, order: Sequence[str]) -> DataFrame:
+    """``df`` with ``_chunk``, ranges of (group, order), and ``_copy``. Stores the rows twice.
 
     The copy id separates rows equal in every ordering column, so that even a group
     of copies is cut. It is stored before the range shuffle, and the chunk number
     after it, because both must stay the same when a lost task runs again.
     """
     numbered = materialise(df.withColumn("_copy", F.monotonically_increasing_id()))
-    order = [*order, "_copy"]
-    chunked = materialise(
-        numbered.repartitionByRange(F.col(group), *_ordering(order)).withColumn(
-            "_chunk", F.spark_partition_id()
-        )
-    )
-    totals = {"_rows": F.count("*")}
-    if value:
-        totals["_sum"] = F.sum(in_parts(F.col(value)))
-    earlier = (
-        Window.partitionBy(group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    # One row per chunk and group in it.
+    ranges = numbered.repartitionByRange(F.col(group), *_ordering([*order, "_copy"]))
+    return materialise(ranges.withColumn("_chunk", F.spark_partition_id()))
+
+
+def chunk_shifts(chunked: DataFrame, group: str, value: str | None = None, scale: Scale | None = None) -> DataFrame:
+    """Per chunk and group in it: rows, values and sums of the chunks before it. One narrow row each."""
+    totals = {"seq": F.count("*")}
+    if value and scale:
+        totals["_seen"] = F.count(nan_to_null(F.col(value)))
+        totals |= {n: F.sum(part) for n, part in zip(_sums(scale), scale.split(F.col(value)), strict=True)}
+    earlier = Window.partitionBy(group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     per_chunk = chunked.groupBy("_chunk", group).agg(*[c.alias(n) for n, c in totals.items()])
-    shifts = per_chunk.select(
-        "_chunk",
-        group,
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_rows_before"),
-        *([F.sum("_sum").over(earlier).alias("_sum_before")] if value else []),
-    )
-    scanned = _scan_parts(chunked, ["_chunk", group], order, value)
-    shifted = scanned.join(shifts, ["_chunk", group]).withColumn(
-        "seq", F.col("seq") + F.col("_rows_before")
-    )
+    before = [F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"{n}_before") for n in totals]
+    return per_chunk.select("_chunk", group, *before)
+
+
+def scan_in_chunks(
+    chunked: DataFrame,
+    group: str,
+    order: Sequence[str],
+    value: str | None = None,
+    counted: str | None = None,
+    scale: Scale | None = None,
+    shifts: DataFrame | None = None,
+) -> DataFrame:
+    """The scan of :func:`chunks_of`, partitioned by (chunk, group); ``_chunk`` stays.
+
+    Every chunk is scanned by itself and shifted by what came before it. ``shifts`` may be given
+    where ``chunked`` holds rows besides those that were counted.
+    """
+    shifts = chunk_shifts(chunked, group, value, scale) if shifts is None else shifts
+    scanned = _scan_parts(chunked, ["_chunk", group], [*order, "_copy"], value, counted, scale)
+    shifted = scanned.join(shifts, ["_chunk", group])
+    names = [c.removesuffix("_before") for c in shifts.columns[2:]]
+    shifted = shifted.withColumns({n: F.col(n) + F.col(f"{n}_before") for n in names})
+    shifted = shifted.drop("_copy", *shifts.columns[2:])
+    return _in_units(shifted, scale, value) if value and scale else shifted
+
+
+def scan_chunks(
+    df: DataFrame, group: str, order: Sequence[str], value: str | None = None, scale: Scale | None = None
+) -> DataFrame:
+    """Same columns as :func:`scan_groups`, with every group cut into range chunks."""
+    chunked = chunks_of(df, group, order)
     if value:
-        shifted = shifted.withColumns(
-            {
-                "total_before": _plus(F.col("total_before"), F.col("_sum_before")),
-                "total_after": _plus(F.col("total_after"), F.col("_sum_before")),
-            }
-        )
-    shifted = shifted.drop("_copy", "_chunk", "_rows_before", "_sum_before")
-    return _in_units(shifted) if value else shifted
+        scale = scale or scale_of(chunked, value)
+    return scan_in_chunks(chunked, group, order, value, scale=scale).drop("_chunk")
 
 
 def scan(
     df: DataFrame, group: str, order: Sequence[str], value: str | None = None, hot: DataFrame | None = None
 ) -> DataFrame:
     """Per-group scan: a window for ordinary groups, chunks for the ``hot`` ones."""
+    scale = scale_of(df, value) if value else None
     ordinary, large = split_hot(df, group, hot)
-    scanned = scan_groups(ordinary, [group], order, value)
+    scanned = scan_groups(ordinary, [group], order, value, scale=scale)
     if large is None:
         return scanned
-    return scanned.unionByName(scan_chunks(large, group, order, value))
+    return scanned.unionByName(scan_chunks(large, group, order, value, scale))
 
 
 _DIGIT = 22  # bits of the key resolved per level

@@ -13,13 +13,17 @@ from typing import Literal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockweave.functions.numbers import Scale, scale_of
 from stockweave.operators.events import EVENT_ORDER
 from stockweave.operators.running import (
     SkewPolicy,
+    chunk_shifts,
+    chunks_of,
     hot_keys,
     key_offsets,
     scan_chunks,
     scan_groups,
+    scan_in_chunks,
     split_hot,
 )
 from stockweave.session import materialise
@@ -37,10 +41,11 @@ def running_stock(events: DataFrame, hot: DataFrame | None = None) -> DataFrame:
 
     ``stock_before`` is NULL on the first event of a material.
     """
+    scale = scale_of(events, "quantity_change")
     ordinary, large = split_hot(events, "material", hot)
-    scanned = scan_groups(ordinary, ["material"], EVENT_ORDER, "quantity_change")
+    scanned = scan_groups(ordinary, ["material"], EVENT_ORDER, "quantity_change", scale=scale)
     if large is not None:
-        scanned = scanned.unionByName(scan_chunks(large, "material", EVENT_ORDER, "quantity_change"))
+        scanned = scanned.unionByName(scan_chunks(large, "material", EVENT_ORDER, "quantity_change", scale))
     return _as_stock(scanned)
 
 
@@ -56,15 +61,20 @@ class Numbering:
     total: int
     offsets: DataFrame  # (material, offset)
     hot: DataFrame | None  # (material), None if no material is too large
+    scale: Scale  # holds every quantity
 
 
 def number_events(events: DataFrame, skew: SkewPolicy = SkewPolicy()) -> Numbering:
-    """Count the events per material, and from that offsets and materials too large for one task."""
-    counts = materialise(events.groupBy("material").agg(F.count("*").alias("n")), "counts")
+    """Count the events per material, and from that offsets, materials too large for one task and the scale."""
+    facts = Scale.facts(F.col("quantity_change"))
+    counts = materialise(events.groupBy("material").agg(F.count("*").alias("n"), *facts), "counts")
+    known = counts.agg(F.sum("n").alias("total"), F.max("n").alias("most"), *Scale.combined()).first()
+    counts = counts.select("material", "n")
     return Numbering(
-        total=counts.agg(F.sum("n")).first()[0] or 0,
+        total=known["total"] or 0,
         offsets=key_offsets(counts, "material", "n"),
-        hot=hot_keys(counts, skew),
+        hot=hot_keys(counts, skew) if (known["most"] or 0) > skew.max_group_rows else None,
+        scale=Scale.of(known),
     )
 
 
@@ -96,7 +106,13 @@ def _known() -> Column:
     return F.col("stock_before").isNotNull() & F.col("stock_after").isNotNull()
 
 
-def _floored_by_window(events: DataFrame, offsets: DataFrame, parameters: DataFrame | None) -> DataFrame:
+def _lowest() -> Column:
+    return F.when(_known(), F.least("stock_before", "stock_after"))
+
+
+def _floored_by_window(
+    events: DataFrame, offsets: DataFrame, scale: Scale, parameters: DataFrame | None
+) -> DataFrame:
     """Complete events with ``position``, ``adding_stock`` and the parameters of their pair.
 
     Being partitioned by material is enough for a window over (material, plant), so the
@@ -108,25 +124,49 @@ def _floored_by_window(events: DataFrame, offsets: DataFrame, parameters: DataFr
     if names:
         events = events.unionByName(parameters.dropna(subset=PAIR), allowMissingColumns=True)
     # Only events have a branch.
-    scanned = scan_groups(events, ["material"], EVENT_ORDER, "quantity_change", counted="branch")
+    scanned = scan_groups(events, ["material"], EVENT_ORDER, "quantity_change", counted="branch", scale=scale)
     rows = with_position(_as_stock(scanned), offsets)
     pair = Window.partitionBy(*PAIR)
-    lowest = F.min(F.when(_known(), F.least("stock_before", "stock_after"))).over(pair)
     of_pair = {name: F.when(F.col("plant").isNotNull(), F.max(name).over(pair)) for name in names}
-    return rows.withColumns({"adding_stock": _adding(lowest), **of_pair}).where(
+    return rows.withColumns({"adding_stock": _adding(F.min(_lowest()).over(pair)), **of_pair}).where(
         F.col("branch").isNotNull() & _known()
     )
 
 
-def _floored_by_join(events: DataFrame, offsets: DataFrame, parameters: DataFrame | None) -> DataFrame:
-    """Same for materials too large for one task: scanned in chunks, minima combined before the shuffle."""
-    chunked = _as_stock(scan_chunks(events, "material", EVENT_ORDER, "quantity_change"))
-    completed = complete(with_position(chunked, offsets))
-    # Everything known of a pair in one table, so that the events are joined once.
-    pairs = stock_floor(completed).select(*PAIR, "adding_stock")
-    if parameters is not None:
-        pairs = pairs.join(parameters, PAIR, "left")
-    return completed.join(pairs, PAIR, "left")
+def _floored_by_chunks(
+    events: DataFrame, offsets: DataFrame, scale: Scale, parameters: DataFrame | None
+) -> DataFrame:
+    """Same for materials too large for one task, out of the partitioning of their chunks.
+
+    A chunk gives the lowest stock of each of its pairs, already shifted by the chunks before
+    it. These few rows are brought together by material, along with the parameters, and
+    what is known of a pair goes back into each of its chunks as a row ahead of the events.
+    Events are shuffled by chunk only, never by pair.
+    """
+    names = [c for c in parameters.columns if c not in PAIR] if parameters is not None else []
+    chunked = chunks_of(events, "material", EVENT_ORDER)
+    shifts = chunk_shifts(chunked, "material", "quantity_change", scale).join(offsets, "material")
+    # From here on ``seq`` counts all events.
+    shifts = shifts.withColumn("seq_before", F.col("seq_before") + F.col("offset"))
+    shifts = materialise(shifts.select("_chunk", "material", *[c for c in shifts.columns if c.endswith("_before")]))
+
+    def scanned(rows: DataFrame) -> DataFrame:
+        found = scan_in_chunks(rows, "material", EVENT_ORDER, "quantity_change", "branch", scale, shifts)
+        return _as_stock(found)
+
+    narrow = chunked.select("_chunk", "_copy", *EVENT_ORDER, "material")
+    lowest = scanned(narrow).where(F.col("plant").isNotNull()).groupBy("_chunk", *PAIR).agg(F.min(_lowest()).alias("lowest"))
+    if names:
+        lowest = lowest.unionByName(parameters.dropna(subset=PAIR), allowMissingColumns=True)
+    pair = Window.partitionBy(*PAIR)
+    of_pair = {"adding_stock": _adding(F.min("lowest").over(pair)), **{n: F.max(n).over(pair) for n in names}}
+    known = lowest.repartition("material").withColumns(of_pair).where(F.col("_chunk").isNotNull()).drop("lowest")
+
+    rows = scanned(chunked.unionByName(known, allowMissingColumns=True))
+    here = Window.partitionBy("_chunk", *PAIR)
+    handed = {n: F.when(F.col("plant").isNotNull(), F.max(n).over(here)) for n in ("adding_stock", *names)}
+    rows = rows.withColumns(handed).where(F.col("branch").isNotNull() & _known())
+    return rows.withColumn("position", F.col("seq")).drop("_chunk")
 
 
 def _adjust(floored: DataFrame, stock_after: StockAfter) -> DataFrame:
@@ -154,12 +194,12 @@ def adjusted_events(
     of the pair: a left join that is planned along with the floor.
     """
     ordinary, large = split_hot(events, "material", numbering.hot)
-    floored = _floored_by_window(ordinary, numbering.offsets, parameters)
+    floored = _floored_by_window(ordinary, numbering.offsets, numbering.scale, parameters)
     if large is not None:
         of_hot = numbering.offsets.join(numbering.hot, "material", "left_semi")
         if parameters is not None:
             parameters = parameters.join(numbering.hot, "material", "left_semi")
-        floored = floored.unionByName(_floored_by_join(large, of_hot, parameters))
+        floored = floored.unionByName(_floored_by_chunks(large, of_hot, numbering.scale, parameters))
     return _adjust(floored, stock_after).drop("seq")
 
 

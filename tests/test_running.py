@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import random
+from fractions import Fraction
 from itertools import accumulate
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from stockweave.functions.numbers import scale_of
 from stockweave.operators.running import (
     SkewPolicy,
     find_hot_keys,
@@ -65,10 +67,57 @@ def test_fractions_add_up_alike_in_both_plans(spark):
     assert all(after == round(after, 1) for *_, after in whole)
 
 
-def test_too_many_decimals_fail(spark):
-    df = spark.createDataFrame([(1, 1, 1, 0.12345678)], SCHEMA)
-    with pytest.raises(Exception, match="more than 6 decimals"):
-        scan_groups(df, ["g"], ["a"], "v").collect()
+def exact(rows):
+    """Like :func:`expected`, sums taken as fractions and rounded once."""
+    rows = [(*r[:3], None if r[3] is None else Fraction(r[3])) for r in rows]
+    return sorted([(*r[:3], *[x if i == 1 or x is None else float(x) for i, x in enumerate(r[3:])]) for r in expected(rows)], key=str)
+
+
+NUMBERS = {
+    "thirds": [1 / 3, -2 / 3, 7.0, 0.1],
+    "far apart": [1e13, 1 / 3, -1e13, 1e-7],
+    "large": [1e15, -1e15, 123456789012345.0],
+    "binary": [0.5, 0.25, 1e9, -3.125],
+    "tiny": [5e-324, 1e-310, -2e-320],
+}
+
+
+@pytest.mark.parametrize("name", NUMBERS)
+def test_any_doubles_add_up_exactly(spark, name):
+    rng = random.Random(4)
+    rows = [(rng.randrange(3), i, 0, rng.choice([None, *NUMBERS[name]])) for i in range(400)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    assert result(scan_groups(df, ["g"], ["a", "b"], "v")) == exact(rows)
+    assert result(scan_chunks(df, "g", ["a", "b"], "v")) == exact(rows)
+
+
+def test_numbers_wider_than_any_decimal_add_up_alike_in_both_plans(spark):
+    rng = random.Random(4)
+    rows = [(1, i, 0, rng.choice([1e300, -1e300, 1e-300, 1 / 3, 12345.678])) for i in range(500)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    found = result(scan_groups(df, ["g"], ["a", "b"], "v"))
+    assert found == result(scan_chunks(df, "g", ["a", "b"], "v"))
+    for got, want in zip(found, exact(rows), strict=True):
+        assert got[-1] == pytest.approx(want[-1], rel=1e-15, abs=0)
+
+
+def test_infinities_and_nan(spark):
+    rows = [(1, 0, 0, 2.5), (1, 1, 0, float("nan")), (1, 2, 0, float("inf")), (1, 3, 0, 1.0), (1, 4, 0, -float("inf"))]
+    rows += [(2, 0, 0, -float("inf")), (2, 1, 0, 3.0)]
+    inf = float("inf")
+    want = [(1, 2.5), (1, 2.5), (1, inf), (1, inf), (1, None), (2, -inf), (2, -inf)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for found in (scan_groups(df, ["g"], ["a"], "v"), scan_chunks(df, "g", ["a"], "v")):
+        assert [(r.g, r.total_after) for r in found.orderBy("g", "a").collect()] == want
+
+
+def test_scale_is_as_narrow_as_the_numbers(spark):
+    def parts(*numbers):
+        scale = scale_of(spark.createDataFrame([(x,) for x in numbers], "v double"), "v")
+        return scale.decimals, scale.parts
+
+    assert parts(1.0, 50.0) == (0, 1) and parts(None) == (0, 1) and parts(0.1, 2.25) == (6, 1)
+    assert parts(2.0**-9, 1e9) == (None, 1) and parts(1 / 3, 7.0) == (None, 1) and parts(1e13, 1 / 3) == (None, 2)
 
 
 def test_one_group_of_copies_is_cut_into_chunks(spark):
