@@ -39,7 +39,7 @@ from stockweave.session import materialise
 
 RANKS_A = "byte_bpe_50k.tiktoken"
 STRETCH_BYTES = 2048
-BLOCK_CHARS = 1_000_000
+BLOCK_CHARS = 400_000
 PAIR_SHIFT = 20
 MEASURES = ("n_a", "n_b", "n_groups", "n_links")
 ALIGNED = "doc_id bigint, a array<int>, b array<int>, link_a array<int>, link_b array<int>"
@@ -232,18 +232,20 @@ def _align_blocks(paths: tuple[str, str], block_chars: int):
             pairs, links, times = np.unique(linked, return_inverse=True, return_counts=True)
             # Frequent pairs get small numbers, which compress.
             order = np.argsort(-times, kind="stable")
-            place = np.empty(len(order), np.uint32)
-            place[order] = np.arange(len(order), dtype=np.uint32)
+            width = "<u2" if len(order) <= 1 << 16 else "<u4"
+            place = np.empty(len(order), width)
+            place[order] = np.arange(len(order))
             sums = [hashlib.sha256(told.encode()).hexdigest() if told else "" for told in block.told(own)]
             row = {
                 "block": (task << 32) + number, "doc_id": ids,
                 "n_a": np.diff(block.first_a), "n_b": np.diff(block.first_b), "n_links": np.diff(block.first_link),
-                "groups_sha256": sums, "links": place[links].astype("<u4").tobytes(),
+                "groups_sha256": sums, "links": place[links].tobytes(),
                 "pairs": pairs[order], "times": times[order],
             }
             kinds = {"block": pa.int64(), "links": pa.binary(), "groups_sha256": pa.list_(pa.string())}
             columns = [pa.array([value], kinds.get(name, pa.list_(pa.int64()))) for name, value in row.items()]
             yield pa.RecordBatch.from_arrays(columns, list(row))
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -254,7 +256,7 @@ def _added_up(batches):
     for part in slices(batches, 1):
         row = part.to_pydict()
         lengths = np.array(row["n_links"][0], np.int64)
-        links = np.frombuffer(row["links"][0], "<u4")
+        links = np.frombuffer(row["links"][0], "<u2" if len(row["links"][0]) == 2 * lengths.sum() else "<u4")
         # Pairs come in no order; each has its place.
         places = np.array(row["places"][0] or [], np.int64)
         counts, best = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
