@@ -10,7 +10,7 @@ import importlib
 from collections.abc import Callable
 from types import ModuleType
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import oracle
@@ -86,21 +86,28 @@ def _running_stock(tables: Tables) -> DataFrame:
     return events.describe(_running(tables)).select(*STOCK_COLUMNS)
 
 
-def _fractional(limit: int) -> Callable[[Tables], DataFrame]:
-    """Running stock of quantities with decimals, groups above ``limit`` rows cut into chunks."""
+def _of_quantities(change: Callable[[], Column], limit: int) -> Callable[[Tables], DataFrame]:
+    """Running stock of other quantities, groups above ``limit`` rows cut into chunks."""
 
     def run(tables: Tables) -> DataFrame:
         policy = SkewPolicy(max_group_rows=limit, sample_fraction=1.0)
-        rows = events.all_events(tables).withColumn(
-            "quantity_change", F.col("quantity_change") * F.lit(0.7) + F.lit(0.1) * (F.col("item_key") % 3)
-        )
-        rows = rows.withColumn("quantity_change", F.round("quantity_change", 1))
+        rows = events.all_events(tables).withColumn("quantity_change", change())
         hot = find_hot_keys(rows.select("material"), policy)
         return events.describe(stock.running_stock(rows, hot)).select(*STOCK_COLUMNS)
 
     return run
 
 
+def _with_decimals() -> Column:
+    return F.round(F.col("quantity_change") * F.lit(0.7) + F.lit(0.1) * (F.col("item_key") % 3), 1)
+
+
+def _any_double() -> Column:
+    """Thirds, and among them numbers so large that a sum of doubles would lose the thirds."""
+    large = F.when(F.col("item_key") % 7 == 0, F.lit(1e13)).when(F.col("item_key") % 7 == 1, F.lit(-1e13))
+    return F.col("quantity_change") / 3 + F.coalesce(large, F.lit(0.0))
+
+
 def _running_stock_complete(tables: Tables) -> DataFrame:
     return events.describe(stock.complete(_running(tables))).select(*STOCK_COLUMNS)
 
@@ -222,6 +229,52 @@ def _order_log(tables: Tables) -> DataFrame:
     return rows.select(*[known.get(c, empty).alias(c) for c in ocel.LOG_ORDER])
 
 
+# Attributes of the wide log that are numbers.
+WIDE_KINDS = {"Quantity": "double", "Document": "bigint"}
+
+
+def _wide_log(tables: Tables) -> DataFrame:
+    """The event log with two more object types, one of them with several objects, and two more attributes."""
+    found = events.describe(inventory.adjusted(tables, SETTINGS))
+    line = F.concat(F.col("doc_key").cast("string"), F.lit("-"), F.col("item_key").cast("string"))
+    more = {
+        ocel.object_column("DOC"): F.array(F.concat(F.lit("DOC--"), F.col("doc_key").cast("string"))),
+        "Quantity": F.col("quantity_change"),
+        ocel.object_column("LINE"): F.array(F.concat(F.lit("LINE--"), line), F.concat(F.lit("PLACE--"), F.col("plant"))),
+        "Document": F.col("doc_key"),
+    }
+    return inventory.published(found.withColumns(more), list(more))
+
+
+def _wide_csv(tables: Tables) -> str:
+    path = scratch_path(tables["Materials"].sparkSession, "wide-log")
+    write_event_log(_wide_log(tables), path)
+    return path
+
+
+def _wide_roundtrip(tables: Tables) -> DataFrame:
+    return read_event_log(tables["Materials"].sparkSession, _wide_csv(tables), WIDE_KINDS)
+
+
+def _relabelled_wide_roundtrip(tables: Tables) -> DataFrame:
+    spark = tables["Materials"].sparkSession
+    out = scratch_path(spark, "relabelled-log")
+    files.write_relabelled_log(spark, tables, _wide_csv(tables), out, SETTINGS)
+    return read_event_log(spark, out, WIDE_KINDS)
+
+
+def _wide_xml(derive) -> Callable[[Tables], DataFrame]:
+    """Relabelled wide log to XML and back."""
+
+    def run(tables: Tables) -> DataFrame:
+        spark = tables["Materials"].sparkSession
+        xml = scratch_path(spark, "wide-ocel")
+        write_ocel_xml(_relabelled_wide_roundtrip(tables), xml)
+        return derive(spark, xml)
+
+    return run
+
+
 def _multi_object_roundtrip(tables: Tables) -> DataFrame:
     spark = tables["Materials"].sparkSession
     path = scratch_path(spark, "order-log")
@@ -257,13 +310,19 @@ def _xml_roundtrip(read) -> Callable[[Tables], DataFrame]:
 MOVED = ["GoodsReceiptsAndIssues", "PurchaseOrderItems", "PurchaseOrderDocuments"]
 
 
-def _stored(run: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-    """Over tables that were written and are read again, movements by month."""
+def _write_plain(tables: Tables, path: str, names: list[str]) -> None:
+    """One folder of files per table, as another program would write them."""
+    for name in names:
+        tables[name].write.parquet(f"{path}/{name}")
+
+
+def _stored(run: Callable[[Tables], DataFrame], write=write_tables) -> Callable[[Tables], DataFrame]:
+    """Over tables that were written and are read again; :func:`write_tables` puts movements in months."""
 
     def over_files(tables: Tables) -> DataFrame:
         spark = tables["Materials"].sparkSession
         path = scratch_path(spark, "tables")
-        write_tables(tables, path, names=MOVED)
+        write(tables, path, names=MOVED)
         return run(read_tables(spark, path, MOVED))
 
     return over_files
@@ -325,8 +384,10 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "ev_goods_issue": _described(events.goods_issues),
     "all_events": _described(events.all_events),
     "running_stock": _running_stock,
-    "running_stock_fractional": _fractional(SkewPolicy().max_group_rows),
-    "running_stock_fractional_chunked": _fractional(30),
+    "running_stock_fractional": _of_quantities(_with_decimals, SkewPolicy().max_group_rows),
+    "running_stock_fractional_chunked": _of_quantities(_with_decimals, 30),
+    "running_stock_any_double": _of_quantities(_any_double, SkewPolicy().max_group_rows),
+    "running_stock_any_double_chunked": _of_quantities(_any_double, 30),
     "running_stock_complete": _running_stock_complete,
     "event_ids": _event_ids,
     "stock_floor": _stock_floor,
@@ -339,6 +400,8 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "demand_stats": lambda tables: demand.demand_stats(tables, AS_OF),
     "daily_demand_stored": _stored(lambda tables: demand.daily_demand(tables, AS_OF)),
     "lead_times_stored": _stored(lambda tables: demand.lead_times(tables, AS_OF)),
+    "daily_demand_plain_files": _stored(lambda tables: demand.daily_demand(tables, AS_OF), _write_plain),
+    "lead_times_plain_files": _stored(lambda tables: demand.lead_times(tables, AS_OF), _write_plain),
     "lead_times": lambda tables: demand.lead_times(tables, AS_OF),
     "daily_demand_leap_day": lambda tables: demand.daily_demand(tables, LEAP_DAY),
     "lead_times_leap_day": lambda tables: demand.lead_times(tables, LEAP_DAY),
@@ -361,6 +424,11 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "event_log_csv_roundtrip": _csv_roundtrip,
     "relabelled_log_csv_roundtrip": _relabelled_csv_roundtrip,
     "multi_object_csv_roundtrip": _multi_object_roundtrip,
+    "wide_log_csv_roundtrip": _wide_roundtrip,
+    "relabelled_wide_log_csv_roundtrip": _relabelled_wide_roundtrip,
+    "wide_ocel_summary": lambda tables: ocel.ocel_summary(_relabelled_wide_roundtrip(tables)),
+    "wide_ocel_xml_events": _wide_xml(read_ocel_events),
+    "wide_ocel_xml_relations": _wide_xml(read_ocel_relations),
     "csv_ocel_summary": _of_csv_log(ocel.ocel_summary, _log),
     "post_ocel_relations": _of_csv_log(ocel.ocel_relations, _relabelled),
     "post_ocel_objects": _of_csv_log(ocel.ocel_objects, _relabelled),

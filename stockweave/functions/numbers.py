@@ -58,6 +58,7 @@ class Scale:
     bits: int = 62
     parts: int = 1
     infinite: bool = False
+    narrow: bool = True  # every sum fits a decimal
 
     # Facts about the numbers: name, expression, how facts of parts of the rows are combined.
     _FACTS = {
@@ -94,7 +95,8 @@ class Scale:
         low = max(-1074, int(facts["_lowest"]))
         bits = max(1, 62 - int(numbers).bit_length())
         digits = math.frexp(largest)[1] - low
-        return cls(None, low, bits, max(1, -(-digits // bits)), infinite)
+        narrow = digits + int(numbers).bit_length() <= 125
+        return cls(None, low, bits, max(1, -(-digits // bits)), infinite, narrow)
 
     def split(self, x: Column) -> list[Column]:
         """``x`` as whole numbers, to be added one by one."""
@@ -132,7 +134,7 @@ class Scale:
             return value / 10.0**self.decimals if self.decimals else value
         if self.parts == 1:
             return _times_power(sums[0].cast("double"), self.low)
-        if (self.parts - 1) * self.bits + 63 <= 125:
+        if self.narrow:
             places = [F.lit(Decimal(1 << place * self.bits)) for place in range(self.parts)]
             wide = [(s.cast("decimal(20,0)") * place).cast("decimal(38,0)") for s, place in zip(sums, places, strict=True)]
             total = reduce(lambda a, b: (a + b).cast("decimal(38,0)"), wide)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,19 +46,39 @@ def encode_cell(cell: Column) -> Column:
             element = F.replace(element, F.lit(raw), F.lit(escaped))
         return F.coalesce(F.concat(F.lit("'"), element, F.lit("'")), F.lit("null"))
 
-    return F.concat(F.lit("["), F.array_join(F.transform(cell, quoted), ", "), F.lit("]"))
+    # Nearly all cells hold one plain id.
+    only = F.when(F.size(cell) == 1, F.get(cell, F.lit(0)))
+    plain = only.isNotNull() & ~reduce(Column.__or__, [only.contains(raw) for raw, _ in _ESCAPES])
+    several = F.concat(F.lit("["), F.array_join(F.transform(cell, quoted), ", "), F.lit("]"))
+    return F.when(plain, F.concat(F.lit("['"), only, F.lit("']"))).otherwise(several)
+
+
+# A cell of one plain id, and the pieces of any other one: texts in quotes, words, marks.
+_ONE_PLAIN = r"^\['[^'\\]*'\]$"
+_PIECES = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^'"\s,\[\]]+|[\s,\[\]]+|['"]"""
+
+
+def _without_none(text: Column) -> Column:
+    """``None`` outside of quotes becomes ``null``, the word of the parser."""
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s){_PIECES}"), F.lit(0))
+    words = F.transform(pieces, lambda piece: F.when(piece == "None", "null").otherwise(piece))
+    return F.when(text.contains("None"), F.array_join(words, "")).otherwise(text)
 
 
 def decode_cell(text: Column) -> Column:
     """CSV text back to an array; a bare string becomes a one-element array.
 
-    Text that starts a list and is none fails the job.
+    An element ``None`` or ``null`` is NULL. Text that starts a list and is none fails the job.
     """
     options = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true", "mode": "FAILFAST"}
     # Not NULL for a list as written; a NULL result means text the parser gave up on.
-    parsed = F.from_json(text, "array<string>", options)
+    parsed = F.from_json(_without_none(text), "array<string>", options)
     broken = F.raise_error(F.concat(F.lit("not a list of objects: "), text)).cast("array<string>")
-    return F.when(text.startswith("["), F.coalesce(parsed, broken)).when(text.isNotNull(), F.array(text))
+    return (
+        F.when(text.rlike(_ONE_PLAIN), F.array(F.substring(text, F.lit(3), F.length(text) - 4)))
+        .when(text.startswith("["), F.coalesce(parsed, broken))
+        .when(text.isNotNull(), F.array(text))
+    )
 
 
 def first_object(text: Column) -> Column:

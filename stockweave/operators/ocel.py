@@ -1,10 +1,14 @@
 """The object-centric log as event, relation and object tables, and its summary.
 
-Input is a log in its published form: ``ocel:*`` columns with object cells as arrays.
+Input is a log in its published form: ``ocel:*`` columns with object cells as arrays. What a log
+holds follows from its columns: every ``ocel:type:<name>`` is an object type, and every column
+besides those, the id, the activity and the time is an attribute of its events.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +23,7 @@ def object_column(object_type: str) -> str:
     return f"{TYPE}:{object_type}"
 
 
-# Published columns of a log, in output order.
+# Columns of the log of this library, in output order.
 LOG_ORDER = [
     ACTIVITY,
     TIMESTAMP,
@@ -31,20 +35,32 @@ LOG_ORDER = [
 ]
 
 
-def object_lists() -> list[Column]:
+def object_types(columns: Iterable[str]) -> list[str]:
+    """The object types of a log, in the order of its columns."""
+    prefix = object_column("")
+    return [c.removeprefix(prefix) for c in columns if c.startswith(prefix)]
+
+
+def attributes(columns: Iterable[str]) -> list[str]:
+    """The attributes of the events of a log, in the order of its columns."""
+    return [c for c in columns if c not in (EID, ACTIVITY, TIMESTAMP) and not c.startswith(object_column(""))]
+
+
+def object_lists(log: DataFrame) -> list[Column]:
     """Per object type a struct (type, ids) of the objects of an event."""
-    return [
-        F.struct(F.lit(t).alias("type"), F.col(f"`{object_column(t)}`").alias("ids")) for t in OBJECT_TYPES
-    ]
+    types = object_types(log.columns)
+    if not types:
+        return [F.struct(F.lit("").alias("type"), F.lit(None).cast("array<string>").alias("ids"))]
+    return [F.struct(F.lit(t).alias("type"), F.col(f"`{object_column(t)}`").alias("ids")) for t in types]
 
 
 def ocel_events(log: DataFrame) -> DataFrame:
-    return log.select(EID, ACTIVITY, TIMESTAMP, BEFORE, AFTER)
+    return log.select(EID, ACTIVITY, TIMESTAMP, *[f"`{name}`" for name in attributes(log.columns)])
 
 
 def _relations(log: DataFrame, *kept: str) -> DataFrame:
     """One row per event and object with the ``kept`` columns; missing objects leave no row."""
-    by_type = log.select(*kept, F.explode(F.array(*object_lists())).alias("o"))
+    by_type = log.select(*kept, F.explode(F.array(*object_lists(log))).alias("o"))
     return by_type.select(*kept, F.explode("o.ids").alias(OID), F.col("o.type").alias(TYPE))
 
 
@@ -71,7 +87,7 @@ def ocel_summary(log: DataFrame) -> DataFrame:
     )
     objects = [
         F.struct(F.lit("objects").alias("section"), o["type"].alias("name"), o["ids"].alias("ids"))
-        for o in object_lists()
+        for o in object_lists(log)
     ]
     counted = (
         log.select(F.explode(F.array(activity, *objects)).alias("x"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -78,8 +79,8 @@ def event_id(position) -> F.Column:
     return F.concat(F.lit("e"), position.cast("string"))
 
 
-def published(events: DataFrame) -> DataFrame:
-    """Described events in the published columns of the log."""
+def published(events: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """Described events in the published columns of the log, and those of ``more`` after them."""
     material, plant = F.col("material"), F.col("plant")
     cells = {
         "MAT": object_cell("MAT", material_id(material), material),
@@ -93,7 +94,7 @@ def published(events: DataFrame) -> DataFrame:
     return (
         events.withColumns({**cells, "eid": event_id(F.col("position"))})
         .withColumnsRenamed(LOG_COLUMNS)
-        .select(*[f"`{c}`" for c in LOG_ORDER])
+        .select(*[f"`{c}`" for c in (*LOG_ORDER, *more)])
     )
 
 

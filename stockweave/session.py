@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -53,17 +54,46 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-_open_scopes: list[list[str]] = []
+# Of the thread or task that opened them, so that one job does not delete another's tables.
+_open_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("open_scopes", default=())
 
 
 def scratch_path(spark: SparkSession, name: str, scoped: bool = True) -> str:
     """A fresh path below the shared folder; unless ``scoped``, no :func:`scratch_scope` deletes it."""
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if scoped and _open_scopes:
-        _open_scopes[-1].append(path)
+    if scoped and _open_scopes.get():
+        _open_scopes.get()[-1].append(path)
     return path
 
 
+def _place(spark: SparkSession, path: str):
+    """(file system, path) of the cluster's own libraries, for any kind of path that Spark reads."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file with ``text``, in place of one that is there."""
+    files, place = _place(spark, path)
+    stream = files.create(place, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file, None if it is not there."""
+    files, place = _place(spark, path)
+    if not files.exists(place):
+        return None
+    stream = files.open(place)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Delete every scratch path taken inside, at the end.
@@ -72,15 +102,14 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     be used after it.
     """
     paths: list[str] = []
-    _open_scopes.append(paths)
+    token = _open_scopes.set((*_open_scopes.get(), paths))
     try:
         yield
     finally:
-        _open_scopes.remove(paths)
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        _open_scopes.reset(token)
         for path in paths:
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(conf).delete(place, True)
+            files, place = _place(spark, path)
+            files.delete(place, True)
 
 
 def materialise(df: DataFrame, name: str = "rows", scoped: bool = True) -> DataFrame:
@@ -113,7 +142,7 @@ def side_by_side(spark: SparkSession, actions: Sequence[Callable[[], None]], at_
         return inheritable_thread_target(spark)(run)
 
     with ThreadPoolExecutor(at_once) as pool:
-        begun = [pool.submit(tagged(action)) for action in actions]
+        begun = [pool.submit(copy_context().run, tagged(action)) for action in actions]
         done, rest = wait(begun, return_when=FIRST_EXCEPTION)
         if rest:
             pool.shutdown(wait=False, cancel_futures=True)

@@ -3,22 +3,24 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+from dataclasses import asdict
 
 import pytest
 from conftest import SMALL, movement, purchase, purchase_item, sale, sale_item
 from pyspark.sql import functions as F
 
 from stockweave.functions.objects import decode_cell, encode_cell, first_object
-from stockweave.operators import ocel
+from stockweave.operators import demand, ocel
 from stockweave.plans import files, inventory
 from stockweave.plans.inventory import JobSettings
-from stockweave.session import scratch_path
+from stockweave.session import scratch_path, write_text
 from stockweave.sinks.event_log_csv import write_event_log
 from stockweave.sinks.ocel_xml import write_ocel_xml
-from stockweave.sources.event_log_csv import numbered, read_event_log, read_event_log_text
+from stockweave.sources.event_log_csv import read_event_log, read_event_log_text, with_position
 from stockweave.sources.ocel_xml import read_ocel_events, read_ocel_objects, read_ocel_relations
 from stockweave.sources.staging import stage
-from stockweave.sources.tables import read_tables, write_tables
+from stockweave.sources.tables import Months, read_tables, write_tables
 
 SETTINGS = JobSettings(as_of=dt.date(1997, 1, 1))
 
@@ -56,6 +58,9 @@ def rows(df):
         (["a", "b, 'c'", ""], r"['a', 'b, \'c\'', '']"),
         ([], "[]"),
         (["a", None], "['a', null]"),
+        ([None], "[null]"),
+        (["None"], "['None']"),
+        (["a", "None", "It's None, null"], r"['a', 'None', 'It\'s None, null']"),
     ],
 )
 def test_cell_text(spark, ids, text):
@@ -73,6 +78,20 @@ def test_bare_text_and_double_quotes_decode(spark):
     ]
 
 
+@pytest.mark.parametrize(
+    "text, ids",
+    [
+        ("['a', None]", ["a", None]),
+        ("[None]", [None]),
+        ("[ None,'None' , \"None\"]", [None, "None", "None"]),
+        (r"['\'None\'', None, '']", ["'None'", None, ""]),
+    ],
+)
+def test_none_in_a_cell(spark, text, ids):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(decode_cell(F.col("t"))).first()[0] == ids
+
+
 @pytest.mark.parametrize("text", ["['a'", "[", "['a' 'b']"])
 def test_broken_cells_fail(spark, text):
     df = spark.createDataFrame([(text,)], "t string")
@@ -150,9 +169,65 @@ def test_relabelled_rows_stand_in_the_order_of_the_log(spark):
     log, out = scratch_path(spark, "log"), scratch_path(spark, "post")
     files.write_log(small, log, SETTINGS)
     files.write_relabelled_log(spark, small, log, out, SETTINGS)
-    text = numbered(read_event_log_text(spark, out)).orderBy("file_order").select("`ocel:eid`")
-    places = [int(r[0][1:]) for r in text.collect()]
-    assert places == sorted(places)
+    text, total = with_position(read_event_log_text(spark, out))
+    found = text.orderBy("position").select("position", "`ocel:eid`").collect()
+    places = [int(r[1][1:]) for r in found]
+    assert places == sorted(places) and [r[0] for r in found] == list(range(total))
+
+
+def test_relabelled_rows_go_to_their_place_without_a_sample(spark):
+    small = stage(spark, SMALL)
+    log = scratch_path(spark, "log")
+    files.write_log(small, log, SETTINGS)
+    df = files.relabel_text_log(read_event_log_text(spark, log), inventory.parameters(small, SETTINGS))
+    assert "rangepartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_positions_over_many_blocks(spark, tmp_path):
+    lines = [f"e{i},a,2024-01-01,{'x' * (i % 50)}" for i in range(3000)]
+    header = f"{ocel.EID},{ocel.ACTIVITY},{ocel.TIMESTAMP},note"
+    for n, part in enumerate((lines[:100], [], lines[100:2500], lines[2500:])):
+        (tmp_path / f"part-{n}.csv").write_text("\n".join([header, *part]) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        rows, total = with_position(read_event_log_text(spark, str(tmp_path)))
+        found = {r.position: r[0] for r in rows.select(f"`{ocel.EID}`", "position").collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert total == 3000 and found == {i: f"e{i}" for i in range(3000)}
+
+
+WIDE = f"{ocel.EID},Weight,{ocel.object_column('MAT')},{ocel.ACTIVITY},{ocel.object_column('PLA')},{ocel.object_column('Lot')},{ocel.TIMESTAMP},{ocel.BEFORE},{ocel.AFTER},activity,stock_before"
+
+
+def test_a_log_keeps_all_its_columns(spark, tables, tmp_path):
+    """Other object types, other attributes, also with names that relabelling uses itself."""
+    first = "e1,2.50,['MAT-1'],Goods Issue,['It\\'s\\\\a'],\"['L1', None, 'None']\",1996-04-02,5,4,own,7"
+    second = "e2,,['MAT-9'],Count,,,1996-04-03,,,,"
+    path = csv_file(tmp_path, WIDE, first, second)
+    out = scratch_path(spark, "post")
+    files.write_relabelled_log(spark, tables, path, out, SETTINGS)
+    log = read_event_log(spark, out, {"Weight": "double"})
+    assert ",".join(log.columns) == WIDE
+    one, two = sorted(log.collect(), key=lambda r: r[ocel.EID])
+    assert one["Weight"] == 2.5 and one[ocel.object_column("Lot")] == ["L1", None, "None"]
+    assert one[ocel.ACTIVITY].startswith("Goods Issue (") and (one["activity"], one["stock_before"]) == ("own", "7")
+    assert tuple(two) == ("e2", None, ["MAT-9"], "Count", None, None, dt.date(1996, 4, 3), None, None, None, None)
+
+    xml = scratch_path(spark, "xml")
+    write_ocel_xml(log, xml)
+    events = read_ocel_events(spark, xml)
+    assert dict(events.dtypes)["Weight"] == "double" and rows(events) == rows(ocel.ocel_events(log))
+    assert ("L1", "Lot") in rows(read_ocel_objects(spark, xml))
+    assert {r.name for r in ocel.ocel_summary(log).where("section = 'objects'").collect()} == {"MAT", "PLA", "Lot", "total"}
+
+
+def test_a_log_without_objects_or_attributes(spark, tmp_path):
+    log = read_event_log(spark, csv_file(tmp_path, f"{ocel.TIMESTAMP},{ocel.EID},{ocel.ACTIVITY}", "1996-04-02,e1,a"))
+    assert rows(ocel.ocel_relations(log)) == [] and rows(ocel.ocel_events(log)) == [("e1", "a", dt.date(1996, 4, 2))]
+    xml = scratch_path(spark, "xml")
+    write_ocel_xml(log, xml)
+    assert rows(read_ocel_events(spark, xml)) == [("e1", "a", dt.date(1996, 4, 2))]
 
 
 def test_log_survives_xml(spark, tables):
@@ -171,6 +246,31 @@ def test_log_survives_xml(spark, tables):
     assert types == {"MAT", "PLA", "PO_ITEM", "SO_ITEM", "CUSTOMER", "SUPPLIER", "MAT_PLA"}
 
 
+def test_tables_of_plain_files_lose_nothing(spark, tables):
+    """Movements that do not lie by month, with and without a note that says they do."""
+    path = scratch_path(spark, "tables")
+    for name in tables:
+        tables[name].write.parquet(f"{path}/{name}")
+    as_of = dt.date(1996, 12, 1)
+    wanted = rows(demand.daily_demand(tables, as_of)), rows(demand.lead_times(tables, as_of))
+    assert wanted[0]
+    for _ in range(2):
+        back = read_tables(spark, path)
+        assert (rows(demand.daily_demand(back, as_of)), rows(demand.lead_times(back, as_of))) == wanted
+        assert rows(back["GoodsReceiptsAndIssues"]) == rows(tables["GoodsReceiptsAndIssues"])
+        months = Months("posting_month", "date_of_the_posting_in_the_document")
+        write_text(spark, f"{path}/layout.json", json.dumps({"months": {"GoodsReceiptsAndIssues": asdict(months)}}))
+
+
+def test_tables_by_month_without_their_note(spark, tables):
+    path = scratch_path(spark, "tables")
+    write_tables(tables, path)
+    write_text(spark, f"{path}/layout.json", json.dumps({"months": {}}))
+    back = read_tables(spark, path)
+    as_of = dt.date(1996, 12, 1)
+    assert rows(demand.daily_demand(back, as_of)) == rows(demand.daily_demand(tables, as_of)) != []
+
+
 def test_typed_tables_survive_parquet(spark, tables):
     path = scratch_path(spark, "tables")
     write_tables(tables, path)
