@@ -307,6 +307,18 @@ def _xml_roundtrip(read) -> Callable[[Tables], DataFrame]:
     return run
 
 
+def _xml_of_tables(read) -> Callable[[Tables], DataFrame]:
+    """The XML of the log in one pass over its events, read back."""
+
+    def run(tables: Tables) -> DataFrame:
+        spark = tables["Materials"].sparkSession
+        path = scratch_path(spark, "ocel")
+        files.write_xml(tables, path, SETTINGS)
+        return read(spark, path)
+
+    return run
+
+
 MOVED = ["GoodsReceiptsAndIssues", "PurchaseOrderItems", "PurchaseOrderDocuments"]
 
 
@@ -419,6 +431,10 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "ocel_relations": lambda tables: ocel.ocel_relations(_log(tables)),
     "ocel_objects": lambda tables: ocel.ocel_objects(_log(tables)),
     "ocel_summary": lambda tables: ocel.ocel_summary(_log(tables)),
+    "ocel_objects_of_keys": lambda tables: inventory.log_objects(tables, SETTINGS),
+    "ocel_summary_of_keys": lambda tables: inventory.log_summary(tables, SETTINGS),
+    "ocel_xml_of_tables": _xml_of_tables(read_ocel_events),
+    "ocel_xml_objects_of_tables": _xml_of_tables(read_ocel_objects),
     "post_ocel_events": lambda tables: ocel.ocel_events(_relabelled(tables)),
     "post_ocel_summary": lambda tables: ocel.ocel_summary(_relabelled(tables)),
     "event_log_csv_roundtrip": _csv_roundtrip,

@@ -20,7 +20,6 @@ from stockweave.operators import demand, ocel, quality
 from stockweave.plans import files, inventory
 from stockweave.plans.inventory import JobSettings
 from stockweave.session import build_session, scratch_path, scratch_scope
-from stockweave.sinks.ocel_xml import write_ocel_xml
 from stockweave.sources.staging import stage
 from stockweave.sources.tables import read_tables, write_tables
 
@@ -42,9 +41,9 @@ def jobs(spark, tables) -> dict:
         "lead_times": lambda: consume(demand.lead_times(tables, SETTINGS.as_of)),
         "relabelled_event_log": lambda: consume(inventory.relabelled_event_log(tables, SETTINGS)),
         "ocel_relations": lambda: consume(ocel.ocel_relations(log())),
-        "ocel_objects": lambda: consume(ocel.ocel_objects(log())),
-        "ocel_summary": lambda: consume(ocel.ocel_summary(log())),
-        "ocel_xml": lambda: write_ocel_xml(log(), scratch_path(spark, "xml")),
+        "ocel_objects": lambda: consume(inventory.log_objects(tables, SETTINGS)),
+        "ocel_summary": lambda: consume(inventory.log_summary(tables, SETTINGS)),
+        "ocel_xml": lambda: files.write_xml(tables, scratch_path(spark, "xml"), SETTINGS),
         "dq_primary_keys": lambda: consume(quality.primary_key_report(tables)),
         "dq_foreign_keys": lambda: consume(quality.foreign_key_report(tables)),
     }

@@ -28,10 +28,14 @@ def pair_id(material: Column, plant: Column) -> Column:
     return F.concat(material_id(material), F.lit("_"), plant)
 
 
+def object_id(object_type: Column, name: Column) -> Column:
+    """The id of an object in the log."""
+    return F.when(object_type.isin(*UNPREFIXED), name).otherwise(F.concat(object_type, F.lit("--"), name))
+
+
 def object_cell(object_type: str, name: Column, known: Column) -> Column:
     """One-element array with the object id where ``known`` is present, else NULL."""
-    oid = name if object_type in UNPREFIXED else F.concat(F.lit(f"{object_type}--"), name)
-    return F.when(known.isNotNull(), F.array(oid))
+    return F.when(known.isNotNull(), F.array(object_id(F.lit(object_type), name)))
 
 
 # What a backslash stands before in a cell, and what follows it there.

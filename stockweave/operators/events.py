@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockweave.operators.joins import spread_left_join
 from stockweave.sources.tables import Tables
 
 # Movement types, activity names, and the branch order that breaks same-day ties.
@@ -110,13 +111,21 @@ def purchase_orders(tables: Tables) -> DataFrame:
     )
 
 
-def goods_receipts(tables: Tables) -> DataFrame:
-    """Receipts keep their row when the purchase document is unknown; the supplier is then NULL."""
+def receipts(tables: Tables) -> DataFrame:
+    return _movements(tables, RECEIPT)
+
+
+def goods_receipts(tables: Tables, hot_documents: DataFrame | None = None) -> DataFrame:
+    """Receipts keep their row when the purchase document is unknown; the supplier is then NULL.
+
+    Receipts of ``hot_documents``, and those without a document, are spread over tasks.
+    """
     vendors = tables["PurchaseOrderDocuments"].select(
         "purchase_document_number", "account_number_of_vendor"
     )
+    spread = ["material_number", "document_number", "line_item_in_purchase_document", "quantity"]
     return _events(
-        _movements(tables, RECEIPT).join(vendors, "purchase_document_number", "left"),
+        spread_left_join(receipts(tables), vendors, "purchase_document_number", spread, hot_documents),
         RECEIPT_BRANCH,
         date="date_of_the_posting_in_the_document",
         doc_key="purchase_document_number",
@@ -153,12 +162,16 @@ def goods_issues(tables: Tables) -> DataFrame:
     )
 
 
-BRANCHES = (purchase_suggestions, purchase_orders, goods_receipts, sales_orders, goods_issues)
-
-
-def all_events(tables: Tables) -> DataFrame:
+def all_events(tables: Tables, hot_documents: DataFrame | None = None) -> DataFrame:
     """UNION ALL of the five branches."""
-    return reduce(DataFrame.unionByName, [branch(tables) for branch in BRANCHES])
+    branches = [
+        purchase_suggestions(tables),
+        purchase_orders(tables),
+        goods_receipts(tables, hot_documents),
+        sales_orders(tables),
+        goods_issues(tables),
+    ]
+    return reduce(DataFrame.unionByName, branches)
 
 
 def material_keys(tables: Tables) -> DataFrame:

@@ -98,19 +98,17 @@ def ocel_summary(log: DataFrame) -> DataFrame:
     per_name = counted.groupBy("section", "name").agg(
         F.sum(F.when(F.col("section") == "events", F.col("n")).otherwise(F.lit(1))).alias("value"),
     )
+    return with_totals(per_name)
+
+
+def with_totals(per_name: DataFrame) -> DataFrame:
+    """Adds the totals of events and objects and the numbers of activities and object types."""
     # One row per activity and per object type from here on.
+    section, names = F.col("section"), F.when(F.col("section") == "events", "activities").otherwise("object types")
     lines = F.array(
-        F.struct(F.col("section"), F.col("name"), F.col("value")),
-        F.struct(F.col("section"), F.lit("total").alias("name"), F.col("value")),
-        F.struct(
-            F.when(F.col("section") == "events", "activities").otherwise("object types").alias("section"),
-            F.lit("total").alias("name"),
-            F.lit(1).cast("bigint").alias("value"),
-        ),
-    )
-    return (
-        per_name.select(F.explode(lines).alias("x"))
-        .select("x.*")
-        .groupBy("section", "name")
-        .agg(F.sum("value").alias("value"))
+        F.struct(section, F.col("name"), F.col("value")),
+        F.struct(section, F.lit("total").alias("name"), F.col("value")),
+        F.struct(names.alias("section"), F.lit("total").alias("name"), F.lit(1).cast("bigint").alias("value")),
     )
+    spread = per_name.select(F.explode(lines).alias("x")).select("x.*")
+    return spread.groupBy("section", "name").agg(F.sum("value").alias("value"))

@@ -46,11 +46,13 @@ def find_hot_keys(keys: DataFrame, policy: SkewPolicy = SkewPolicy()) -> DataFra
 def hot_keys(counts: DataFrame, policy: SkewPolicy, fraction: float = 1.0) -> DataFrame | None:
     """Same from (key, n) counts taken over ``fraction`` of the rows; None if there are none.
 
-    The keys stay a table, so their number is not limited. Runs a job.
+    The keys stay a table, so their number is not limited. Runs a job, and another one to store them if there are any.
     """
     key, n = counts.columns
-    hot = materialise(counts.where(F.col(n) > F.lit(fraction * policy.max_group_rows)).select(key), "hot-keys")
-    return None if hot.isEmpty() else hot
+    limit = fraction * policy.max_group_rows
+    if (counts.agg(F.max(n)).first()[0] or 0) <= limit:
+        return None
+    return materialise(counts.where(F.col(n) > F.lit(limit)).select(key), "hot-keys")
 
 
 def split_hot(df: DataFrame, key: str, hot: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:

@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockweave.functions.objects import OBJECT_TYPES, material_id, object_cell, pair_id
-from stockweave.operators import demand
+from stockweave.operators import demand, object_index
 from stockweave.operators.demand import ReplenishmentPolicy
-from stockweave.operators.events import all_events, describe, material_keys
+from stockweave.operators.events import all_events, describe, material_keys, receipts
 from stockweave.operators.ocel import ACTIVITY, AFTER, BEFORE, EID, LOG_ORDER, TIMESTAMP, object_column
 from stockweave.operators.relabel import relabel
 from stockweave.operators.running import SkewPolicy, find_hot_keys
@@ -57,19 +57,32 @@ def hot_materials(tables: Tables, skew: SkewPolicy = SkewPolicy()) -> DataFrame
     return find_hot_keys(material_keys(tables), skew)
 
 
+def hot_documents(tables: Tables, skew: SkewPolicy = SkewPolicy()) -> DataFrame | None:
+    """Purchase documents with too many receipts for one task; none is looked for where there are too few rows."""
+    if tables["GoodsReceiptsAndIssues"].count() <= skew.max_group_rows:
+        return None
+    return find_hot_keys(receipts(tables).select("purchase_document_number"), skew)
+
+
+def stored_events(tables: Tables, settings: JobSettings = JobSettings()) -> DataFrame:
+    """All narrow events, joined together once and stored. Runs jobs at once."""
+    return materialise(all_events(tables, hot_documents(tables, settings.skew)), "events")
+
+
 def adjusted(
     tables: Tables,
     settings: JobSettings = JobSettings(),
     parameters: DataFrame | None = None,
     ordered: bool = False,
+    events: DataFrame | None = None,
 ) -> DataFrame:
     """Narrow events with position, adjusted stock and, where given, the parameters of their pair.
 
-    ``ordered`` sorts by material and event order. The events are joined together once and
-    stored, as counting and running sums both read them; so this runs jobs at once, before any
+    ``ordered`` sorts by material and event order. Unless given as ``events``, the events are
+    stored first, as counting and running sums both read them; so this runs jobs at once, before any
     action on the result.
     """
-    events = materialise(all_events(tables), "events")
+    events = stored_events(tables, settings) if events is None else events
     numbering = number_events(events, settings.skew)
     found = adjusted_events(events, numbering, settings.stock_after, parameters)
     return in_order(found, numbering.total) if ordered else found
@@ -98,9 +111,26 @@ def published(events: DataFrame, more: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def event_log(tables: Tables, settings: JobSettings = JobSettings(), ordered: bool = False) -> DataFrame:
-    """The object-centric event log."""
-    return published(describe(adjusted(tables, settings, ordered=ordered)))
+def event_log(
+    tables: Tables, settings: JobSettings = JobSettings(), ordered: bool = False, events: DataFrame | None = None
+) -> DataFrame:
+    """The object-centric event log. ``events`` may give the stored events."""
+    return published(describe(adjusted(tables, settings, ordered=ordered, events=events)))
+
+
+def log_index(tables: Tables, settings: JobSettings = JobSettings(), events: DataFrame | None = None) -> DataFrame:
+    """Activities and objects of the event log as narrow keys, without building the log."""
+    return object_index.index(stored_events(tables, settings) if events is None else events)
+
+
+def log_objects(tables: Tables, settings: JobSettings = JobSettings()) -> DataFrame:
+    """Distinct (id, type) of the objects of the event log: ``ocel_objects`` of it, from keys."""
+    return object_index.objects(log_index(tables, settings))
+
+
+def log_summary(tables: Tables, settings: JobSettings = JobSettings()) -> DataFrame:
+    """``ocel_summary`` of the event log, from keys."""
+    return object_index.summary(log_index(tables, settings))
 
 
 def parameters(tables: Tables, settings: JobSettings = JobSettings()) -> DataFrame:
