@@ -53,7 +53,7 @@ def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_ngram_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return ngram_lm.score(table(spark, folder, "documents"), order=3, least_count=1, discount=None)
+    return ngram_lm.score(table(spark, folder, "documents"))
 
 
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
@@ -81,4 +81,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_decontamination": decontaminate.ORACLE_SQL}

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
+import duckdb
 import pytest
 
 from stockweave.llm import decontaminate
+from stockweave.llm.common import WordIds
 
 DOCS = "doc_id bigint, text string, extra string, hits string"
 BENCH = "item_id bigint, text string"
@@ -89,6 +92,36 @@ def test_removal_keeps_columns_and_clean_rows(spark, docs):
     assert cleaned[7] == "é short item "
 
 
+def test_sql_gives_the_same(spark, docs):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR); CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", TEXTS)
+    con.executemany("INSERT INTO benchmark VALUES (?, ?)", ITEMS)
+    cursor = con.execute(decontaminate.ORACLE_SQL)
+    found = decontaminate.digest(docs, spark.createDataFrame(ITEMS, BENCH))
+    assert [d[0] for d in cursor.description] == found.columns
+    assert sorted((tuple(r) for r in cursor.fetchall()), key=str) == rows(found)
+
+
+def test_windows_are_small():
+    """Items of many different words: bytes per character of the items, and every window is found."""
+    rng = random.Random(3)
+    items = [(str(i), " ".join(f"{rng.randrange(10**6):x}" for _ in range(rng.choice([5, 400]))).encode()) for i in range(3000)]
+    windows = decontaminate.Windows(items)
+    assert windows.nbytes() < 14 * sum(len(text) for _, text in items)
+    for item, text in items[:200]:
+        n, hits, found = windows.find(b"before " + text.upper() + b" after", WordIds())
+        assert item in found and hits == [1, n - 1]
+
+
+def test_very_long_texts(spark):
+    words = [f"v{i % 5000}" for i in range(300_000)]
+    items = [(1, " ".join(words[100:120])), (2, "never said")]
+    texts = [(1, " ".join(words)), (2, "y" * 1_000_000)]
+    got = rows(decontaminate.digest(spark.createDataFrame(texts, "doc_id bigint, text string"), spark.createDataFrame(items, BENCH)))
+    assert got == plain(texts, items) and got[0][2] == 60 * 20
+
+
 def test_corpus(spark):
     folder = "/root/testdata/sf0.001"
     docs, bench = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "benchmark"))
