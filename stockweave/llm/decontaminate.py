@@ -198,7 +198,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_char
     out = rows.join(together, "_at", "left").drop("_at")
     added = [part.split(" ")[0] for part in _FOUND.split(", ")]
     out = with_computed(out, _FOUND, lambda: _put_together, ["_hits", "_items"])
-    return restored(out, [*(c for c in docs.columns if c not in added), *added])
+    own = [c for c in docs.columns if c not in added]
+    return out.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in own], *added)
 
 
 def judged(scanned: DataFrame, share: int = SHARE) -> DataFrame:
@@ -268,7 +269,7 @@ def _sql_words(table: str) -> str:
 
 # DuckDB SQL for the rows of :func:`digest` over the tables ``documents`` and ``benchmark``.
 ORACLE_SQL = f"""
-    WITH texts AS (SELECT row_number() OVER () AS at, doc_id, {_sql_words("documents")}),
+    WITH texts AS (SELECT row_number() OVER () AS number, doc_id, {_sql_words("documents")}),
     items AS (
         SELECT item, words, least({WINDOW}, len(words)) AS n
         FROM (SELECT CAST(item_id AS VARCHAR) AS item, {_sql_words("benchmark")} WHERE item_id IS NOT NULL)
@@ -277,14 +278,14 @@ ORACLE_SQL = f"""
         SELECT DISTINCT item, n, array_to_string(words[s:s + n - 1], ' ') AS told
         FROM (SELECT *, unnest(range(1, len(words) - n + 2)) AS s FROM items)),
     windows AS (
-        SELECT at, n, s, array_to_string(words[s:s + n - 1], ' ') AS told
-        FROM (SELECT at, words, n, unnest(range(1, len(words) - n + 2)) AS s
+        SELECT number, n, s, array_to_string(words[s:s + n - 1], ' ') AS told
+        FROM (SELECT number, words, n, unnest(range(1, len(words) - n + 2)) AS s
               FROM texts, (SELECT DISTINCT n FROM item_windows))),
-    hits AS (SELECT at, n, s, item FROM windows JOIN item_windows USING (n, told)),
+    hits AS (SELECT number, n, s, item FROM windows JOIN item_windows USING (n, told)),
     covered AS (
-        SELECT at, count(DISTINCT place) AS n_hit FROM (SELECT at, unnest(range(s, s + n)) AS place FROM hits) GROUP BY at),
+        SELECT number, count(DISTINCT place) AS n_hit FROM (SELECT number, unnest(range(s, s + n)) AS place FROM hits) GROUP BY number),
     found AS (
-        SELECT at, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS ids FROM hits GROUP BY at)
+        SELECT number, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS ids FROM hits GROUP BY number)
     SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
            sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND {SHARE} * n_hit >= len(words) AS contaminated
-    FROM texts LEFT JOIN covered USING (at) LEFT JOIN found USING (at)"""
+    FROM texts LEFT JOIN covered USING (number) LEFT JOIN found USING (number)"""
