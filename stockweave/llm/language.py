@@ -22,13 +22,13 @@ learned from; repeated rows are judged one by one; other columns of the document
 from __future__ import annotations
 
 import random
-import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +38,7 @@ from stockweave.session import materialise
 UNKNOWN = "und"
 BUCKETS = 1 << 17
 STRETCH = 64
+CONTEXT = 8  # words on either side of a stretch that its labels see
 PER_LANGUAGE = 96
 SAMPLE = 96 * 128  # documents for training, of all languages
 CELLS = 1 << 24  # weights, of all languages
@@ -45,7 +46,8 @@ EPOCHS = 4
 SWITCHED = 0.25  # share of training stretches that join two languages
 LEXICON_COUNT, LEXICON_SHARE = 3, 0.8
 SLOTS = 20  # feature places kept per word
-_WORD = re.compile(r"[^\W\d_]+")
+# Letters with the marks that follow them; other numbers and signs are no letters.
+_WORD = regex.compile(r"(?:\p{L}\p{M}*+)++")
 
 
 def words_of(text: str | None) -> list[str]:
@@ -278,26 +280,36 @@ class Labeler:
         most, group, stretches = self.stretches_at_once, [], 0
         for i, ids in enumerate(of_text):
             for at in range(0, len(ids), most * STRETCH):
-                part = ids[at : at + most * STRETCH]
-                own = -(-len(part) // STRETCH)
+                end = min(len(ids), at + most * STRETCH)
+                own = -(-(end - at) // STRETCH)
                 if stretches + own > most:
                     yield from self._labelled(group)
                     group, stretches = [], 0
-                group.append((i, part))
+                group.append((i, ids, at, end))
                 stretches += own
         yield from self._labelled(group)
 
-    def _labelled(self, group: list[tuple[int, list[int]]]) -> Iterator[tuple[int, np.ndarray]]:
+    def _labelled(self, group: list[tuple[int, list[int], int, int]]) -> Iterator[tuple[int, np.ndarray]]:
+        """Label probabilities of the places from ``at`` to ``end`` of each text.
+
+        A chain has ``CONTEXT`` more words on either side of its stretch, so that labels see their neighbours.
+        """
         if not group:
             return
-        counts = np.array([len(ids) for _, ids in group])
-        lengths = np.full((-(-counts // STRETCH)).sum(), STRETCH)
-        lengths[np.cumsum(-(-counts // STRETCH)) - 1] = (counts - 1) % STRETCH + 1
-        inside = np.arange(STRETCH)[None, :] < lengths[:, None]
-        padded = np.zeros(inside.shape, np.int64)
-        padded[inside] = np.concatenate([np.array(ids, np.int64) for _, ids in group])
-        chances = marginals(self.scores[padded].astype(float), lengths, self.model.moves)[inside]
-        for (i, _), own in zip(group, np.split(chances, np.cumsum(counts)[:-1]), strict=True):
+        chains, bounds = [], []
+        for _, ids, at, end in group:
+            for start in range(at, end, STRETCH):
+                stop, low = min(start + STRETCH, end), max(0, start - CONTEXT)
+                chains.append(ids[low : stop + CONTEXT])
+                bounds.append((start - low, stop - low))
+        lengths = np.array([len(chain) for chain in chains])
+        places = np.arange(lengths.max())[None, :]
+        padded = np.zeros((len(chains), lengths.max()), np.int64)
+        padded[places < lengths[:, None]] = np.concatenate([np.array(chain, np.int64) for chain in chains])
+        low, high = np.array(bounds).T[:, :, None]
+        chances = marginals(self.scores[padded].astype(float), lengths, self.model.moves)[(places >= low) & (places < high)]
+        ends = np.cumsum([end - at for _, _, at, end in group])[:-1]
+        for (i, *_), own in zip(group, np.split(chances, ends), strict=True):
             yield i, own
 
     def word_chances(self, texts: list[str | None]) -> list[np.ndarray]:

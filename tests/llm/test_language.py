@@ -129,3 +129,21 @@ def test_weights_and_parts_are_bounded(trained):
     parts.stretches_at_once = 2
     for a, b in zip(whole.languages(texts), parts.languages(texts), strict=True):
         assert a[0] == b[0] and np.isclose(a[1], b[1]) and a[2] == b[2]
+
+
+def test_only_letters_are_words(trained):
+    assert language.words_of("² 12 ½ ⅷ _ ①") == [] and language.words_of("x²y naïve Ünï_cödé") == ["x", "y", "naïve", "ünï", "cödé"]
+    assert language.words_of("été") == ["été"]
+    assert language.Labeler(trained[1]).languages(["² 12", None, "½"]) == [("und", 0.0, 0)] * 3
+
+
+def test_labels_at_a_cut_see_their_neighbours(spark, trained):
+    """Stretches with words around them give the labels of one chain over the whole text."""
+    docs, model = trained
+    texts = [r.text for r in docs.where("n_chars > 3000").limit(20).collect()]
+    text = " ".join(texts)
+    words = language.words_of(text)
+    whole = language.marginals(model.scores(words)[None], np.array([len(words)]), model.moves)[0]
+    got = language.Labeler(model).word_chances([text])[0]
+    assert len(words) > 10 * language.STRETCH and np.abs(whole - got).max() < 0.01
+    assert np.array_equal(whole.argmax(axis=1), got.argmax(axis=1))
