@@ -54,7 +54,8 @@ class Encoder:
 
     def __init__(self, path: str, most: int = 200_000):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # In a text these are one id each, whatever is around them; such texts are encoded whole.
+        self.literals = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.most = most
         self.known: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
@@ -77,11 +78,14 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         words: set[str] = set()
-        found = [self._runs(text, words) for text in texts]
-        missing = set().union(*found) - self.known.keys()
+        found = [None if any(x in text for x in self.literals) else self._runs(text, words) for text in texts]
+        missing = set().union(*(runs for runs in found if runs)) - self.known.keys()
         new = self._learn(missing - words) | {w: self._ids(w).tobytes() for w in missing & words}
         self.known |= new
-        encoded = [b"".join(map(self.known.__getitem__, runs)) for runs in found]
+        encoded = [
+            self._ids(text).tobytes() if runs is None else b"".join(map(self.known.__getitem__, runs))
+            for text, runs in zip(texts, found, strict=True)
+        ]
         if len(self.known) > self.most:
             for run in new:
                 del self.known[run]

@@ -21,12 +21,11 @@ DOCS = "doc_id bigint, text string, piece string"
 @pytest.fixture(scope="module")
 def plain():
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
 TEXTS = ["", " \n", "it's don't 'LL x s", "é ́x a​b", "THE&&& the... 12,5 “quoted” …!", "f\x1cg\x85h",
-         "<|endoftext|> a<|startoftext|>b", "İǅ ΣΑΣ.", "你好 \U0001f600 x² × ÷", "café. Straße!!"]
+         "<|endoftext|> a<|startoftext|>b", "x<|startoftext|>", "<|STARTOFTEXT|><|endoftext", "<|endoftext|>", "İǅ ΣΑΣ.", "你好 \U0001f600 x² × ÷", "café. Straße!!"]
 
 
 def test_encoder(plain):
@@ -36,16 +35,19 @@ def test_encoder(plain):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.text(max_size=40), max_size=4))
+@given(st.lists(st.lists(st.one_of(st.text(max_size=20), st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|"])), max_size=4).map("".join), max_size=4))
 def test_encoder_on_any_text(texts):
     texts = [t.encode("utf-8", "replace").decode() for t in texts]
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     got = packing.Encoder(PATH).encode(texts)
     want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
     assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == want
 
 
+def test_literals_of_added_tokens_are_one_id(plain):
+    assert plain("a <|endoftext|> b") == [320, 49407, 321] and plain("x<|startoftext|>") == [343, 49406]
+
+
 @given(st.lists(st.integers(1, 20), max_size=200), st.integers(1, 8))
 def test_best_fit(lengths, open_bins):
     placed = packing.best_fit(lengths, 20, open_bins)

@@ -81,7 +81,6 @@ def test_personal_data(stages):
 def test_packing(stages):
     before, after = stages["sequence_packing"]
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
     pieces = {(r.doc_id, r.piece): r for r in after}
     for r in before:
         own = [*tokenizer.encode(r.text, add_special_tokens=False).ids, 1]
