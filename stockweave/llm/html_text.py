@@ -1,12 +1,12 @@
-"""Main text of web pages: parser events, text-to-tag ratios, Gaussian smoothing, regions.
+"""Main text of web pages: parser events, text-to-tag ratios, Gaussian smoothing, clustering.
 
 The standard library's parser streams a page's events. Block elements cut it into lines. A line's
-ratio is its characters outside links by its tags; ratios are smoothed over neighbouring lines
-with a Gaussian. Lines inside menus, headers, footers, forms, adverts and the like, known by
-element, role, class or id, have ratio 0 and end a region. A region is a run of the other lines;
-it is content if its highest smoothed ratio passes the threshold: the standard deviation of the
-smoothed ratios, or any text outside links at all where the page marks its article and the region
-lies inside. All lines of a content region are kept.
+ratio is its characters outside links by its tags; where the page marks its article, it is the share of
+these characters in its text and tags, and 0 outside of the mark. Lines inside menus, headers, footers, forms,
+adverts and the like, known by element, role, class or id, are left out and count 0. Ratios are
+smoothed over neighbouring lines with a Gaussian, and two clusters of the smoothed ratios give the
+threshold. A run of lines above a share of it is content if one of them passes it; a line without
+text outside links, as in a list of links, has to pass it by itself.
 
 Defined results: a NULL or empty page, or one without text, gives an empty text; broken markup is
 read as far as it goes; end tags that HTML lets pages leave out are implied by what follows, other
@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from stockweave.llm.common import with_computed
 
 SIGMA = 1.0
+SHARE = 0.25  # of the threshold, for lines next to those that pass it
+TAG_CHARS = 0.1  # what a tag counts beside text in a marked article
 # HTML elements by their part in a page.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = set(
@@ -193,9 +195,16 @@ def lines_of(html: str) -> list[tuple[str, int, int, int]]:
     return parser.lines
 
 
-def ratios(lines: list[tuple[str, int, int, int]]) -> np.ndarray:
-    """Characters outside links by tags, 0 for lines apart."""
-    return np.array([max(0, len(t) - links) / max(1, tags) if place >= 0 else 0.0 for t, tags, links, place in lines])
+def ratios(lines: list[tuple[str, int, int, int]], marked: bool = False) -> np.ndarray:
+    """Characters outside links by tags; for a ``marked`` page their share in text and tags of the article's lines."""
+    values = []
+    for text, tags, links, place in lines:
+        plain = max(0, len(text) - links)
+        if place < 0 or marked and not place:
+            values.append(0.0)
+        else:
+            values.append(plain / (len(text) + TAG_CHARS * tags) if marked else plain / max(1, tags))
+    return np.array(values)
 
 
 def smoothed(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -204,21 +213,35 @@ def smoothed(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(values, kernel / kernel.sum())[radius : radius + len(values)]
 
 
+def threshold(values: np.ndarray) -> float:
+    """Half way between the centres of two clusters of the values and 0, the ratio of no text."""
+    values = np.append(values, 0.0)
+    low, high = values.min(), values.max()
+    while True:
+        upper = values > (low + high) / 2
+        centres = values[~upper].mean(), values[upper].mean() if upper.any() else high
+        if centres == (low, high):
+            return (low + high) / 2
+        low, high = centres
+
+
 def content(lines: list[tuple[str, int, int, int]]) -> list[str]:
-    """Texts of the lines in content regions."""
-    if not lines:
+    """Texts of the lines that are content."""
+    marked = any(place == 1 and len(text) > links for text, _, links, place in lines)
+    own = ratios(lines, marked)
+    if not own.any():
         return []
-    own = ratios(lines)
     even = smoothed(own)
-    marked = any(place == 1 and r > 0 for (*_, place), r in zip(lines, own, strict=True))
-    threshold = 0.0 if marked else float(even.std())
+    inside = np.array([place == int(marked) for *_, place in lines])
+    least = threshold(even[inside])
+    high = inside & (even >= least)
+    wanted = high | inside & (own > 0) & (even >= SHARE * least)
     kept: list[str] = []
     start = 0
     for i in range(1, len(lines) + 1):
-        if i < len(lines) and lines[i][3] == lines[start][3]:
+        if i < len(lines) and wanted[i] == wanted[start]:
             continue
-        peak = even[start:i].max() if own[start:i].any() else 0.0
-        if lines[start][3] == int(marked) and peak > 0 and peak >= threshold:
+        if wanted[start] and high[start:i].any():
             kept += [text for text, *_ in lines[start:i]]
         start = i
     return kept

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import random
 import re
 
 import numpy as np
@@ -85,3 +86,66 @@ IMPLIED = [
 @pytest.mark.parametrize(("page", "text"), IMPLIED)
 def test_end_tags_left_out(page, text):
     assert main_text(page) == text
+
+
+def paragraph(rng, words):
+    return " ".join("".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(words)).capitalize() + "."
+
+
+def unmarked_page(rng):
+    """A page that names none of its parts: bars of links, teasers and lines of small print around its text."""
+
+    def links(n):
+        return "".join(f"<p><a href=/{i}>{paragraph(rng, rng.randint(1, 6))}</a></p>" for i in range(n))
+
+    def teaser():
+        return f"<div>{links(3)}<div><p>{paragraph(rng, rng.randint(14, 22))}</p></div>{links(3)}</div>"
+
+    blocks = [paragraph(rng, rng.randint(35, 90)) for _ in range(rng.randint(5, 12))]
+    for at in sorted(rng.sample(range(1, len(blocks)), 2)):
+        blocks[at] = paragraph(rng, rng.randint(6, 12))
+    body = "".join(f"<p>{block}</p>" for block in blocks)
+    small = "".join(f"<p>{paragraph(rng, 3)}</p>" for _ in range(3))
+    page = f"<html><body><div>{links(6)}</div>{teaser()}<div>{body}</div><div>{links(4)}</div>{teaser()}<div>{small}</div></body></html>"
+    return page, "\n\n".join(blocks)
+
+
+def marked_page(rng):
+    """An article with paragraphs that are one link, and a list of links that names itself nowhere."""
+    blocks, body = [], ""
+    for _ in range(rng.randint(4, 9)):
+        for wrapped in (False, rng.random() < 0.3, False):
+            blocks.append(paragraph(rng, rng.randint(8, 60)))
+            body += f"<p><a href=x>{blocks[-1]}</a></p>" if wrapped else f"<p>{blocks[-1]}</p>"
+    more = "".join(f"<li><a href=/{i}>{paragraph(rng, rng.randint(3, 9))}</a></li>" for i in range(rng.randint(5, 9)))
+    at = body.index("</p>", len(body) // 2) + 4
+    if rng.random() < 0.5:
+        return f"<article>{body[:at]}<ul>{more}</ul>{body[at:]}</article>", "\n\n".join(blocks)
+    return f"<article>{body}<ul>{more}</ul></article>", "\n\n".join(blocks)
+
+
+def share_right(make, n=60):
+    rng = random.Random(6)
+    pages = [make(rng) for _ in range(n)]
+    return np.mean([main_text(page) == text for page, text in pages])
+
+
+@pytest.mark.parametrize("make", [unmarked_page, marked_page])
+def test_ratios_decide(make):
+    assert share_right(make) > 0.85
+
+
+@pytest.mark.parametrize("make", [unmarked_page, marked_page])
+def test_smoothing_and_threshold_are_needed(make, monkeypatch):
+    """Without either of them most texts of these pages are wrong."""
+    with monkeypatch.context() as patch:
+        patch.setattr(html_text, "smoothed", lambda values: values)
+        assert share_right(make) < 0.5
+    with monkeypatch.context() as patch:
+        patch.setattr(html_text, "threshold", lambda values: 0.0)
+        assert share_right(make) < 0.5
+
+
+def test_threshold_parts_two_clusters():
+    assert html_text.threshold(np.array([1.0, 2.0, 100.0, 110.0])) == (1 + 105) / 2
+    assert html_text.threshold(np.array([4.0])) == 2 and html_text.threshold(np.zeros(3)) == 0
