@@ -22,6 +22,7 @@ other than id and text do not matter.
 from __future__ import annotations
 
 import hashlib
+import string
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -46,6 +47,8 @@ HALVES = 8
 ROWS = 2
 PERCENT = 80
 FILTER_BITS = 1 << 22
+# White space between words, as a class of a pattern.
+_SPACE = r"\x20\x09-\x0D"
 PARITY_WORDS = 8  # 64-bit words of a set's parity bits
 
 
@@ -285,11 +288,16 @@ def duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The document of each component with the smallest id, once, in the columns of ``docs``.
 
-    Rows without an id all stay.
+    Rows without an id all stay. Rows that share the id kept but differ in their words all stay, once
+    each, as an id alone does not make them copies; of rows equal in their words the one with the least hash of
+    all columns stays.
     """
     kept = duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    rows = set_aside(docs, "doc_id")
-    same_id = Window.partitionBy("doc_id").orderBy("doc_id")
-    numbered = rows.join(kept, "doc_id", "left_semi").withColumn("copy", F.row_number().over(same_id))
-    once = numbered.where("copy = 1").select("row", "doc_id")
-    return restored(once.union(rows.where("doc_id IS NULL")), docs.columns)
+    lower = F.translate(whole_text(), string.ascii_uppercase, string.ascii_lowercase)
+    words = F.btrim(F.regexp_replace(lower, f"[{_SPACE}]+", " "))
+    rows = set_aside(docs, "doc_id", "text").withColumn("_words", F.md5(words))
+    same = Window.partitionBy("doc_id", "_words").orderBy(F.xxhash64("row", "text"))
+    numbered = rows.join(kept, "doc_id", "left_semi").withColumn("copy", F.row_number().over(same))
+    own = ["row", "doc_id", "text"]
+    once = numbered.where("copy = 1").select(*own)
+    return restored(once.union(rows.where("doc_id IS NULL").select(*own)), docs.columns)

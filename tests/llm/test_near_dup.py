@@ -134,3 +134,16 @@ def test_defined_cases(spark):
     assert kept.columns == docs.columns
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 6, 7]
     assert near_dup.duplicates(docs.limit(0)).count() == 0
+
+
+def test_other_texts_under_a_kept_id_stay(spark):
+    a, z = "one two three four five six seven eight", "nothing of the kind is said here at all today"
+    rows = [(1, a, "x"), (1, z, "y"), (2, f"{a} nine", "z"), (1, a.upper().replace(" ", "  "), "w"), (1, None, "v"), (1, " ", "u")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _words string")
+    kept = near_dup.keep_one(docs)
+    assert kept.columns == docs.columns
+    found = [(r.doc_id, r.text if r.text and r.text.strip() else "") for r in kept.collect()]
+    assert len(found) == 3 and {text.lower().replace("  ", " ") for _, text in found} == {a, z, ""}
+    assert {i for i, _ in found} == {1}
+    again = near_dup.keep_one(spark.createDataFrame(rows[::-1], docs.schema).repartition(3))
+    assert sorted(map(str, again.collect())) == sorted(map(str, kept.collect()))
