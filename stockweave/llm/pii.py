@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockweave.llm.common import restored, set_aside, whole_text
-from stockweave.llm.spans import listed, overlaps, redacted, with_spans
+from stockweave.llm.spans import clear_of, listed, redacted, with_spans
 from stockweave.session import materialise
 
 BASE = ["email", "ip", "card", "phone"]
@@ -171,8 +171,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     found = [all_judged(F.col(f"_{kind}"), i, True) for i, kind in enumerate(BASE)]
     failed = F.filter("card", lambda s: ~_passes("card", s["text"]) & F.length(_digits(s["text"])).between(12, 19))
     for kind, spans in [(2, failed), *[(LOOSE_KIND[name], F.col(name)) for name in LOOSE]]:
-        free = F.filter(spans, lambda s: ~overlaps(s, F.col("_certain")))
-        found.append(all_judged(free, kind, False))
+        found.append(all_judged(clear_of(spans, F.col("_certain")), kind, False))
     rows = rows.withColumn("marks", F.concat(*found))
     return rows.drop(*PATTERNS, *LOOSE, *[f"_{k}" for k in BASE], "_certain")
 

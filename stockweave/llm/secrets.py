@@ -7,7 +7,7 @@ class is a secret, unless the allow list knows it or a pattern has found it alre
 
 Defined results: a NULL or empty text has no spans; repeated rows are scanned one by one; the
 columns of the documents other than id and text do not matter. Patterns and counts use
-DataFrame functions only and are linear in the length of the text.
+DataFrame functions only and are linear in the length of the text, also for one long candidate.
 """
 
 from __future__ import annotations
@@ -16,10 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockweave.llm.common import whole_text
-from stockweave.llm.spans import listed, marked, overlaps, with_spans
+from stockweave.llm.spans import clear_of, let, listed, marked, with_spans
 
 KINDS = ["assign", "access", "hex", "entropy"]
 WINDOW = 20
+BLOCK = 64  # windows walked at a time
 # Bits per character from which a window counts, by class of the whole candidate.
 CLASSES = (("^(?:[0-9a-f]+|[0-9A-F]+)$", 3.0), ("^[A-Za-z0-9]+$", 3.6), ("", 3.8))
 
@@ -48,12 +49,11 @@ def _term(count: Column) -> Column:
     return F.when(count > 1, count * F.log2(count)).otherwise(F.lit(0.0))
 
 
-def window_entropies(text: Column, size: int = WINDOW) -> Column:
-    """Entropy in bits per character of every window of ``size`` characters, by incremental counts.
+def _window_totals(text: Column, size: int) -> Column:
+    """Per window of ``text``, at least one, the sum of c log2 c over the counts c of its characters.
 
-    The entropy is log2(size) - sum(c log2 c) / size over the counts c of the characters. When a
-    window moves by one, only the counts of the character that leaves and of the one that enters
-    change, and so do only two terms of the sum.
+    When a window moves by one, only the counts of the character that leaves and of the one
+    that enters change, and so do only two terms of the sum.
     """
     first = F.substring(text, F.lit(1), F.lit(size))
     total = F.aggregate(
@@ -69,8 +69,24 @@ def window_entropies(text: Column, size: int = WINDOW) -> Column:
         return F.struct(total.alias("total"), F.array_append(state["all"], total).alias("all"))
 
     moves = F.when(F.length(text) > size, F.sequence(F.lit(1), F.length(text) - size)).otherwise(F.array().cast("array<int>"))
-    zero = F.struct(total.alias("total"), F.array(total).alias("all"))
-    totals = F.aggregate(moves, zero, step, lambda state: state["all"])
+    start = let(total, lambda value: F.struct(value.alias("total"), F.array(value).alias("all")))
+    return F.aggregate(moves, start, step, lambda state: state["all"])
+
+
+def window_entropies(text: Column, size: int = WINDOW) -> Column:
+    """Entropy in bits per character of every window of ``size`` characters, by incremental counts.
+
+    It is log2(size) - sum(c log2 c) / size over the counts c of the characters. The text is
+    walked in blocks with the start of the next one, so that a step costs the same anywhere.
+    """
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+    def with_next(found: Column) -> Column:
+        following = F.concat(F.slice(found, F.lit(2), F.size(found)), F.array(F.lit("")))
+        return F.zip_with(found, following, lambda block, after: F.concat(block, F.substring(after, 1, size - 1)))
+
+    parts = F.filter(let(blocks, with_next), lambda part: F.length(part) >= size)
+    totals = F.flatten(F.transform(parts, lambda part: _window_totals(part, size)))
     return F.transform(totals, lambda t: F.log2(F.lit(float(size))) - t / size)
 
 
@@ -83,11 +99,17 @@ def _threshold(text: Column) -> Column:
 
 def _suspicious(span: Column) -> Column:
     """The part of a candidate that dense windows cover, as a span; NULL if there is none."""
-    dense = F.transform(window_entropies(span["text"]), lambda bits: bits >= _threshold(span["text"]))
-    first = F.array_position(dense, True)
-    last = F.size(dense) - F.array_position(F.reverse(dense), True)
-    part = F.struct((span["start"] + first - 1).alias("start"), (span["start"] + last + WINDOW).alias("end"))
-    return F.when(first > 0, part)
+
+    def part(dense: Column) -> Column:
+        first = F.array_position(dense, True)
+        last = F.size(dense) - F.array_position(F.reverse(dense), True)
+        found = F.struct((span["start"] + first - 1).alias("start"), (span["start"] + last + WINDOW).alias("end"))
+        return F.when(first > 0, found)
+
+    def dense(least: Column) -> Column:
+        return F.transform(window_entropies(span["text"]), lambda bits: bits >= least)
+
+    return let(let(_threshold(span["text"]), dense), part)
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -104,7 +126,7 @@ def scan(docs: DataFrame) -> DataFrame:
         return told
 
     rows = rows.withColumn("_known", known).withColumn("candidate", F.filter("candidate", wanted))
-    rows = rows.withColumn("candidate", F.filter("candidate", lambda s: ~overlaps(s, F.col("_known"))))
+    rows = rows.withColumn("candidate", clear_of(F.col("candidate"), F.col("_known")))
     entropy = F.filter(F.transform("candidate", _suspicious), lambda s: s.isNotNull())
     return rows.withColumn("entropy", entropy).drop("candidate", "_known")
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
+import string
+import time
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -60,8 +63,31 @@ def test_corpus(spark):
     check({r.doc_id: r for r in rows.collect()}, {r.doc_id: r.text for r in docs.collect()})
 
 
+def test_long_candidates_take_time_in_proportion(spark):
+    """One run of base64 characters, as data in a page may be, and very many matches in one text."""
+    rng = random.Random(1)
+    letters = string.ascii_letters + string.digits + "+/"
+
+    def seconds(text):
+        docs = spark.createDataFrame([(1, text, "own")], DOCS)
+        start = time.perf_counter()
+        row = secrets.digest(docs).first()
+        return time.perf_counter() - start, row
+
+    def run(n):
+        return "data " + "".join(rng.choices(letters, k=n)) + " end"
+
+    seconds(run(1000))
+    short, long = seconds(run(100_000)), seconds(run(1_000_000))
+    assert short[1].spans == "entropy:5:100005" and long[1].spans == "entropy:5:1000005"
+    assert long[0] < 60 and long[0] < 25 * max(short[0], 1)
+    many = f"{HEX[:24]} " * 40_000
+    taken, row = seconds(many)
+    assert row.n_hex == 40_000 and row.spans.endswith(f":{25 * 40_000 - 25}:{25 * 40_000 - 1}") and taken < 60
+
+
 def test_entropy_by_steps(spark):
-    texts = [B64, HEX, "a" * 30, "ab" * 15, "x" * 19 + "y"]
+    texts = ["".join(random.Random(2).choices(B64, k=700)), "a" * 64 + "b" * 20, "x" * 83, "y" * 84, B64, HEX, "a" * 30, "ab" * 15, "x" * 19 + "y"]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", secrets.window_entropies(F.col("t")).alias("e"))
     for t, found in df.collect():
         for i, bits in enumerate(found):
