@@ -23,6 +23,7 @@ from stockweave.sinks.event_log_csv import write_event_log
 from stockweave.sinks.ocel_xml import write_ocel_xml
 from stockweave.sources.contracts import CONTRACTS, SOFT_REFERENCES
 from stockweave.sources.event_log_csv import read_event_log
+from stockweave.sources.footers import file_columns
 from stockweave.sources.ocel_xml import read_ocel_events, read_ocel_objects, read_ocel_relations
 from stockweave.sources.staging import stage
 from stockweave.sources.tables import Tables, file_schemas, read_tables, write_tables
@@ -350,6 +351,20 @@ def _other_schema(tables: Tables) -> DataFrame:
     return quality.contract_report(file_schemas(spark, path, list(frames)))
 
 
+def _schema_of_each_file(tables: Tables) -> DataFrame:
+    """The report over a folder of which one file differs from the others."""
+    spark = tables["Materials"].sparkSession
+    path = scratch_path(spark, "tables")
+    items = tables["PurchaseOrderItems"]
+    for _ in range(2):
+        items.coalesce(1).write.mode("append").parquet(f"{path}/PurchaseOrderItems")
+    other = items.withColumn("quantity", F.col("quantity").cast("string")).drop("change_date").withColumn("more", F.lit(1))
+    other.coalesce(1).write.mode("append").parquet(f"{path}/PurchaseOrderItems")
+    tables["Materials"].coalesce(1).write.parquet(f"{path}/Materials")
+    names = ("PurchaseOrderItems", "Materials")
+    return quality.file_schema_report({name: file_columns(spark, f"{path}/{name}") for name in names})
+
+
 def _broken(tables: Tables) -> Tables:
     """Tables with repeated and missing keys, and with references to rows that are not there."""
     items = tables["SalesOrderItems"]
@@ -386,6 +401,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "dq_foreign_keys": quality.foreign_key_report,
     "dq_soft_references": quality.soft_reference_report,
     "dq_schema_of_files": _other_schema,
+    "dq_schema_of_each_file": _schema_of_each_file,
     "dq_primary_keys_broken": lambda tables: quality.primary_key_report(_broken(tables)),
     "dq_foreign_keys_broken": lambda tables: quality.foreign_key_report(_broken(tables)),
     "stock_changes": events.stock_changes,

@@ -11,7 +11,7 @@ import duckdb
 
 from stockweave.session import build_session
 
-TABLES = "region nation customer supplier part orders lineitem".split()
+TABLES = "region nation customer supplier part orders lineitem documents benchmark pages labels conversations".split()
 
 
 def connect(folder: str):

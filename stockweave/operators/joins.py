@@ -26,15 +26,17 @@ def spread_left_join(
     most ``MOST_BROADCAST`` rows, as such keys are few by their size. Above that hot keys are left
     to adaptive execution.
     """
-    place = F.pmod(F.xxhash64(*spread), F.lit(copies)).cast("int")
+    own = F.hash(*spread)
+    place = F.pmod(own, F.lit(copies))
     if hot is not None and hot.count() > MOST_BROADCAST:
         hot = None
     if hot is None:
-        salt = F.when(F.col(key).isNull(), place).otherwise(F.lit(0))
-        salted, matches = left.withColumn("_salt", salt), right.withColumn("_salt", F.lit(0))
+        salt = F.when(F.col(key).isNull(), own).otherwise(F.lit(0))
+        # Always 0, but no constant: the optimizer would take a constant out of the keys of the join.
+        salted, matches = left.withColumn("_salt", salt), right.withColumn("_salt", F.pmod(F.hash(key), F.lit(1)))
     else:
         marked = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
-        salt = F.when(F.col(key).isNull() | F.col("_hot"), place).otherwise(F.lit(0))
+        salt = F.when(F.col(key).isNull(), own).when(F.col("_hot"), place).otherwise(F.lit(0))
         salted = left.join(marked, key, "left").withColumn("_salt", salt).drop("_hot")
         all_copies = F.sequence(F.lit(0), F.when(F.col("_hot"), copies - 1).otherwise(F.lit(0)))
         matches = right.join(marked, key, "left").withColumn("_salt", F.explode(all_copies)).drop("_hot")

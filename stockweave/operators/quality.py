@@ -7,7 +7,7 @@ repeats many times costs one row.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -48,6 +48,35 @@ def contract_report(frames: Mapping[str, DataFrame]) -> DataFrame:
     return _union([report(table, df) for table, df in frames.items()])
 
 
+def file_schema_report(columns: Mapping[str, DataFrame]) -> DataFrame:
+    """Per table, column and type found: in how many files, and whether that is as declared.
+
+    ``columns`` gives per table (path, column_name, actual_type) of its files. Declared columns that
+    files lack have no actual type, columns that are not declared no declared one.
+    """
+
+    def report(table: str, found: DataFrame) -> DataFrame:
+        declared = F.create_map(
+            *[F.lit(x) for f in CONTRACTS[table].schema.fields for x in (f.name, f.dataType.simpleString())]
+        )
+        per_file = found.groupBy("path").agg(F.map_from_entries(F.collect_list(F.struct("column_name", "actual_type"))).alias("own"))
+        names = F.array_union(F.map_keys(declared), F.map_keys("own"))
+        lines = F.transform(names, lambda n: F.struct(n.alias("column_name"), F.try_element_at("own", n).alias("actual_type")))
+        each = per_file.select(F.explode(lines).alias("x")).select("x.*")
+        counted = each.groupBy("column_name", "actual_type").agg(F.count("*").alias("files"))
+        expected = F.try_element_at(declared, F.col("column_name"))
+        return counted.select(
+            F.lit(table).alias("table_name"),
+            "column_name",
+            expected.alias("declared_type"),
+            "actual_type",
+            expected.eqNullSafe(F.col("actual_type")).alias("conforms"),
+            "files",
+        )
+
+    return _union([report(table, found) for table, found in columns.items()])
+
+
 def _total(value: Column, name: str) -> Column:
     return F.coalesce(F.sum(value), F.lit(0)).cast("bigint").alias(name)
 
@@ -82,50 +111,52 @@ def primary_key_report(frames: Mapping[str, DataFrame]) -> DataFrame:
     return _union([report(t, CONTRACTS[t].primary_key) for t in frames if CONTRACTS[t].primary_key])
 
 
-def _reference_report(frames: Mapping[str, DataFrame], child: str, ref: Reference) -> DataFrame:
-    on = list(ref.parent_columns)
-    keys = (
-        frames[child]
-        .select(*[F.col(c).alias(p) for c, p in zip(ref.columns, on)])
-        .dropna()
-        .groupBy(*on)
-        .agg(F.count("*").alias("n"))
-    )
-    parents = frames[ref.parent].select(*on).distinct().withColumn("found", F.lit(True))
-    missing = F.col("found").isNull()
-    return (
-        keys.join(parents, on, "left")
-        .agg(
-            _total(F.col("n"), "referencing_rows"),
-            _total(F.when(missing, 1), "missing_keys"),
-            _total(F.when(missing, F.col("n")), "violations"),
-        )
-        .select(
+def _references_to(frames: Mapping[str, DataFrame], parent: str, key: tuple[str, ...], children: list[tuple[str, Reference]]) -> DataFrame:
+    """The references to one key of ``parent``, all checked in one shuffle by that key.
+
+    Rows carry a tag that tells whether they are the parent's or of which reference, and are
+    counted per key and tag before they are shuffled.
+    """
+
+    def tagged(table: str, columns: tuple[str, ...], tag: int) -> DataFrame:
+        named = [F.col(c).alias(k) for c, k in zip(columns, key, strict=True)]
+        return frames[table].select(*named, F.lit(tag).alias("tag")).dropna(subset=list(key))
+
+    rows = [tagged(parent, key, -1), *(tagged(child, ref.columns, i) for i, (child, ref) in enumerate(children))]
+    counts = [F.count(F.when(F.col("tag") == i, 1)).alias(f"n{i}") for i in range(len(children))]
+    per_key = reduce(DataFrame.unionByName, rows).groupBy(*key).agg(F.max(F.col("tag") == -1).alias("found"), *counts)
+    totals = []
+    for i in range(len(children)):
+        n = F.col(f"n{i}")
+        missing = ~F.col("found") & (n > 0)
+        totals += [_total(n, f"rows{i}"), _total(F.when(missing, 1), f"keys{i}"), _total(F.when(missing, n), f"violations{i}")]
+    lines = [
+        F.struct(
             F.lit(child).alias("table_name"),
             F.lit(", ".join(ref.columns)).alias("key_columns"),
-            F.lit(ref.parent).alias("parent_table"),
-            "*",
+            F.lit(parent).alias("parent_table"),
+            F.col(f"rows{i}").alias("referencing_rows"),
+            F.col(f"keys{i}").alias("missing_keys"),
+            F.col(f"violations{i}").alias("violations"),
         )
-    )
+        for i, (child, ref) in enumerate(children)
+    ]
+    return per_key.agg(*totals).select(F.explode(F.array(*lines)).alias("x")).select("x.*")
+
+
+def _reference_reports(frames: Mapping[str, DataFrame], references: Iterable[tuple[str, Reference]]) -> DataFrame:
+    by_parent: dict[tuple[str, tuple[str, ...]], list[tuple[str, Reference]]] = {}
+    for child, ref in references:
+        if child in frames and ref.parent in frames:
+            by_parent.setdefault((ref.parent, ref.parent_columns), []).append((child, ref))
+    return _union([_references_to(frames, parent, key, children) for (parent, key), children in by_parent.items()])
 
 
 def foreign_key_report(frames: Mapping[str, DataFrame]) -> DataFrame:
     """One row per declared foreign key: rows with a key, keys without a parent, rows affected."""
-    return _union(
-        [
-            _reference_report(frames, table, ref)
-            for table in frames
-            for ref in CONTRACTS[table].foreign_keys
-            if ref.parent in frames
-        ]
-    )
+    return _reference_reports(frames, [(table, ref) for table in frames for ref in CONTRACTS[table].foreign_keys])
 
 
 def soft_reference_report(frames: Mapping[str, DataFrame]) -> DataFrame:
     """Same for the references the joins rely on without a declared key; a warning, not an error."""
-    reports = [
-        _reference_report(frames, child, ref)
-        for child, ref in SOFT_REFERENCES
-        if child in frames and ref.parent in frames
-    ]
-    return _union(reports).withColumn("severity", F.lit("warning"))
+    return _reference_reports(frames, SOFT_REFERENCES).withColumn("severity", F.lit("warning"))

@@ -177,3 +177,19 @@ def test_falling_stock_labels_need_the_running_mode(typed):
 
     assert falling(SETTINGS).count() == 0
     assert falling(JobSettings(as_of=AS_OF, stock_after="running")).count() > 0
+
+
+def test_large_materials_are_shuffled_by_chunk_never_by_pair(spark, typed):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = inventory.stored_events(typed, CHUNKED)
+        numbering = stock.number_events(found, CHUNKED.skew)
+        parameters = inventory.parameters(typed, SETTINGS).withColumnRenamed("material_number", "material")
+        hot = numbering.offsets.join(numbering.hot, "material", "left_semi")
+        text = plan(stock._floored_by_chunks(found, hot, numbering.scale, materialise(parameters)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
+    names = [re.sub(r"#\d+L?|, \d+$", "", e) for e in exchanges]
+    assert names and not [e for e in names if e.startswith("material, plant")]
+    assert {"_chunk, material"} < set(names)

@@ -81,6 +81,12 @@ def test_soft_references(tables):
     }
 
 
+def test_references_to_a_key_share_one_shuffle(tables):
+    text = quality.foreign_key_report(tables)._jdf.queryExecution().executedPlan().toString()
+    parents = {(ref.parent, ref.parent_columns) for c in CONTRACTS.values() for ref in c.foreign_keys}
+    assert text.count("Exchange hashpartitioning") == len(parents) == 3 and "Join" not in text
+
+
 def test_contract_differences_stop_before_reading(spark, tables):
     wrong = (
         tables["Materials"].drop("volume").withColumn("gross_weight", F.lit("heavy")).withColumn("extra", F.lit(1))
