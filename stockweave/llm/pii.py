@@ -4,12 +4,13 @@ Certain forms (email, ip, card, phone with a country code) are found by pattern
 always stand. Looser forms are candidates. Three labelers vote yes, no or not at all on every
 candidate and certain span: the form (checksum, length), a gazetteer (top-level domains, card
 issuers, country codes, first digits), and cue words before the span. Expectation-maximisation
-over the counts of vote patterns estimates how often each labeler is right and how likely each
+over the counts of vote patterns estimates how often each labeler is right about each kind and how likely each
 pattern is personal data; with these as soft labels a log-linear span classifier is trained on
-the votes and the shape of spans. Candidates it gives at least ``CERTAIN`` are added.
+the votes and on what no labeler sees: length, digits and classes of characters of the span, and the words
+before and after it. Candidates it gives at least ``CERTAIN`` are added.
 
-The counts are taken over all documents; their number is bounded by kinds, votes and shapes, not
-by the data, so EM and training run on the driver.
+The counts are taken over all documents; their number is bounded by kinds, votes, shapes and numbers of
+words, not by the data, so EM and training run on the driver.
 
 Defined results: a NULL or empty text has no spans; repeated rows are judged one by one; without
 candidates nothing is added; columns of the documents other than those used do not matter.
@@ -17,9 +18,9 @@ candidates nothing is added; columns of the documents other than those used do n
 
 from __future__ import annotations
 
-import math
 from collections import defaultdict
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +33,13 @@ KINDS = [*BASE, "iban", "ssn", "name"]
 CERTAIN = 0.9
 CUE_CHARS = 24
 ROUNDS = 60
+WORDS = 16  # numbers of neighbouring words
+# Chances of no, none and yes from which the estimate begins, of form, gazetteer and cue: if false, if true.
+BEGIN = (
+    ((0.35, 0.3, 0.35), (0.35, 0.3, 0.35), (0.6, 0.3, 0.1)),
+    ((0.1, 0.3, 0.6), (0.1, 0.3, 0.6), (0.1, 0.3, 0.6)),
+)
+LEAN = 20.0  # candidates that a labeler's chances over all kinds weigh
 
 # Equal to the plain forms. Runs are entered at their start only (or where the last match ended),
 # never repeat a try at each of their characters, and numbers too short for a card are not matched.
@@ -48,17 +56,44 @@ LOOSE = {
     "loose_ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "loose_name": r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Señor|Señora)\.?\x20\p{Lu}\p{Ll}++(?:\x20\p{Lu}\p{Ll}++)?+",
 }
-LOOSE_KIND = {"loose_email": 0, "loose_phone": 3, "loose_iban": 4, "loose_ssn": 5, "loose_name": 6}
-
-# Gazetteers: what a known value of the kind looks like.
+LOOSE["said_email"] = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20at\x20[A-Za-z0-9-]++(?:\x20dot\x20[A-Za-z0-9-]++)++"
+LOOSE["loose_ip"] = r"(?<![0-9.])[0-9]{1,3}(?:(?:\[\.\]|\x20dot\x20|\x20\.\x20)[0-9]{1,3}){3}(?![0-9.])"
+LOOSE_KIND = {
+    "loose_email": 0, "said_email": 0, "loose_ip": 1, "loose_phone": 3, "loose_iban": 4, "loose_ssn": 5, "loose_name": 6,
+}
+
+# Gazetteers, by what they list.
+DOMAINS = (
+    "com org net edu gov mil int info biz io co me app dev ai eu us ca mx br ar cl uk ie fr de at ch it es pt nl be lu dk se no fi "
+    "is pl cz sk hu ro bg gr tr ru ua in cn jp kr tw hk sg my th vn id ph au nz za eg ma ng ke il ae sa"
+).split()
+CALLING_CODES = (
+    "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 "
+    "212 213 216 234 254 351 352 353 354 358 359 370 371 372 380 385 386 420 421 852 886 966 971 972"
+).split()
+IBAN_COUNTRIES = (
+    "AD AE AL AT AZ BA BE BG BH BR CH CR CY CZ DE DK DO EE ES FI FO FR GB GE GI GL GR GT HR HU IE IL IS IT JO KW KZ LB LI LT "
+    "LU LV MC MD ME MK MT MU NL NO PK PL PS PT QA RO RS SA SE SI SK SM TN TR UA VG XK"
+).split()
+FIRST_NAMES = (
+    "Adam Alan Albert Alejandro Alexander Alice Amy Ana Andrea Andreas Andrew Angela Anna Anne Anthony Antonio Barbara Benjamin "
+    "Bernard Brian Camille Carlos Carmen Caroline Catherine Charles Charlotte Christian Christine Christopher Claire Claudia "
+    "Daniel David Deborah Diego Donald Dorothy Edward Elena Elizabeth Emily Emma Eric Eva Felix Fernando Francis Francisco "
+    "Frank Franz Fritz Gabriel George Hannah Hans Heinz Helen Helga Henri Henry Ines Isabel Jack Jacques James Jan Jane Javier "
+    "Jean Jennifer Jessica Joan Johann John Jonas Jorge Jose Joseph Juan Julia Jürgen Karen Karl Katharina Kevin Klaus Laura "
+    "Lea Léa Linda Lisa Louis Lucas Lucía Luis Luise Manuel Margaret Maria María Marie Mark Martin Martina Mary Matthew Max "
+    "Michael Michel Miguel Monika Nancy Nicolas Olivier Oliver Pablo Patricia Paul Pedro Peter Philippe Pierre Rafael Rebecca "
+    "Richard Robert Rosa Sabine Samuel Sandra Sara Sarah Simon Sofía Sophie Stefan Stephen Susan Thomas Ursula Walter William Wolfgang"
+).split()
+# What a known value of each kind looks like.
 GAZETTEER = [
-    r"(?i)[.\x20)\]](?:com|org|net|edu|gov|info|io|co|de|fr|es|it|uk|ch|at|eu)$",
-    r"^(?:10|127|172|192|198|203|8|1)\.",
+    rf"(?i)[.\x20)\]](?:{'|'.join(DOMAINS)})$",
+    r"^(?:10|127|172|192|198|203|8|1)(?![0-9])",
     r"^(?:4|5[1-5]|3[47]|6011|65|2[2-7])",
-    r"^(?:\+?1\b|\+(?:33|34|39|41|43|44|49)|\(?[2-9][0-9]{2})",
-    r"^(?:AT|BE|CH|DE|ES|FR|GB|IE|IT|LU|NL|PL|PT|SE)",
+    rf"^\+(?:{'|'.join(CALLING_CODES)})(?![0-9]{{12}})",
+    rf"^(?:{'|'.join(IBAN_COUNTRIES)})",
     r"^(?!000|666|9)",
-    r"\x20(?:Anna|Maria|Marie|Jean|Pierre|Paul|Peter|John|Mary|James|Jose|Juan|Carlos|Hans|Karl|Thomas|Michael|David)\b",
+    rf"\x20(?:{'|'.join(FIRST_NAMES)})(?!\p{{L}})",
 ]
 CUES = [
     r"(?i)mail|contact|write|kontakt|correo|courriel",
@@ -70,6 +105,12 @@ CUES = [
     r"(?i)dear|name|contact|from|signed|gruß|estimad",
 ]
 
+# Words that tell of numbers and names of things.
+THINGS = (
+    r"(?i)\b(?:parts?|items?|article|catalogu?e|version|release|build|orders?|serial|invoice|ref|reference|model|isbn|page|figure|"
+    r"section|chapter|batch|lot|sku|teil|artikel|ausgabe|seite|pi[eè]ce|num[ée]ro|r[eé]f[eé]rence|p[aá]gina|pedido)\b"
+)
+
 
 def _luhn(digits: Column) -> Column:
     """Every second digit from the right counts twice, less 9 above 9; the sum ends in 0."""
@@ -83,6 +124,18 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(weights, F.lit(0), lambda total, x: total + x) % 10 == 0
 
 
+def _mod_97(iban: Column) -> Column:
+    """The checksum of account numbers: the first four characters go last, letters count from 10 on, the rest is 1."""
+    plain = F.replace(iban, F.lit(" "), F.lit(""))
+    turned = F.concat(F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, F.lit(1), F.lit(4)))
+
+    def step(rest: Column, char: Column) -> Column:
+        letter = F.ascii(char) - 55
+        return F.when(char.rlike("[0-9]"), (rest * 10 + F.ascii(char) - 48) % 97).otherwise((rest * 100 + letter) % 97)
+
+    return F.aggregate(F.split(turned, ""), F.lit(0), step) == 1
+
+
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
@@ -114,37 +167,47 @@ def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, 2).when(no, 0).otherwise(1)
 
 
+def _word_bucket(text: Column, pattern: str) -> Column:
+    """The neighbouring word as one of ``WORDS`` numbers, 0 where there is none."""
+    word = F.lower(F.regexp_extract(text, pattern, 1))
+    return F.when(word == "", 0).otherwise(1 + F.pmod(F.xxhash64(word), F.lit(WORDS - 1))).cast("int")
+
+
 def _judged(span: Column, kind: Column, base: Column, text: Column) -> Column:
-    """start, kind, end, base, votes (form, gazetteer and cue as one number) and shape of a span."""
+    """start, kind, end, base, votes (form, gazetteer and cue as one number), shape and neighbouring words of a span."""
     body = span["text"]
     form = _chosen(
         kind,
         [
-            _vote(base, ~body.rlike(r"(?i)dot")),
+            _vote(base | body.rlike(r"[(\[]at[)\]]"), ~body.rlike(r"(?i)dot")),
+            _vote(base | ~body.rlike(r"(?<![0-9])(?:2(?:5[6-9]|[6-9][0-9])|[3-9][0-9]{2})(?![0-9])"), F.lit(True)),
             _vote(base, ~base),
-            _vote(base, ~base),
-            _vote(F.length(_digits(body)).between(9, 15), F.length(_digits(body)) < 7),
-            _vote(F.length(F.replace(body, F.lit(" "), F.lit(""))).between(15, 34), F.lit(False)),
-            _vote(~body.rlike("-00-|-0000$"), F.lit(True)),
+            _vote(base | body.rlike(r"^\(?[2-9][0-9]{2}\)?[\x20.-]?[2-9]"), F.lit(True)),
+            _vote(_mod_97(body), F.lit(True)),
+            _vote(F.lit(False), body.rlike("-00-|-0000$")),
             _vote(body.rlike(r"\x20\p{Lu}\p{Ll}+\x20\p{Lu}"), F.lit(False)),
         ],
     )
     known = _chosen(kind, [body.rlike(p) for p in GAZETTEER])
     gazetteer = _vote(known, kind.isin(0, 2, 4))
     lead = F.substring(text, F.greatest(F.lit(1), span["start"] - CUE_CHARS + 1), F.least(span["start"], F.lit(CUE_CHARS)))
-    other = F.lit(False)
+    other = lead.rlike(THINGS)
     for pattern in CUES:
         other = other | lead.rlike(pattern)
     cue = _vote(_chosen(kind, [lead.rlike(p) for p in CUES]), other)
     length = F.least(F.floor(F.length(body) / 6), F.lit(4)).cast("int")
     share = F.floor(3 * F.length(_digits(body)) / (F.length(body) + 1)).cast("int")
+    classes = [body.rlike(p).cast("int") for p in (r"\p{Lu}", r"\x20", r"[-()\[\]]")]
+    follow = F.substring(text, span["end"] + 1, F.lit(CUE_CHARS))
     return F.struct(
         span["start"].alias("start"),
         kind.alias("kind"),
         span["end"].alias("end"),
         base.alias("base"),
         (form * 9 + gazetteer * 3 + cue).cast("int").alias("votes"),
-        (length * 3 + share).cast("int").alias("shape"),
+        ((length * 3 + share) * 8 + classes[0] * 4 + classes[1] * 2 + classes[2]).cast("int").alias("shape"),
+        _word_bucket(lead, r"(\p{L}+)\P{L}*$").alias("before"),
+        _word_bucket(follow, r"^\P{L}*(\p{L}+)").alias("after"),
     )
 
 
@@ -180,75 +243,97 @@ def estimate(counts: dict[tuple[int, int], int], rounds: int = ROUNDS) -> dict[t
     """How likely each (kind, votes) is personal data, by EM over ``counts``.
 
     Labelers vote independently given the truth, each with its own chance of every vote per
-    truth; the share of personal data is per kind. It starts from labelers that are mostly right.
+    truth and kind; kinds with few candidates lean on the labeler's chances over all kinds. The share of personal data
+    is per kind. It starts from labelers that are mostly right, the cue above all: the others say yes to most that has the form.
     """
-    digits = {votes: (votes // 9, votes // 3 % 3, votes % 3) for _, votes in counts}
-    chance = [{True: [0.1, 0.3, 0.6], False: [0.6, 0.3, 0.1]} for _ in range(3)]
-    share: dict[int, float] = defaultdict(lambda: 0.5)
-    posterior: dict[tuple[int, int], float] = {}
+    keys = sorted(counts)
+    n = np.array([counts[key] for key in keys], float)
+    kinds = np.array([kind for kind, _ in keys], np.int64)
+    votes = np.array([(v // 9, v // 3 % 3, v % 3) for _, v in keys], np.int64).reshape(-1, 3)
+    size = len(KINDS)
+    # By truth, kind, labeler and vote.
+    chance = np.empty((2, size, 3, 3))
+    chance[:] = np.array(BEGIN)[:, None]
+    share = np.full(size, 0.5)
+    yes = np.zeros(len(keys))
     for _ in range(rounds):
-        for kind, votes in counts:
-            odds = math.log(share[kind]) - math.log(1 - share[kind])
-            for labeler, vote in enumerate(digits[votes]):
-                odds += math.log(chance[labeler][True][vote]) - math.log(chance[labeler][False][vote])
-            posterior[kind, votes] = 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
-        told = [{True: [1.0] * 3, False: [1.0] * 3} for _ in range(3)]
-        yes: dict[int, float] = defaultdict(lambda: 1.0)
-        all_: dict[int, float] = defaultdict(lambda: 2.0)
-        for (kind, votes), n in counts.items():
-            p = posterior[kind, votes]
-            yes[kind] += n * p
-            all_[kind] += n
-            for labeler, vote in enumerate(digits[votes]):
-                told[labeler][True][vote] += n * p
-                told[labeler][False][vote] += n * (1 - p)
-        share = defaultdict(lambda: 0.5, {kind: yes[kind] / all_[kind] for kind in yes})
-        chance = [{y: [v / sum(t[y]) for v in t[y]] for y in (True, False)} for t in told]
-    return posterior
-
-
-FEATURES = 1 + 9 + len(KINDS) * 15
-
-
-def features(kind: int, votes: int, shape: int) -> list[int]:
-    """Indices of the features that are on: one vote of each labeler, the shape within the kind."""
-    return [0, 1 + votes // 9, 4 + votes // 3 % 3, 7 + votes % 3, 10 + kind * 15 + shape]
-
-
-def train(cells: dict[tuple[int, int, int], int], labels: dict[tuple[int, int], float], steps: int = 400) -> list[float]:
-    """Weights of a logistic classifier of (kind, votes, shape) cells, by gradient steps on soft labels."""
-    weights = [0.0] * FEATURES
-    total = sum(cells.values()) or 1
+        told = np.log(chance[:, kinds[:, None], np.arange(3)[None, :], votes]).sum(axis=2)
+        odds = np.log(share[kinds]) - np.log(1 - share[kinds]) + told[1] - told[0]
+        yes = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+        all_ = np.bincount(kinds, n, size)
+        share = (np.bincount(kinds, n * yes, size) + 1) / (all_ + 2)
+        for truth, weight in enumerate((n * (1 - yes), n * yes)):
+            seen = np.zeros((size, 3, 3))
+            for labeler in range(3):
+                np.add.at(seen, (kinds, labeler, votes[:, labeler]), weight)
+            over_all = seen.sum(axis=0) + 1
+            prior = LEAN * over_all / over_all.sum(axis=1, keepdims=True)
+            chance[truth] = (seen + prior) / (seen.sum(axis=2, keepdims=True) + LEAN)
+    return dict(zip(keys, yes.tolist(), strict=True))
+
+
+SHAPES = 15 * 8
+# Where the features of a mark begin: the bias, votes of three labelers, shapes by kind, words before and after by kind.
+_PLACES = (0, 1, 4, 7, 10, 10 + len(KINDS) * SHAPES, 10 + len(KINDS) * (SHAPES + WORDS))
+FEATURES = 10 + len(KINDS) * (SHAPES + 2 * WORDS)
+
+
+def features(kind, votes, shape, before, after) -> list:
+    """Places of the features that are on, for numbers, arrays or columns with whole-number division ``//``."""
+    return [
+        0 * kind + _PLACES[0],
+        votes // 9 + _PLACES[1],
+        votes // 3 % 3 + _PLACES[2],
+        votes % 3 + _PLACES[3],
+        kind * SHAPES + shape + _PLACES[4],
+        kind * WORDS + before + _PLACES[5],
+        kind * WORDS + after + _PLACES[6],
+    ]
+
+
+def train(cells: dict[tuple[int, ...], int], labels: dict[tuple[int, int], float], steps: int = 400) -> list[float]:
+    """Weights of a logistic classifier of (kind, votes, shape, before, after) cells, by gradient steps on soft labels."""
+    if not cells:
+        return [0.0] * FEATURES
+    told = np.array(sorted(cells), np.int64)
+    n = np.array([cells[tuple(cell)] for cell in told.tolist()], float)
+    wanted = np.array([labels[kind, votes] for kind, votes, *_ in told.tolist()])
+    on = np.stack(features(*told.T))
+    weights = np.zeros(FEATURES)
+    # Features that are seldom on say little: they are held near 0.
+    held = 0.002 + 0.5 / (1 + np.bincount(on.ravel(), np.tile(n, len(on)), FEATURES))
     for _ in range(steps):
-        slope = [0.002 * w for w in weights]
-        for (kind, votes, shape), n in cells.items():
-            on = features(kind, votes, shape)
-            p = 1 / (1 + math.exp(-sum(weights[i] for i in on)))
-            for i in on:
-                slope[i] += (p - labels[kind, votes]) * n / total
-        weights = [w - 2.0 * s for w, s in zip(weights, slope, strict=True)]
-    return weights
+        p = 1 / (1 + np.exp(-weights[on].sum(axis=0)))
+        slope = np.bincount(on.ravel(), np.tile((p - wanted) * n / n.sum(), len(on)), FEATURES)
+        weights -= 2.0 * (slope + held * weights / len(on))
+    return weights.tolist()
+
+
+CELL = ["kind", "votes", "shape", "before", "after"]
 
 
 def fit(rows: DataFrame) -> list[float]:
-    """Weights from the marks of all ``rows``; the driver sees counts by kind, votes and shape only."""
-    cells = rows.select(F.explode("marks").alias("m")).groupBy("m.kind", "m.votes", "m.shape").count().collect()
-    by_cell = {(r["kind"], r["votes"], r["shape"]): r["count"] for r in cells}
+    """Weights from the marks of all ``rows``; the driver sees counts by kind, votes, shape and neighbouring words only."""
+    marks = rows.select(F.explode("marks").alias("m"))
+    cells = marks.groupBy(*[F.col(f"m.{c}").alias(c) for c in CELL]).count().collect()
+    by_cell = {tuple(r[c] for c in CELL): r["count"] for r in cells}
     by_votes: dict[tuple[int, int], int] = defaultdict(int)
-    for (kind, votes, _), n in by_cell.items():
+    for (kind, votes, *_), n in by_cell.items():
         by_votes[kind, votes] += n
     return train(by_cell, estimate(by_votes))
 
 
 def _probability(mark: Column, weights: list[float]) -> Column:
     table = F.array(*[F.lit(w) for w in weights])
-    votes = mark["votes"]
+    kind, votes = mark["kind"], mark["votes"]
     places = [
-        F.lit(0),
-        1 + F.floor(votes / 9),
-        4 + F.floor(votes / 3) % 3,
-        7 + votes % 3,
-        10 + mark["kind"] * 15 + mark["shape"],
+        F.lit(_PLACES[0]),
+        F.floor(votes / 9) + _PLACES[1],
+        F.floor(votes / 3) % 3 + _PLACES[2],
+        votes % 3 + _PLACES[3],
+        kind * SHAPES + mark["shape"] + _PLACES[4],
+        kind * WORDS + mark["before"] + _PLACES[5],
+        kind * WORDS + mark["after"] + _PLACES[6],
     ]
     total = sum((F.get(table, place.cast("int")) for place in places), F.lit(0.0))
     return 1 / (1 + F.exp(-total))
@@ -267,9 +352,8 @@ def decided(rows: DataFrame, weights: list[float], certain: float = CERTAIN) ->
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span in ``text`` replaced by its kind, as in ``<EMAIL>``."""
-    found = candidates(set_aside(docs, "text"))
-    weights = fit(found)
-    rows = decided(found, weights)
+    found = materialise(candidates(set_aside(docs, "text")), "marks")
+    rows = decided(found, fit(found))
     text = redacted(F.col("text"), F.col("spans"), [f"<{kind.upper()}>" for kind in KINDS])
     rows = rows.withColumn("text", F.when(F.size("spans") > 0, text).otherwise(F.col("text")))
     return restored(rows, docs.columns)
