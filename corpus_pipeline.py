@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from stockweave.llm import decontaminate, near_dup, packing, pii, quality
 from stockweave.llm.common import table
-from stockweave.session import materialise
+from stockweave.session import scratch_path, scratch_scope
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,13 +58,26 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packed sequences of the ``documents`` table. Runs all stages but the last at once."""
+    """The packed sequences of the ``documents`` table. Runs all stages but the last at once.
+
+    What a stage stored for itself is deleted when its rows are written.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        with scratch_scope(spark):
+            rows = stage(spark, docs, sf_dir)
+            rows.write.parquet(path)
+        docs = spark.read.schema(rows.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
+def write(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The rows of :func:`run` as Parquet at ``path``; all stored between is deleted."""
+    with scratch_scope(spark):
+        run(spark, sf_dir).write.parquet(path)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"pipeline": run}
 
