@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -11,6 +12,7 @@ from conftest import SMALL
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from stockweave.session import materialise, scratch_path, shared_folder
 from tests.llm.test_decontaminate import plain as plain_contamination
 from tests.llm.test_near_dup import plain as plain_components
 from tests.llm.test_pii import plain as plain_pii
@@ -25,7 +27,7 @@ def stages(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     out = {}
     for name, stage in corpus_pipeline.STAGES:
-        before, docs = docs, corpus_pipeline.materialise(stage(spark, docs, SMALL), name)
+        before, docs = docs, materialise(stage(spark, docs, SMALL), name)
         out[name] = (before.collect(), docs.collect())
         if name != corpus_pipeline.STAGES[-1][0]:
             assert docs.columns == COLUMNS
@@ -95,3 +97,15 @@ def test_run_equals_the_stages(spark, stages):
     rows = corpus_pipeline.run(spark, SMALL).collect()
     key = lambda r: (r.doc_id, r.piece, r.start, r.length, r.ids_crc32)
     assert sorted(map(key, rows)) == sorted(map(key, stages["sequence_packing"][1]))
+
+
+def test_written_run_leaves_nothing_behind(spark, stages):
+    def stored():
+        return {p.name for p in Path(shared_folder(spark).removeprefix("file:")).iterdir()}
+
+    before, path = stored(), scratch_path(spark, "sequences")
+    corpus_pipeline.write(spark, SMALL, path)
+    assert stored() - before == {path.rsplit("/", 1)[1]}
+    rows = spark.read.parquet(path).collect()
+    key = lambda r: (r.doc_id, r.piece, r.start, r.length, r.ids_crc32)
+    assert sorted(map(key, rows)) == sorted(map(key, stages["sequence_packing"][1]))
