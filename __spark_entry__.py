@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 import importlib
+import warnings
 from collections.abc import Callable
 from types import ModuleType
 
@@ -501,9 +502,10 @@ def _optional() -> list[ModuleType]:
     for name in ("stockweave.llm.queries", "corpus_pipeline"):
         try:
             found.append(importlib.import_module(name))
-        except ModuleNotFoundError as missing:
+        except ImportError as missing:
+            # Also where a library is missing that only these modules need.
             if missing.name not in ("stockweave.llm", "stockweave.llm.queries", "corpus_pipeline"):
-                raise
+                warnings.warn(f"{name} is left out: {missing}", stacklevel=2)
     return found
 
 

@@ -100,7 +100,7 @@ def test_hot_keys_are_spread(spark, sorted_joins):
     left = spark.range(20_000).selectExpr("IF(id % 10 < 8, 7, id % 300) AS doc", "id AS n").repartition(3)
     right = spark.createDataFrame([(i, i * 2) for i in range(0, 300)] + [(7, -1)], "doc bigint, vendor bigint")
     hot = spark.createDataFrame([(7,), (1000,)], "doc bigint")
-    joined = spread_left_join(left, right, "doc", ["n"], hot)
+    joined = spread_left_join(left, right, "doc", ["n"], hot, copies=1024)
     found = sizes(joined)
     assert len(found) == 4 and found[-1] < 1.5 * found[0]
     assert rows(joined) == rows(left.join(right, "doc", "left"))
