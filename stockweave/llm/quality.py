@@ -6,8 +6,8 @@ all documents (raw), one from trusted documents (target). A text's score is the
 log(target / raw) over its n-grams, divided by their number. Documents below a threshold go.
 The threshold is read off trusted and distrusted documents that were not counted as target.
 
-Trusted are documents that all their labels call good and not toxic. Model and threshold use
-at most ``sample`` labelled documents each, those with the smallest hash of the id; the raw
+Trusted are documents that all their labels call good and not toxic. A hash of the id puts half
+of them into the target; the others and all distrusted ones give the threshold. The raw
 multinomial counts every document.
 
 Defined results: a NULL or empty text has no words and fails the base rule; a text without
@@ -41,9 +41,10 @@ from stockweave.llm.common import (
     window_hashes,
     with_computed,
 )
+from stockweave.operators.running import scan_chunks
+from stockweave.session import materialise, scratch_scope
 
 BUCKETS = 1 << 16
-SAMPLE = 20_000
 REPEATED_WINDOW = 8
 FALSE_REJECT_COST = 10  # a good document lost weighs as many bad ones kept
 SMOOTHING = 1.0
@@ -109,40 +110,40 @@ class QualityModel:
         return float(self.weights[buckets].sum()) / len(buckets) if len(buckets) else 0.0
 
 
-def _labelled(labels: DataFrame, sample: int) -> dict[str, set]:
-    """Ids of trusted documents for the target and for the threshold, and of distrusted ones."""
-    judged = (
+def _labelled(labels: DataFrame) -> DataFrame:
+    """(doc_id, kind) of all judged documents: trusted ones for the target and for the threshold, distrusted ones."""
+    known = (
         labels.where(F.col("doc_id").isNotNull())
         .groupBy("doc_id")
         .agg(F.min("quality").alias("low"), F.max("quality").alias("high"), F.max("toxic").alias("toxic"))
     )
-    good = judged.where((F.col("low") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).select("doc_id")
-    bad = judged.where(F.col("high") == 0).select("doc_id")
     for_target = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    good = (F.col("low") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
+    kind = F.when(good, F.when(for_target, "target").otherwise("good")).when(F.col("high") == 0, "bad")
+    return known.select("doc_id", kind.alias("kind")).where("kind IS NOT NULL")
 
-    def first(ids: DataFrame) -> set:
-        return {r.doc_id for r in ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()}
 
-    return {"target": first(good.where(for_target)), "good": first(good.where(~for_target)), "bad": first(bad)}
-
-
-def _counts(docs: DataFrame, target: set, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+def _counts(docs: DataFrame, labelled: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """N-grams by bucket, of all documents and of the target's."""
-    wanted = docs.sparkSession.sparkContext.broadcast(target)
 
     def count(batches):
-        of, trusted = Buckets(buckets), wanted.value
+        of = Buckets(buckets)
         raw, kept = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
         for part in slices(batches):
-            for doc, text in zip(part.column("doc_id").to_pylist(), as_bytes(part.column("text")), strict=True):
+            for trusted, text in zip(part.column("trusted").to_pylist(), as_bytes(part.column("text")), strict=True):
                 found = of.of(text)
                 np.add.at(raw, found, 1)
-                if doc in trusted:
+                if trusted:
                     np.add.at(kept, found, 1)
         seen = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(raw[seen]), pa.array(kept[seen])], ["bucket", "raw", "target"])
 
-    counted = docs.select("doc_id", "text").mapInArrow(count, "bucket bigint, raw bigint, target bigint")
+    trusted = labelled.where("kind = 'target'").select("doc_id", F.lit(True).alias("trusted"))
+    counted = (
+        docs.join(trusted, "doc_id", "left")
+        .select("trusted", "text")
+        .mapInArrow(count, "bucket bigint, raw bigint, target bigint")
+    )
     rows = counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect()
     raw, kept = np.zeros(buckets), np.zeros(buckets)
     for row in rows:
@@ -161,15 +162,23 @@ def best_threshold(good: Iterable[float], bad: Iterable[float], cost: float = FA
     return at
 
 
-def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, sample: int = SAMPLE) -> QualityModel:
-    """Count both multinomials over ``docs`` and read the threshold off labelled documents.
+def threshold_of(scores: DataFrame, cost: int = FALSE_REJECT_COST) -> float:
+    """:func:`best_threshold` of (good, score) rows, however many: costs are added up in ranges of scores. Runs jobs."""
+    change = F.sum(F.when(F.col("good"), float(cost)).otherwise(-1.0)).alias("change")
+    marks = scores.groupBy("score").agg(change).withColumn("all", F.lit(0))
+    summed = scan_chunks(marks, "all", ["score"], "change").where("total_after < 0")
+    best = summed.agg(F.min(F.struct("total_after", "score")).alias("best")).first().best
+    return -math.inf if best is None else float(np.nextafter(best.score, math.inf))
+
+
+def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> QualityModel:
+    """Count both multinomials over ``docs`` and read the threshold off all labelled documents.
 
-    Runs three jobs over the labels and two over the documents; the driver sees ``buckets``
-    counts and at most ``sample`` ids and scores of each kind.
+    Reads the documents twice; the driver sees ``buckets`` counts. What is stored on the way is deleted.
     """
     docs = docs.select("doc_id", whole_text().alias("text"))
-    ids = _labelled(labels, sample)
-    raw, target = _counts(docs, ids["target"], buckets)
+    labelled = _labelled(labels)
+    raw, target = _counts(docs, labelled, buckets)
     if not target.sum():
         return QualityModel(np.zeros(buckets), -math.inf)
 
@@ -177,15 +186,10 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, sample: int
         return np.log(counts + SMOOTHING) - math.log(counts.sum() + SMOOTHING * buckets)
 
     model = QualityModel(log_share(target) - log_share(raw), -math.inf)
-    spark = docs.sparkSession
-    kinds = [(i, kind == "good") for kind in ("good", "bad") for i in ids[kind]]
-    if not kinds:
-        return model
-    # At most twice the sample, so small enough to broadcast.
-    checked = F.broadcast(spark.createDataFrame(kinds, "doc_id bigint, good boolean"))
-    scores = _scored(docs.join(checked, "doc_id"), model, ["good"]).select("good", "score").collect()
-    good, bad = ([r.score for r in scores if r.good is kind] for kind in (True, False))
-    return QualityModel(model.weights, best_threshold(good, bad))
+    checked = labelled.where("kind <> 'target'").select("doc_id", (F.col("kind") == "good").alias("good"))
+    with scratch_scope(docs.sparkSession):
+        scores = _scored(docs.join(checked, "doc_id"), model, ["good"]).select("good", "score")
+        return QualityModel(model.weights, threshold_of(materialise(scores, "scores")))
 
 
 def _scored(docs: DataFrame, model: QualityModel, keep: list[str]) -> DataFrame:

@@ -65,6 +65,26 @@ def test_threshold():
     assert quality.best_threshold([1.0], [1.0] * 3) == -np.inf
 
 
+def test_threshold_of_many_scores(spark):
+    rng = np.random.default_rng(4)
+    for good, bad in ((rng.integers(40, 100, 300), rng.integers(0, 60, 500)), ([1, 2], []), ([], []), ([1], [1] * 3), ([5], [5, 1, 1])):
+        good, bad = [float(x) / 8 for x in good], [float(x) / 8 for x in bad]
+        rows = spark.createDataFrame([(True, x) for x in good] + [(False, x) for x in bad], "good boolean, score double")
+        assert quality.threshold_of(rows) == quality.best_threshold(good, bad)
+
+
+def test_every_label_counts(spark):
+    """More labelled documents than any fixed number that used to be taken."""
+    n = 50_000
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat('word', id) AS text")
+    labels = spark.range(n).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality", "0 AS toxic")
+    kinds = {r.kind: r.n for r in quality._labelled(labels).groupBy("kind").agg({"doc_id": "count"}).toDF("kind", "n").collect()}
+    assert kinds["bad"] == n // 2 and kinds["target"] + kinds["good"] == n // 2
+    raw, target = quality._counts(docs, quality._labelled(labels), 64)
+    # A word and a number, and the pair of both.
+    assert raw.sum() == 3 * n and target.sum() == 3 * kinds["target"]
+
+
 def test_defined_cases(spark):
     text = " ".join(f"word{i}" for i in range(30))
     docs = spark.createDataFrame([(1, None, "own"), (2, "", "own"), (3, text, "own"), (3, text, "own"), (None, text, None)], DOCS)
