@@ -15,6 +15,7 @@ from stockweave.operators import demand, ocel
 from stockweave.plans import files, inventory
 from stockweave.plans.inventory import JobSettings
 from stockweave.session import scratch_path, write_text
+from stockweave.sinks import event_log_csv
 from stockweave.sinks.event_log_csv import write_event_log
 from stockweave.sinks.ocel_xml import write_ocel_xml
 from stockweave.sources.event_log_csv import read_event_log, read_event_log_text, with_position
@@ -197,6 +198,41 @@ def test_positions_over_many_blocks(spark, tmp_path):
     assert total == 3000 and found == {i: f"e{i}" for i in range(3000)}
 
 
+def test_written_files_are_compressed(spark, tables, tmp_path):
+    csv, xml = str(tmp_path / "csv"), str(tmp_path / "xml")
+    files.write_log(tables, csv, SETTINGS)
+    files.write_xml(tables, xml, SETTINGS)
+    for folder in ("csv", "xml/events", "xml/objects", "xml/event-types", "xml/object-types"):
+        parts = [p for p in (tmp_path / folder).iterdir() if p.name.startswith("part-")]
+        assert parts and all(p.read_bytes()[:2] == b"\x1f\x8b" for p in parts), folder
+    assert read_event_log(spark, csv).count() == read_ocel_events(spark, xml).count() == inventory.event_log(tables, SETTINGS).count() > 0
+
+
+def test_positions_over_files_of_one_task(spark, tmp_path, monkeypatch):
+    """A task cuts its rows into several files, whose names follow its rows."""
+    monkeypatch.setitem(event_log_csv.GZIP, "maxRecordsPerFile", "7")
+    names = {ocel.EID: F.concat(F.lit("e"), F.col("id")), ocel.ACTIVITY: F.lit("a"), ocel.TIMESTAMP: F.lit(dt.date(2024, 1, 1))}
+    path = str(tmp_path / "log")
+    write_event_log(spark.range(0, 100, 1, 2).select(*[c.alias(n) for n, c in names.items()]), path)
+    rows, total = with_position(read_event_log_text(spark, path))
+    found = {r.position: r[0] for r in rows.select(f"`{ocel.EID}`", "position").collect()}
+    assert len(list((tmp_path / "log").glob("part-*"))) == 16
+    assert total == 100 and found == {i: f"e{i}" for i in range(100)}
+
+
+@pytest.mark.parametrize(
+    "cell, found",
+    [("['a']", ["a"]), ("['']", [""]), ("['a', 'b']", ["a", "b"]), ("['a', ']']", ["a", "]"]), ("['a\\'b']", ["a'b"]), ("['é\nx']", ["é\nx"]), ("['", None)],
+)
+def test_cells_of_one_and_more_ids(spark, cell, found):
+    df = spark.createDataFrame([(cell,)], "t string").select(decode_cell(F.col("t")).alias("x"))
+    if found is None:
+        with pytest.raises(Exception):
+            df.collect()
+    else:
+        assert df.first().x == found
+
+
 WIDE = f"{ocel.EID},Weight,{ocel.object_column('MAT')},{ocel.ACTIVITY},{ocel.object_column('PLA')},{ocel.object_column('Lot')},{ocel.TIMESTAMP},{ocel.BEFORE},{ocel.AFTER},activity,stock_before"
 
 
