@@ -10,6 +10,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from stockweave import session
 from stockweave.functions.numbers import scale_of
 from stockweave.operators.running import (
     SkewPolicy,
@@ -181,3 +182,17 @@ def test_any_number_of_hot_keys_is_split(spark):
 def test_hot_keys_from_a_sample(spark):
     df = spark.range(60_000).selectExpr("IF(id % 3 = 0, 1L, id) AS k")
     assert keys_of(find_hot_keys(df, SkewPolicy(max_group_rows=10_000, sample_fraction=0.5))) == [1]
+
+
+def test_partitions_follow_the_rows(spark, monkeypatch):
+    """More rows than the session's partitions should hold go to more of them, and the totals stay."""
+    rows = [(i % 97, i, float(i % 5)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "material bigint, n bigint, quantity double")
+    assert session.spread_by(df, "material", 2000) is df
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
+    spread = session.spread_by(df, "material", 2000)
+    assert spread.rdd.getNumPartitions() == 20
+    plain, parted = (scan_groups(d, ["material"], ["n"], "quantity").select("material", "n", "total_after") for d in (df, spread))
+    assert sorted(plain.collect()) == sorted(parted.collect())
+    plan = parted._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [material" in plan
