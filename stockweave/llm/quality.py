@@ -140,7 +140,8 @@ def _counts(docs: DataFrame, labelled: DataFrame, buckets: int) -> tuple[np.ndar
 
     trusted = labelled.where("kind = 'target'").select("doc_id", F.lit(True).alias("trusted"))
     counted = (
-        docs.join(trusted, "doc_id", "left")
+        # The ids are hashed in each task, so texts are shuffled once and not sorted.
+        docs.join(trusted.hint("shuffle_hash"), "doc_id", "left")
         .select("trusted", "text")
         .mapInArrow(count, "bucket bigint, raw bigint, target bigint")
     )
@@ -188,7 +189,8 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> QualityMo
     model = QualityModel(log_share(target) - log_share(raw), -math.inf)
     checked = labelled.where("kind <> 'target'").select("doc_id", (F.col("kind") == "good").alias("good"))
     with scratch_scope(docs.sparkSession):
-        scores = _scored(docs.join(checked, "doc_id"), model, ["good"]).select("good", "score")
+        # Joined once they are scored: scores are narrow, texts are not.
+        scores = _scored(docs, model, ["doc_id"]).select("doc_id", "score").join(checked, "doc_id").select("good", "score")
         return QualityModel(model.weights, threshold_of(materialise(scores, "scores")))
 
 
