@@ -114,3 +114,11 @@ def test_receipts_of_hot_documents_are_the_same_events(gaps):
     assert inventory.hot_documents(gaps) is None
     log = inventory.event_log(gaps, JobSettings(skew=skew))
     assert log.count() == inventory.event_log(gaps).count()
+
+
+def test_events_are_sorted_once_for_the_objects(gaps):
+    stored = inventory.stored_events(gaps)
+    found = object_index.index(stored)
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    # No (kind, object) twice, though each kind is counted by itself.
+    assert found.count() == found.select(*object_index.KEY).distinct().count() > 0
