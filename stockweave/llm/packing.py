@@ -49,22 +49,27 @@ class Encoder:
     """Texts to ids as little-endian unsigned 32-bit numbers, with a bounded memory of runs.
 
     Equal to encoding the whole text: white space always separates tokens, and so do the
-    borders of a run. New runs are encoded together and told apart by their word ends.
+    borders of a run. New runs are encoded together and told apart by their word ends. The tokenizer
+    lower-cases, so runs are kept in lower case. Two generations of ``most`` runs are kept, and runs of
+    the older one that occur again move to the younger, so that frequent ones stay and rare ones go.
     """
 
-    def __init__(self, path: str, most: int = 200_000):
+    def __init__(self, path: str, most: int = 400_000):
         self.tokenizer = Tokenizer.from_file(path)
         # In a text these are one id each, whatever is around them; such texts are encoded whole.
         self.literals = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.most = most
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, i in vocabulary.items():
             self.ends[i] = token.endswith("</w>")
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        # The fast form leaves out the places of tokens in the text, which nothing needs here.
+        (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, "<u4")
 
     def _learn(self, runs: set[str]) -> dict[str, bytes]:
         """Ids of runs that are one token each before merging, from one call."""
@@ -79,23 +84,28 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         words: set[str] = set()
         found = [None if any(x in text for x in self.literals) else self._runs(text, words) for text in texts]
-        missing = set().union(*(runs for runs in found if runs)) - self.known.keys()
-        new = self._learn(missing - words) | {w: self._ids(w).tobytes() for w in missing & words}
-        self.known |= new
+        missing = set().union(*(runs for runs in found if runs)).difference(self.known)
+        again = missing.intersection(self.older)
+        self.known.update(zip(again, map(self.older.__getitem__, again), strict=True))
+        missing -= again
+        self.known |= self._learn(missing - words) | {w: self._ids(w).tobytes() for w in missing & words}
         encoded = [
             self._ids(text).tobytes() if runs is None else b"".join(map(self.known.__getitem__, runs))
             for text, runs in zip(texts, found, strict=True)
         ]
         if len(self.known) > self.most:
-            for run in new:
-                del self.known[run]
+            self.older, self.known = self.known, {}
         return encoded
 
     @staticmethod
     def _runs(text: str, words: set[str]) -> list[str]:
-        """Runs; whole words, also added to ``words``, where a word holds other characters."""
-        if not _OTHER.search(text):
-            return _RUN.findall(text)
+        """Runs; whole words, also added to ``words``, where a word holds other characters.
+
+        In lower case, unless that brings in other characters (as that of İ is two).
+        """
+        lower = text.lower()
+        if not _OTHER.search(lower):
+            return _RUN.findall(lower)
         runs = []
         for word in _WHITE_SPACE.split(text):
             if _OTHER.search(word):

@@ -44,6 +44,19 @@ def test_encoder_on_any_text(texts):
     assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == want
 
 
+def test_frequent_runs_are_encoded_once(plain, monkeypatch):
+    """Also those that first occur when the memory is full, and in any case of letters."""
+    encoder = packing.Encoder(PATH, most=4)
+    learnt, learn = [], encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda runs: learnt.extend(runs) or learn(runs))
+    for n in range(5):
+        rare = " ".join(f"rare{'abcde'[n]}{c}" for c in "vwxyz")
+        texts = [f"early {rare}", "Early EARLY" + " late Late" * (n > 1)]
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(texts)] == list(map(plain, texts))
+        assert len(encoder.known) + len(encoder.older) <= 2 * (4 + 7)
+    assert learnt.count("early") == learnt.count("late") == 1 and len(learnt) == len(set(learnt)) == 27
+
+
 def test_literals_of_added_tokens_are_one_id(plain):
     assert plain("a <|endoftext|> b") == [320, 49407, 321] and plain("x<|startoftext|>") == [343, 49406]
 
