@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 from dataclasses import asdict
 
 import pytest
@@ -184,6 +185,33 @@ def test_relabelled_rows_go_to_their_place_without_a_sample(spark):
     assert "rangepartitioning" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_relabelling_shuffles_the_rows_of_the_log_once(spark):
+    """Once placed, they go straight to their partition; the bounds come to them."""
+    small = stage(spark, SMALL)
+    log = scratch_path(spark, "log")
+    files.write_log(small, log, SETTINGS)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = files.relabel_text_log(read_event_log_text(spark, log), inventory.parameters(small, SETTINGS))
+        shown = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffled = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", shown)
+    assert len([columns for columns in shuffled if "position#" in columns]) == 1
+
+
+def test_pairs_and_rows_without_a_pair_meet_in_every_partition(spark, tables, tmp_path):
+    """A pair in all partitions gets its bounds in each; one without plant, material or parameters gets none."""
+    cells = ["['MAT-1'],['It\\'s\\\\a']", "['MAT-1'],", ",['It\\'s\\\\a']", "['MAT-77'],['Nowhere']", "[],[]"]
+    lines = [f"e{i},,{cell.split(',')[0]},Goods Issue,{cell.split(',')[1]},,1996-04-02,5,4,own,7" for i, cell in enumerate(cells * 8)]
+    out = scratch_path(spark, "post")
+    files.write_relabelled_log(spark, tables, csv_file(tmp_path, WIDE, *lines), out, SETTINGS)
+    found = with_position(read_event_log_text(spark, out))[0].orderBy("position")
+    labels = [(r[0], r[1]) for r in found.select(f"`{ocel.EID}`", f"`{ocel.ACTIVITY}`").collect()]
+    assert [eid for eid, _ in labels] == [f"e{i}" for i in range(40)]
+    assert all(label.startswith("Goods Issue (") == (n % 5 == 0) for n, (_, label) in enumerate(labels))
+
+
 def test_positions_over_many_blocks(spark, tmp_path):
     lines = [f"e{i},a,2024-01-01,{'x' * (i % 50)}" for i in range(3000)]
     header = f"{ocel.EID},{ocel.ACTIVITY},{ocel.TIMESTAMP},note"
