@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import gzip
 import json
 import re
 from dataclasses import asdict
+from xml.etree import ElementTree
 
 import pytest
 from conftest import SMALL, movement, purchase, purchase_item, sale, sale_item
@@ -18,7 +20,7 @@ from stockweave.plans.inventory import JobSettings
 from stockweave.session import scratch_path, write_text
 from stockweave.sinks import event_log_csv
 from stockweave.sinks.event_log_csv import write_event_log
-from stockweave.sinks.ocel_xml import write_ocel_xml
+from stockweave.sinks.ocel_xml import LINES_NOTE, event_elements, write_ocel_xml
 from stockweave.sources.event_log_csv import read_event_log, read_event_log_text, with_position
 from stockweave.sources.ocel_xml import read_ocel_events, read_ocel_objects, read_ocel_relations
 from stockweave.sources.staging import stage
@@ -362,3 +364,59 @@ def test_summary(spark, tables):
         ("objects", "total"): 12,
         ("object types", "total"): 7,
     }
+
+
+ODD_TEXTS = ["plain", "  sp  ", "a&b", "a<b>c", "q\"u'o", "n\nl", "c\rr", "]]>", "é\U0001f600", "\u0085x", "", "\n x \n", "null", "&amp;", None]
+
+
+def odd_log(spark):
+    day, kinds = dt.date(1996, 4, 2), "string, `{}` string, `{}` date, `{}` array<string>, `{}` array<string>, Note string, ` y` double"
+    kinds = f"`{ocel.EID}` {kinds}".format(ocel.ACTIVITY, ocel.TIMESTAMP, ocel.object_column("MAT"), ocel.object_column("Lot"))
+    found = [(f"e{n}", text, day, [text], ["L1", text, "L2"], text, float(n)) for n, text in enumerate(ODD_TEXTS)]
+    found += [("f1", "a", day, None, [], "x", None), ("f2", "a", None, ["m"], ["b", "c"], "  ", 1.5), (None, "a", day, ["m"], None, "y", 2.5)]
+    return spark.createDataFrame(found, kinds)
+
+
+def test_lines_of_xml_hold_what_the_xml_parser_reads(spark, tmp_path, monkeypatch):
+    """Elements on one line, plain or not, read as lines and by Spark's XML reader; every file is a whole document."""
+    monkeypatch.setitem(event_log_csv.GZIP, "maxRecordsPerFile", "4")
+    log, path = odd_log(spark), str(tmp_path / "xml")
+    write_ocel_xml(log.coalesce(2), path)
+    parts = [ElementTree.fromstring(gzip.decompress(p.read_bytes())) for p in (tmp_path / "xml/events").glob("part-*.xml.gz")]
+    assert {p.tag for p in parts} == {"events"} and sum(map(len, parts)) == log.count() and max(map(len, parts)) == 4
+    read = [read_ocel_events, read_ocel_relations, read_ocel_objects]
+    found = [rows(r(spark, path)) for r in read]
+    assert ("  sp  ".strip(), "MAT") in found[2] and len(found[0]) == log.count()
+    assert ("L2", "Lot") in found[2] and ("f2", "c") in {(r[0], r[3]) for r in found[1]}
+    for folder in ("events", "objects"):
+        (tmp_path / "xml" / folder / LINES_NOTE).unlink()
+    assert [rows(r(spark, path)) for r in read] == found
+
+
+def test_events_are_read_as_lines(spark, tables, tmp_path):
+    """Spark's XML reader and writer took most of the time of the XML; they get single elements only."""
+    path = str(tmp_path / "xml")
+    write_ocel_xml(inventory.event_log(tables, SETTINGS), path)
+    for read in (read_ocel_events, read_ocel_relations, read_ocel_objects):
+        plan = read(spark, path)._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan text" in plan and plan.count("from_xml") == 1, read
+
+
+def test_files_of_others_in_a_folder_of_lines(spark, tmp_path):
+    log, path = odd_log(spark), str(tmp_path / "xml")
+    write_ocel_xml(log, path)
+    other = event_elements(log)
+    options = {"rootTag": "events", "rowTag": "event"}
+    other.write.mode("append").format("xml").options(**options).save(f"{path}/events")
+    with pytest.raises(Exception, match="not an element on one line"):
+        read_ocel_events(spark, path).collect()
+    other.write.mode("overwrite").format("xml").options(**options).save(f"{path}/events")
+    before = rows(read_ocel_events(spark, path))
+    write_ocel_xml(log, path, "append")
+    assert rows(read_ocel_events(spark, path)) == sorted(before * 2, key=str)
+
+
+def test_characters_that_xml_lacks_fail(spark, tmp_path):
+    log = odd_log(spark).withColumn("Note", F.lit("a\x01"))
+    with pytest.raises(Exception, match="Invalid white space character"):
+        write_ocel_xml(log, str(tmp_path / "xml"))
