@@ -420,3 +420,9 @@ def test_characters_that_xml_lacks_fail(spark, tmp_path):
     log = odd_log(spark).withColumn("Note", F.lit("a\x01"))
     with pytest.raises(Exception, match="Invalid white space character"):
         write_ocel_xml(log, str(tmp_path / "xml"))
+
+
+def test_attributes_of_other_types_are_escaped(spark, tmp_path):
+    log, path = odd_log(spark).withColumn("Note", F.array(F.lit("a<b"), F.lit("c"))), str(tmp_path / "xml")
+    write_ocel_xml(log, path)
+    assert {r.Note for r in read_ocel_events(spark, path).collect()} == {"[a<b, c]"}
